@@ -45,6 +45,7 @@ def include_exclude(
 
 def _by_set(df: DataFrame, column: str, values, how: str) -> DataFrame:
     if not isinstance(values, DataFrame):
+        values = [v for v in values if v is not None]
         if len(values) <= LITERAL_LIMIT:
             inside = named(column).isin(*values) if values else F.lit(False)
             return df.filter(inside if how == "left_semi" else ~inside)

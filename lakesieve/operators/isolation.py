@@ -15,9 +15,14 @@ def run_isolated(
     run: Callable[[Sequence[Part]], list[Row]],
     on_error: Callable[[Part, Exception], list[Row]],
     errors: type[Exception] | tuple[type[Exception], ...] = Exception,
+    suspects: Callable[[Sequence[Part], Exception], list[Part]] = lambda parts, error: [],
 ) -> list[Row]:
-    """Rows of all parts. Normally one run; after an error the halves run on their own, so one
-    bad part among n costs about 2 log2(n) more runs and the good ones keep sharing theirs."""
+    """Rows of all parts. Normally one run.
+
+    After an error the parts that ``suspects`` names run apart from the others; without a suspect
+    the halves do, so one bad part among n costs about 2 log2(n) more runs and the good ones keep
+    sharing theirs.
+    """
     if not parts:
         return []
     try:
@@ -25,6 +30,10 @@ def run_isolated(
     except errors as error:
         if len(parts) == 1:
             return on_error(parts[0], error)
-    middle = len(parts) // 2
-    return (run_isolated(parts[:middle], run, on_error, errors)
-            + run_isolated(parts[middle:], run, on_error, errors))
+        named = suspects(parts, error)
+    if 0 < len(named) < len(parts):
+        split = [p for p in parts if p not in named], named
+    else:
+        middle = len(parts) // 2
+        split = parts[:middle], parts[middle:]
+    return [row for part in split for row in run_isolated(part, run, on_error, errors, suspects)]

@@ -68,11 +68,11 @@ def _null_masks(columns: Sequence[str]) -> list[Column]:
 
 def _json_bytes(flat: DataFrame, names: Sequence[str]) -> Column:
     row = F.struct(*[F.col(c).alias(n) for c, n in zip(flat.columns, names)])
-    return F.octet_length(F.to_json(row, EXACT_JSON)).cast("long").alias("bytes")
+    return F.octet_length(F.to_json(row, EXACT_JSON)).cast("long")
 
 
 def _distinct_rows(df: DataFrame, by: str, size: bool) -> DataFrame:
-    """One line per distinct row: its count ``n``, null masks ``m0``..., JSON ``bytes``.
+    """One line per distinct row: its count ``n``, null masks ``m0``..., JSON ``bytes`` of all copies.
 
     ``by="columns"`` groups on the row itself: exact for every type, and cheapest for ordinary
     rows. ``by="fingerprint"`` groups on the row's SHA-256, which costs more computing but
@@ -80,15 +80,17 @@ def _distinct_rows(df: DataFrame, by: str, size: bool) -> DataFrame:
     columns.
     """
     flat = _groupable(df)
-    sized = [_json_bytes(flat, df.columns)] if size else []
     masks = _null_masks(flat.columns)
+    row_bytes = _json_bytes(flat, df.columns) if size else F.lit(0).cast("long")
+    count = F.count(F.lit(1)).alias("n")
     if by == "columns":
-        groups = flat.groupBy(*flat.columns).agg(F.count(F.lit(1)).alias("n"))
-        return groups.select("n", *masks, *sized)
+        groups = flat.groupBy(*flat.columns).agg(count)
+        return groups.select("n", *masks, (F.col("n") * row_bytes).alias("bytes"))
     if by != "fingerprint":
         raise ValueError(f"group rows by columns or fingerprint, not {by!r}")
-    keyed = flat.select(_fingerprint(flat).alias("h"), *masks, *sized)
-    return keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("n"))
+    keys = flat.select(_fingerprint(flat).alias("h"), *masks, row_bytes.alias("row_bytes"))
+    by_key = keys.groupBy(*[c for c in keys.columns if c != "row_bytes"])
+    return by_key.agg(count, F.sum("row_bytes").alias("bytes"))
 
 
 def _bit(i: int) -> Column:
@@ -126,7 +128,7 @@ def profile(df: DataFrame, by: str = "columns", size: bool = True) -> DataFrame:
             _total(n * cells).alias("total_cell_nulls"),
             _total(F.when(_all_bits(width), n).otherwise(0)).alias("total_null_record"),
             _total(n - 1).alias("total_duplicated_records"),
-            (_total(n * F.col("bytes")) if size else F.lit(0).cast("long")).alias("bytes"),
+            _total(F.col("bytes")).alias("bytes"),
         )
     rows = F.col("number_of_records").cast("double")
     nulls = F.col("total_cell_nulls").cast("double")

@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import HASH_COLUMN, row_hash, with_row_hash
+from ..functions.hashing import row_hash
 from .columns import overlap
 
 
-def _hashes(df: DataFrame, null_safe: bool) -> DataFrame:
-    return df.select(row_hash(df.schema.fields, null_safe).alias(HASH_COLUMN))
+_KEY = "_row_key"
+
+
+def _key(df: DataFrame, null_safe: bool) -> Column:
+    """The row hash in its binary form: half the size of the hex text in a shuffle."""
+    return F.unhex(row_hash(df.schema.fields, null_safe)).alias(_KEY)
 
 
 def _missing_from(left: DataFrame, right: DataFrame, null_safe: bool) -> DataFrame:
     # The right side carries each hash once: copies of one row are folded before the shuffle,
     # and the join reuses the partitioning the folding needs. Hot keys on the left are split by
     # adaptive skew handling.
-    known = _hashes(right, null_safe).distinct()
-    return with_row_hash(left, null_safe=null_safe).join(known, HASH_COLUMN, "left_anti").drop(HASH_COLUMN)
+    known = right.select(_key(right, null_safe)).distinct()
+    return left.withColumn(_KEY, _key(left, null_safe)).join(known, _KEY, "left_anti").drop(_KEY)
 
 
 def rows_to_insert(source: DataFrame, target: DataFrame, null_safe: bool = True) -> DataFrame:
@@ -38,10 +42,10 @@ def reconcile_counts(source: DataFrame, target: DataFrame, null_safe: bool = Tru
     of two anti joins that would each move both sides.
     """
     def side(df: DataFrame, s: int, t: int) -> DataFrame:
-        return _hashes(df, null_safe).withColumns({"s": F.lit(s), "t": F.lit(t)})
+        return df.select(_key(df, null_safe), F.lit(s).alias("s"), F.lit(t).alias("t"))
 
     per_hash = (side(source, 1, 0).unionAll(side(target, 0, 1))
-                .groupBy(HASH_COLUMN).agg(F.sum("s").alias("s"), F.sum("t").alias("t")))
+                .groupBy(_KEY).agg(F.sum("s").alias("s"), F.sum("t").alias("t")))
     zero = F.lit(0).cast("long")
     counts = per_hash.agg(
         F.coalesce(F.sum("s"), zero).alias("source_rows"),

@@ -12,7 +12,8 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException, PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,27 +54,30 @@ def load_rules(spark: SparkSession, path: str | None = None, multi_line: bool =
     """One row (table_name, rule_name, rule_description, severity, sql_condition) per table and rule.
 
     The file is one JSON array, or one object per line with ``multi_line=False``. Without a path,
-    or when it cannot be read, the built-in rules apply.
+    or when it cannot be read or is malformed, the built-in rules apply.
     """
     columns = ["table_name", "rule_name", "rule_description", "severity", "sql_condition"]
     builtin = spark.createDataFrame(DEFAULT_RULES, ", ".join(f"{c} string" for c in columns))
     if path is None:
         return builtin
     try:
-        config = spark.read.schema(CONFIG_SCHEMA).json(path, multiLine=multi_line)
-    except AnalysisException as error:
+        config = spark.read.schema(CONFIG_SCHEMA).json(path, multiLine=multi_line, mode="FAILFAST")
+        per_table = config.select(
+            F.coalesce("rule", F.lit("Unknown Rule")).alias("rule_name"),
+            F.coalesce("rule_description", F.lit("")).alias("rule_description"),
+            F.coalesce("severity", "serverity", F.lit("MEDIUM")).alias("severity"),
+            F.explode("sql_condition").alias("by_table"),
+        )
+        rules = per_table.select(
+            F.explode("by_table").alias("table_name", "sql_condition"),
+            "rule_name", "rule_description", "severity",
+        ).select(*columns)
+        # Reads every field once, so a malformed file shows here and not in a later job.
+        rules.agg(*[F.max(F.length(c)) for c in columns]).collect()
+        return rules
+    except (PySparkException, Py4JJavaError) as error:
         log.warning("rules at %s cannot be read, using the built-in ones: %s", path, error)
         return builtin
-    per_table = config.select(
-        F.coalesce("rule", F.lit("Unknown Rule")).alias("rule_name"),
-        F.coalesce("rule_description", F.lit("")).alias("rule_description"),
-        F.coalesce("severity", "serverity", F.lit("MEDIUM")).alias("severity"),
-        F.explode("sql_condition").alias("by_table"),
-    )
-    return per_table.select(
-        F.explode("by_table").alias("table_name", "sql_condition"),
-        "rule_name", "rule_description", "severity",
-    ).select(*columns)
 
 
 def rules_by_table(rules: DataFrame) -> dict[str, list[Rule]]:
@@ -93,16 +97,20 @@ def _analysis_error(df: DataFrame, condition: str) -> str | None:
         return f"SQL condition error: {error}"
 
 
+def _analyzed(df: DataFrame, rules: Sequence[Rule]) -> dict[Rule, str | None]:
+    return {r: _analysis_error(df, r.condition) for r in dict.fromkeys(rules)}
+
+
 def evaluate_rules(
     df: DataFrame, rules: Sequence[Rule], table_name: str, ingestion_time: str = "", as_of: str = "",
-    errors: Mapping[Rule, str] | None = None,
+    errors: Mapping[Rule, str | None] | None = None,
 ) -> DataFrame:
     """One 12-column line per rule from one scan of the table.
 
-    Conditions that do not analyze become ERROR lines; so do the rules in ``errors``. An empty
-    table passes every rule, whatever its condition.
+    Conditions that do not analyze become ERROR lines; ``errors``, if given, already says which
+    ones do. An empty table passes every rule, whatever its condition.
     """
-    found = {r: (errors or {}).get(r) or _analysis_error(df, r.condition) for r in dict.fromkeys(rules)}
+    found = _analyzed(df, rules) if errors is None else errors
     total, failed = F.col("total"), F.col("failed")
     counts = df.agg(
         F.count(F.lit(1)).alias("total"),
@@ -144,14 +152,23 @@ def evaluate_rules_isolated(
     The result has one line per rule, so it is held on the driver between the runs. Only errors
     that Spark reports about data or SQL count against a rule; a failing cluster raises.
     """
+    known = _analyzed(df, rules)
+
     def run(part: Sequence[Rule]) -> list[Row]:
-        return evaluate_rules(df, part, table_name, ingestion_time, as_of).collect()
+        return evaluate_rules(df, part, table_name, ingestion_time, as_of, known).collect()
 
     def on_error(rule: Rule, error: Exception) -> list[Row]:
         message = f"SQL condition error: {error}"
         return evaluate_rules(df, [rule], table_name, ingestion_time, as_of, {rule: message}).collect()
 
-    rows = run_isolated(list(rules), run, on_error, PySparkException)
+    def suspects(part: Sequence[Rule], error: Exception) -> list[Rule]:
+        # Most errors quote the piece of SQL that failed.
+        quoted = [c.fragment() for c in error.getQueryContext()]
+        return [r for r in part if any(q and q in r.condition for q in quoted)]
+
+    rows = run_isolated(list(rules), run, on_error, PySparkException, suspects)
+    place = {r.name: i for i, r in enumerate(rules)}
+    rows.sort(key=lambda row: place[row["rule_name"]])
     return df.sparkSession.createDataFrame(rows, RULE_RESULT)
 
 

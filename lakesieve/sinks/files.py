@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..functions.hashing import EXACT_JSON
+from ..sources.files import CSV_WRITE, read_landing
 from ..storage import swap_in
 
 LANDING_FORMATS = ("json", "csv")
@@ -75,7 +76,7 @@ def land(
     if fmt == "json":
         writer.json(folder)
     else:
-        writer.option("maxRecordsPerFile", CSV_ROWS_PER_FILE).csv(folder, header=True, escape='"')
+        writer.options(maxRecordsPerFile=CSV_ROWS_PER_FILE, **CSV_WRITE).csv(folder)
     if ts is not None and (fmt == "json" if refresh_latest is None else refresh_latest):
         _copy_landing(df.sparkSession, folder, latest, fmt, df.schema)
     return folder
@@ -89,9 +90,8 @@ def _copy_landing(
         spark.read.text(source).write.mode("overwrite").text(target)
         return
     strings = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    (spark.read.schema(strings).csv(source, header=True, multiLine=True, escape='"')
-     .write.mode("overwrite").option("maxRecordsPerFile", CSV_ROWS_PER_FILE)
-     .csv(target, header=True, escape='"'))
+    (read_landing(spark, source, fmt, strings).write.mode("overwrite")
+     .options(maxRecordsPerFile=CSV_ROWS_PER_FILE, **CSV_WRITE).csv(target))
 
 
 def fit_partitions(

@@ -28,9 +28,12 @@ def _writer(df, url, table, props, schema, mode, batch_size):
 
 def append_jdbc(
     df: DataFrame, url: str, table: str, props: Mapping[str, str] | None = None,
-    schema: str | None = None, batch_size: int = BATCH_SIZE,
+    schema: str | None = None, batch_size: int = BATCH_SIZE, writers: int = WRITERS,
 ) -> None:
-    _writer(df, url, table, props, schema, "append", batch_size).save()
+    """Add rows to a remote table through at most ``writers`` connections."""
+    (_writer(df, url, table, props, schema, "append", batch_size)
+     .option("numPartitions", writers)
+     .save())
 
 
 def overwrite_jdbc(

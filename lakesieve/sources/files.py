@@ -8,6 +8,15 @@ from pyspark.sql import types as T
 from ..functions.naming import quoted
 
 
+# Quotes are doubled inside values. An empty field is null and a quoted empty one an empty string,
+# which Spark only tells apart when its null marker is some other text.
+CSV_READ = {"header": "true", "multiLine": "true", "escape": '"', "nullValue": "\ue000null\ue000"}
+CSV_WRITE = {
+    "header": "true", "escape": '"',
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A Parquet dataset; the schema comes from the footer unless given."""
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -28,5 +37,5 @@ def read_landing(spark: SparkSession, path: str, fmt: str, schema: T.StructType
     if fmt == "json":
         return reader.json(path)
     if fmt == "csv":
-        return reader.csv(path, header=True, multiLine=True, escape='"')
+        return reader.options(**CSV_READ).csv(path)
     raise ValueError(f"landing format must be json or csv, not {fmt!r}")

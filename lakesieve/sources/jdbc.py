@@ -6,10 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.lists import ordered_list
 
 FETCH_SIZE = 10_000
+SINGLE_TASK_ROWS = 1_000_000
+SPLITTABLE = (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def remote_name(table: str, schema: str | None = None) -> str:
@@ -18,6 +21,10 @@ def remote_name(table: str, schema: str | None = None) -> str:
     return ".".join('"' + p.replace('"', '""') + '"' for p in parts)
 
 
+def _first_splittable(schema: T.StructType) -> str | None:
+    return next((f.name for f in schema.fields if isinstance(f.dataType, SPLITTABLE)), None)
+
+
 def _reader(spark: SparkSession, url: str, props: Mapping[str, str] | None):
     return (spark.read.format("jdbc")
             .option("url", url)
@@ -44,9 +51,10 @@ def read_jdbc(
 ) -> DataFrame:
     """A whole remote table.
 
-    Without ``partition_column`` or ``predicates`` one task reads everything, which only suits
-    small tables. With a column, its remote min and max set the stride bounds. ``predicates``
-    gives one task per condition, for keys whose values are unevenly spread.
+    The read is split over ``partition_column``, between its remote min and max, or into one task
+    per condition in ``predicates``, which suits keys whose values are unevenly spread. Without
+    either, a table of up to ``SINGLE_TASK_ROWS`` rows is read by one task; a larger one is split
+    over its first column that can be split, and refused if there is none.
     """
     name = remote_name(table, schema)
     if predicates is not None:
@@ -54,11 +62,19 @@ def read_jdbc(
         return spark.read.jdbc(url, name, predicates=list(predicates), properties=properties)
     reader = _reader(spark, url, props).option("dbtable", name)
     if partition_column is None:
-        return reader.load()
+        whole = reader.load()
+        if count_jdbc(spark, url, table, props, schema) <= SINGLE_TASK_ROWS:
+            return whole
+        partition_column = _first_splittable(whole.schema)
+        if partition_column is None:
+            raise ValueError(f"{name} is too large for one task: give a partition_column or predicates")
     key = remote_name(partition_column)
-    bounds = read_jdbc_query(
-        spark, url, f"SELECT min({key}) AS lo, max({key}) AS hi FROM {name}", props
-    ).toDF("lo", "hi").select(F.col("lo").cast("string"), F.col("hi").cast("string")).first()
+    ends = read_jdbc_query(
+        spark, url, f"SELECT min({key}) AS lo, max({key}) AS hi FROM {name}", props).toDF("lo", "hi")
+    whole_numbers = isinstance(ends.schema["lo"].dataType, T.NumericType)
+    bounds = ends.select(*[
+        (F.col(c).cast("bigint") if whole_numbers else F.col(c)).cast("string").alias(c) for c in ends.columns
+    ]).first()
     if bounds["lo"] is None:
         return reader.load()
     return (reader

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -21,10 +22,10 @@ def scratch_root(spark: SparkSession) -> str:
     Only a local master, where driver and executors are one machine, may fall back to a
     temporary folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         return _local_root(spark.sparkContext.applicationId)
     raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
 
