@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.naming import named
+from ..storage import staged
 
 # Above this many values a set travels better as a table than as a literal list in the plan.
 LITERAL_LIMIT = 1_000
@@ -49,12 +50,22 @@ def _by_set(df: DataFrame, column: str, values, how: str) -> DataFrame:
         if len(values) <= LITERAL_LIMIT:
             inside = named(column).isin(*values) if values else F.lit(False)
             return df.filter(inside if how == "left_semi" else ~inside)
-        values = df.sparkSession.createDataFrame([(v,) for v in values], "k string")
-    # Distinct keys: a value repeated very often is reduced before it is shuffled.
-    keys = values.toDF("_k").distinct()
+        keys = df.sparkSession.createDataFrame([(v,) for v in set(values)], "_k string")
+    else:
+        keys = _stored_keys(values.toDF("_k"))
     return df.join(keys, named(column) == F.col("_k"), how)
 
 
+def _stored_keys(keys: DataFrame) -> DataFrame:
+    """Each key once, as a stored table.
+
+    Repeats are folded before the shuffle. Storing the keys gives the join a known size to choose
+    its strategy by, and a plain shuffle on either side where it has to shuffle, so that adaptive
+    execution can split a hot key of the rows; it cannot do so above an aggregate.
+    """
+    return staged(keys.filter(F.col("_k").isNotNull()).distinct(), "keys")
+
+
 def semi_join_normalized(
     left: DataFrame, right: DataFrame, key: str, right_key: str | None = None
 ) -> DataFrame:
@@ -62,5 +73,5 @@ def semi_join_normalized(
     def normal(name: str) -> Column:
         return F.lower(F.trim(named(name)))
 
-    keys = right.select(normal(right_key or key).alias("_k")).distinct()
+    keys = _stored_keys(right.select(normal(right_key or key).alias("_k")))
     return left.join(keys, normal(key) == F.col("_k"), "left_semi")

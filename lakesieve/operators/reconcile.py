@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import row_hash
+from ..storage import staged
 from .columns import overlap
 
 
@@ -17,12 +18,28 @@ def _key(df: DataFrame, null_safe: bool) -> Column:
     return F.unhex(row_hash(df.schema.fields, null_safe)).alias(_KEY)
 
 
+def _per_key(source: DataFrame, target: DataFrame, null_safe: bool) -> DataFrame:
+    """Copies of each row on either side: (key, s, t).
+
+    Both sides go through one grouping, counted per side before the shuffle, so a row that makes
+    up a third of a table is a few partial counts by then. Only keys are shuffled, never rows.
+    """
+    def side(df: DataFrame, s: int, t: int) -> DataFrame:
+        return df.select(_key(df, null_safe), F.lit(s).alias("s"), F.lit(t).alias("t"))
+
+    both = side(source, 1, 0).unionAll(side(target, 0, 1))
+    return both.groupBy(_KEY).agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
+
+
 def _missing_from(left: DataFrame, right: DataFrame, null_safe: bool) -> DataFrame:
-    # The right side carries each hash once: copies of one row are folded before the shuffle,
-    # and the join reuses the partitioning the folding needs. Hot keys on the left are split by
-    # adaptive skew handling.
-    known = right.select(_key(right, null_safe)).distinct()
-    return left.withColumn(_KEY, _key(left, null_safe)).join(known, _KEY, "left_anti").drop(_KEY)
+    """Rows of ``left`` without an equal row in ``right``.
+
+    The missing keys, each once, are stored first. Their size is then known: Spark broadcasts them
+    where they are small, so the rows need no shuffle, and otherwise joins two plain shuffles,
+    whose hot partitions adaptive execution splits.
+    """
+    missing = staged(_per_key(left, right, null_safe).filter("s > 0 AND t = 0").select(_KEY), "missing-keys")
+    return left.withColumn(_KEY, _key(left, null_safe)).join(missing, _KEY, "left_semi").drop(_KEY)
 
 
 def rows_to_insert(source: DataFrame, target: DataFrame, null_safe: bool = True) -> DataFrame:
@@ -36,18 +53,10 @@ def rows_to_delete(source: DataFrame, target: DataFrame, null_safe: bool = True)
 
 
 def reconcile_counts(source: DataFrame, target: DataFrame, null_safe: bool = True) -> DataFrame:
-    """One row (source_rows, target_before, target_after, to_insert, to_delete, appended).
-
-    Both sides go through one grouping on the hash, counted per side before the shuffle, instead
-    of two anti joins that would each move both sides.
-    """
-    def side(df: DataFrame, s: int, t: int) -> DataFrame:
-        return df.select(_key(df, null_safe), F.lit(s).alias("s"), F.lit(t).alias("t"))
-
-    per_hash = (side(source, 1, 0).unionAll(side(target, 0, 1))
-                .groupBy(_KEY).agg(F.sum("s").alias("s"), F.sum("t").alias("t")))
+    """One row (source_rows, target_before, target_after, to_insert, to_delete, appended), from
+    one shuffle of keys instead of two anti joins that would each move both sides."""
     zero = F.lit(0).cast("long")
-    counts = per_hash.agg(
+    counts = _per_key(source, target, null_safe).agg(
         F.coalesce(F.sum("s"), zero).alias("source_rows"),
         F.coalesce(F.sum("t"), zero).alias("target_before"),
         F.coalesce(F.sum("s"), zero).alias("target_after"),

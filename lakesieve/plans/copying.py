@@ -18,7 +18,7 @@ from ..operators.reconcile import reconcile_counts
 from ..sinks.files import replace_table
 from ..sinks.jdbc import append_jdbc, overwrite_jdbc
 from ..sources.jdbc import count_jdbc, jdbc_columns, read_jdbc
-from ..storage import child_names, path_exists, scratch_path
+from ..storage import child_names, path_exists, staged
 
 log = logging.getLogger(__name__)
 
@@ -114,9 +114,7 @@ def _copy_table(
         return skipped("no overlapping columns")
     if not source.stable:
         # A database can change between two reads: keep one copy that all later steps share.
-        snapshot = scratch_path(source.spark, "snapshot")
-        rows.write.parquet(snapshot)
-        rows = source.spark.read.schema(rows.schema).parquet(snapshot)
+        rows = staged(rows, "snapshot")
     if rows.isEmpty() and not allow_empty:
         return skipped("no rows in source", source_rows=0)
 

@@ -8,7 +8,6 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from ..contracts import RULE_RESULT
-from ..operators.filters import semi_join_normalized
 from ..operators.isolation import run_isolated
 from ..operators.rules import evaluate_all, evaluate_rules_isolated, rules_by_table
 from ..sinks.files import write_results
@@ -36,13 +35,11 @@ def rules_job(
     tables form one Spark plan with one scan each. If that breaks, the tables and then the rules
     at fault are singled out and become ERROR lines.
     """
-    names = spark.createDataFrame([(t,) for t in tables], "table_name string")
-    with_rules = {r["table_name"] for r in semi_join_normalized(names, rules, "table_name").collect()}
     by_table = rules_by_table(rules)
     slices: list[tuple[str, str]] = []
     rows: list[Row] = []
     for table, root in tables.items():
-        if table not in with_rules:
+        if table.strip().lower() not in by_table:
             continue
         try:
             stamp = resolve_partition_dir(spark, root, partition_column, requested)

@@ -8,7 +8,7 @@ import uuid
 from functools import lru_cache
 from urllib.parse import unquote
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @lru_cache(maxsize=None)
@@ -38,6 +38,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` computed once and kept as a table in the shared folder.
+
+    Later plans start from a table whose size is known and which no lost executor can take away.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _handle(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -3,9 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakesieve.operators import (
     Rule, drop_null_columns, evaluate_rules, failing_rows, null_counts, profile, reconcile_counts, rows_to_insert, scorecard,
+    semi_join_normalized,
 )
 
 
@@ -61,9 +63,41 @@ def test_reconcile_shuffles_both_sides_once(orders):
     assert (scans(counts), shuffles(counts)) == (2, 1)
 
 
-def test_no_cross_joins_and_no_forced_broadcast(orders):
-    text = plan(rows_to_insert(orders, orders.filter("o_custkey > 5")))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+def test_small_delta_does_not_shuffle_the_rows(orders):
+    delta = rows_to_insert(orders, orders.filter("o_custkey > 5"))
+    assert "BroadcastHashJoin" in plan(delta) and shuffles(delta) == 0
+
+
+def test_large_delta_joins_plain_shuffles_that_can_be_split(spark, orders):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for joined in (rows_to_insert(orders, orders.filter("o_custkey > 5")),
+                       semi_join_normalized(orders, orders, "o_orderpriority")):
+            text = plan(joined)
+            assert "SortMergeJoin" in text and shuffles(joined) == 2
+            assert "HashAggregate" not in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_key_is_split_at_run_time(spark):
+    """A third of the rows share one key; the join must not leave them to one task."""
+    n = 400_000
+    rows = spark.range(n).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id) END AS k", "sha2(string(id), 256) AS pad")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = semi_join_normalized(rows, rows, "k")
+        counted = joined.agg(F.count("*"), F.max("pad"))
+        assert counted.collect()[0][0] == n
+        assert "skew=true" in plan(counted)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
 
 
 def test_rule_filters_reach_the_scan(orders):
