@@ -1,78 +1,118 @@
-"""Source against target by row hash."""
+"""Source against target, row by row.
+
+Rows are equal when all their columns are. ``by="columns"`` compares the columns themselves in one
+shuffle of pre-counted rows. ``by="fingerprint"`` compares the SHA-256 of the rows instead and
+shuffles some 60 bytes per row, which pays for long texts and hundreds of columns; it also offers
+``null_safe=False``, the weaker hash that leaves nulls out.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import row_hash
+from ..functions.naming import named
 from ..storage import staged
 from .columns import overlap
 
-
 _KEY = "_row_key"
+_S, _T = "_source_copies", "_target_copies"
+_BLOCK = 1_000_000
 
 
-def _key(df: DataFrame, null_safe: bool) -> Column:
-    """The row hash in its binary form: half the size of the hex text in a shuffle."""
-    return F.unhex(row_hash(df.schema.fields, null_safe)).alias(_KEY)
+def _keyed(df: DataFrame, by: str, null_safe: bool) -> DataFrame:
+    if by == "fingerprint":
+        # The hash in binary form: half the size of its hex text.
+        return df.select(F.unhex(row_hash(df.schema.fields, null_safe)).alias(_KEY))
+    if by != "columns":
+        raise ValueError(f"compare rows by columns or fingerprint, not {by!r}")
+    if not null_safe:
+        raise ValueError("null_safe=False only has a meaning for fingerprints")
+    return df
 
 
-def _per_key(source: DataFrame, target: DataFrame, null_safe: bool) -> DataFrame:
-    """Copies of each row on either side: (key, s, t).
+def _copies(source: DataFrame, target: DataFrame, by: str, null_safe: bool) -> DataFrame:
+    """Each distinct row, or its fingerprint, with its number of copies on either side.
 
-    Both sides go through one grouping, counted per side before the shuffle, so a row that makes
-    up a third of a table is a few partial counts by then. Only keys are shuffled, never rows.
+    Both sides go through one grouping and are counted before the shuffle, so a row that makes up
+    a third of a table is a few partial counts by then.
     """
     def side(df: DataFrame, s: int, t: int) -> DataFrame:
-        return df.select(_key(df, null_safe), F.lit(s).alias("s"), F.lit(t).alias("t"))
-
-    both = side(source, 1, 0).unionAll(side(target, 0, 1))
-    return both.groupBy(_KEY).agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
-
-
-def _missing_from(left: DataFrame, right: DataFrame, null_safe: bool) -> DataFrame:
-    """Rows of ``left`` without an equal row in ``right``.
-
-    The missing keys, each once, are stored first. Their size is then known: Spark broadcasts them
-    where they are small, so the rows need no shuffle, and otherwise joins two plain shuffles,
-    whose hot partitions adaptive execution splits.
-    """
-    missing = staged(_per_key(left, right, null_safe).filter("s > 0 AND t = 0").select(_KEY), "missing-keys")
-    return left.withColumn(_KEY, _key(left, null_safe)).join(missing, _KEY, "left_semi").drop(_KEY)
-
-
-def rows_to_insert(source: DataFrame, target: DataFrame, null_safe: bool = True) -> DataFrame:
-    """Source rows whose hash the target does not have. Both sides have the same columns."""
-    return _missing_from(source, target, null_safe)
-
-
-def rows_to_delete(source: DataFrame, target: DataFrame, null_safe: bool = True) -> DataFrame:
-    """Target rows whose hash the source does not have."""
-    return _missing_from(target, source, null_safe)
-
-
-def reconcile_counts(source: DataFrame, target: DataFrame, null_safe: bool = True) -> DataFrame:
+        return _keyed(df, by, null_safe).withColumns({_S: F.lit(s), _T: F.lit(t)})
+
+    both = side(source, 1, 0).unionByName(side(target, 0, 1))
+    keys = [named(c) for c in both.columns if c not in (_S, _T)]
+    return both.groupBy(*keys).agg(F.sum(_S).alias(_S), F.sum(_T).alias(_T))
+
+
+def _repeated(rows: DataFrame, copies: str) -> DataFrame:
+    """Each row as often as ``copies`` says. A row with very many copies is first cut into blocks
+    that are spread over the cluster, so that no task has to write them all."""
+    n = F.col(copies)
+    few = rows.filter(n <= _BLOCK)
+    blocks = (rows.filter(n > _BLOCK)
+              .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({copies} - 1) DIV {_BLOCK}"))))
+              .withColumn(copies, F.least(F.lit(_BLOCK), n - F.col("_block") * _BLOCK).cast("long"))
+              .repartition("_block")
+              .drop("_block"))
+    counted = few.unionByName(blocks)
+    return (counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), n)))
+            .drop("_copy", copies))
+
+
+def _missing_from(left: DataFrame, right: DataFrame, by: str, null_safe: bool) -> DataFrame:
+    """Rows of ``left``, with all their copies, without an equal row in ``right``."""
+    missing = _copies(left, right, by, null_safe).filter((F.col(_S) > 0) & (F.col(_T) == 0)).drop(_T)
+    if by == "columns":
+        return _repeated(missing, _S).select(*[named(c) for c in left.columns])
+    # The missing keys, each once, are stored: Spark broadcasts them where they are known to be
+    # small, so the rows need no shuffle, and otherwise joins two plain shuffles, whose hot
+    # partitions adaptive execution splits.
+    keys = staged(missing.select(_KEY), "missing-keys")
+    hashed = left.withColumn(_KEY, F.unhex(row_hash(left.schema.fields, null_safe)))
+    return hashed.join(keys, _KEY, "left_semi").drop(_KEY)
+
+
+def rows_to_insert(
+    source: DataFrame, target: DataFrame, by: str = "columns", null_safe: bool = True
+) -> DataFrame:
+    """Source rows the target does not have. Both sides have the same columns."""
+    return _missing_from(source, target, by, null_safe)
+
+
+def rows_to_delete(
+    source: DataFrame, target: DataFrame, by: str = "columns", null_safe: bool = True
+) -> DataFrame:
+    """Target rows the source does not have."""
+    return _missing_from(target, source, by, null_safe)
+
+
+def reconcile_counts(
+    source: DataFrame, target: DataFrame, by: str = "columns", null_safe: bool = True
+) -> DataFrame:
     """One row (source_rows, target_before, target_after, to_insert, to_delete, appended), from
-    one shuffle of keys instead of two anti joins that would each move both sides."""
-    zero = F.lit(0).cast("long")
-    counts = _per_key(source, target, null_safe).agg(
-        F.coalesce(F.sum("s"), zero).alias("source_rows"),
-        F.coalesce(F.sum("t"), zero).alias("target_before"),
-        F.coalesce(F.sum("s"), zero).alias("target_after"),
-        F.coalesce(F.sum(F.when(F.col("t") == 0, F.col("s"))), zero).alias("to_insert"),
-        F.coalesce(F.sum(F.when(F.col("s") == 0, F.col("t"))), zero).alias("to_delete"),
+    one shuffle instead of two anti joins that would each move both sides."""
+    zero, s, t = F.lit(0).cast("long"), F.col(_S), F.col(_T)
+    counts = _copies(source, target, by, null_safe).agg(
+        F.coalesce(F.sum(s), zero).alias("source_rows"),
+        F.coalesce(F.sum(t), zero).alias("target_before"),
+        F.coalesce(F.sum(s), zero).alias("target_after"),
+        F.coalesce(F.sum(F.when(t == 0, s)), zero).alias("to_insert"),
+        F.coalesce(F.sum(F.when(s == 0, t)), zero).alias("to_delete"),
     )
     return counts.withColumn("appended", F.greatest(zero, F.col("target_after") - F.col("target_before")))
 
 
-def snapshot_upsert(source: DataFrame, target: DataFrame, null_safe: bool = True) -> tuple[DataFrame, DataFrame]:
+def snapshot_upsert(
+    source: DataFrame, target: DataFrame, by: str = "columns", null_safe: bool = True
+) -> tuple[DataFrame, DataFrame]:
     """(new target, counts): the target becomes the source on the shared columns, copies kept."""
     new_target = overlap(target, source)
     if new_target is None:
         raise ValueError("source and target share no column")
     old_target = overlap(new_target, target)
-    return new_target, reconcile_counts(new_target, old_target, null_safe)
+    return new_target, reconcile_counts(new_target, old_target, by, null_safe)
 
 
 def delta_totals(outcomes: DataFrame) -> DataFrame:

@@ -103,7 +103,8 @@ def _in_target_shape(rows: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def _copy_table(
-    source: Schema, target: Schema, table: str, upsert: bool, allow_empty: bool, allow_blank: bool
+    source: Schema, target: Schema, table: str, upsert: bool, allow_empty: bool, allow_blank: bool,
+    by: str,
 ) -> dict:
     def skipped(reason: str, **counts) -> dict:
         return {"outcome": "skipped", "message": reason, **counts}
@@ -130,7 +131,7 @@ def _copy_table(
     if extra and not allow_blank:
         return skipped("replacing would blank target columns: " + ", ".join(extra))
     new = rows.select(*[named(c).cast(old.schema[c].dataType).alias(c) for c in rows.columns])
-    counts = reconcile_counts(new, old.select(*[named(c) for c in new.columns])).first()
+    counts = reconcile_counts(new, old.select(*[named(c) for c in new.columns]), by).first()
     target.replace(_in_target_shape(new, old) if extra else new, table)
     return {"outcome": "processed", "message": "", "source_rows": counts["source_rows"],
             "target_before": counts["target_before"], "target_after": counts["target_after"],
@@ -146,11 +147,12 @@ def append_schema(
     exclude: Collection[str] | None = None,
     allow_empty: bool = False,
     allow_blank: bool = False,
+    by: str = "columns",
 ) -> DataFrame:
     """Copy each source table the target has too; one outcome line per table.
 
-    Append adds the source rows. ``upsert`` compares both sides by row hash, counts what comes
-    and goes, then makes the target a snapshot of the source. An empty source never empties a
+    Append adds the source rows. ``upsert`` compares both sides row by row (``by`` columns or
+    fingerprint), counts what comes and goes, then makes the target a snapshot of the source. An empty source never empties a
     target unless ``allow_empty``, and target-only columns are not blanked by a replacement unless
     ``allow_blank``. A table that fails does not stop the others.
     """
@@ -162,7 +164,7 @@ def append_schema(
     for table in chosen:
         try:
             if table in known:
-                outcome = _copy_table(source, target, table, upsert, allow_empty, allow_blank)
+                outcome = _copy_table(source, target, table, upsert, allow_empty, allow_blank, by)
             else:
                 outcome = {"outcome": "skipped", "message": "target table not found"}
         except Exception as error:

@@ -22,6 +22,11 @@ def deleted(spark, sf_dir):
     return rows_to_delete(view(spark, sf_dir, V4_SOURCE), view(spark, sf_dir, V4_TARGET))
 
 
+@query("J1_rows_to_insert_by_hash", missing(_S, _T))
+def inserted_by_hash(spark, sf_dir):
+    return rows_to_insert(view(spark, sf_dir, V4_SOURCE), view(spark, sf_dir, V4_TARGET), by="fingerprint")
+
+
 @query("J5_snapshot_upsert", _S)
 def upserted(spark, sf_dir):
     snapshot, _ = snapshot_upsert(table(spark, sf_dir, "orders"), view(spark, sf_dir, V4_TARGET))

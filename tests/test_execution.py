@@ -63,15 +63,22 @@ def test_reconcile_shuffles_both_sides_once(orders):
     assert (scans(counts), shuffles(counts)) == (2, 1)
 
 
+def test_delta_by_columns_is_one_shuffle_and_no_join(orders):
+    text = plan(rows_to_insert(orders, orders.filter("o_custkey > 5")))
+    assert "Join" not in text and "partial_sum" in text
+    # The second use of the grouped rows, for rows with very many copies, reuses the shuffle.
+    assert text.count("Exchange hashpartitioning(o_orderkey") - text.count("ReusedExchange") <= 2
+
+
 def test_small_delta_does_not_shuffle_the_rows(orders):
-    delta = rows_to_insert(orders, orders.filter("o_custkey > 5"))
+    delta = rows_to_insert(orders, orders.filter("o_custkey > 5"), by="fingerprint")
     assert "BroadcastHashJoin" in plan(delta) and shuffles(delta) == 0
 
 
 def test_large_delta_joins_plain_shuffles_that_can_be_split(spark, orders):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        for joined in (rows_to_insert(orders, orders.filter("o_custkey > 5")),
+        for joined in (rows_to_insert(orders, orders.filter("o_custkey > 5"), by="fingerprint"),
                        semi_join_normalized(orders, orders, "o_orderpriority")):
             text = plan(joined)
             assert "SortMergeJoin" in text and shuffles(joined) == 2

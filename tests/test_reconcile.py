@@ -3,6 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import lakesieve.operators.reconcile as reconcile
 from lakesieve.operators import delta_totals, reconcile_counts, rows_to_delete, rows_to_insert, snapshot_upsert
 from lakesieve.sinks import upsert
 
@@ -11,12 +12,13 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, "a int, b string")
 
 
-def test_delta_with_copies_and_nulls(spark):
+@pytest.mark.parametrize("by", ["columns", "fingerprint"])
+def test_delta_with_copies_and_nulls(spark, by):
     source = frame(spark, [(1, "x"), (1, "x"), (2, None), (None, None), (5, "new"), (5, "new")])
     target = frame(spark, [(1, "x"), (2, "gone"), (None, None), (None, None)])
-    assert Counter(map(tuple, rows_to_insert(source, target).collect())) == {(2, None): 1, (5, "new"): 2}
-    assert Counter(map(tuple, rows_to_delete(source, target).collect())) == {(2, "gone"): 1}
-    assert tuple(reconcile_counts(source, target).first()) == (6, 4, 6, 3, 1, 2)
+    assert Counter(map(tuple, rows_to_insert(source, target, by).collect())) == {(2, None): 1, (5, "new"): 2}
+    assert Counter(map(tuple, rows_to_delete(source, target, by).collect())) == {(2, "gone"): 1}
+    assert tuple(reconcile_counts(source, target, by).first()) == (6, 4, 6, 3, 1, 2)
 
 
 def test_empty_sides(spark):
@@ -43,6 +45,27 @@ def test_hot_row_is_counted_per_side_before_the_shuffle(spark):
     assert row["to_insert"] == (n + 2) // 3 and row["to_delete"] == 0
 
 
+def test_many_copies_are_written_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(reconcile, "_BLOCK", 7)
+    source = frame(spark, [(1, "x")] * 50 + [(2, "y")] * 7 + [(3, "z")] * 8 + [(4, "w")])
+    rows = rows_to_insert(source, frame(spark, [(4, "w")]))
+    assert Counter(r["a"] for r in rows.collect()) == {1: 50, 2: 7, 3: 8}
+
+
+def test_odd_names(spark):
+    source = frame(spark, [(1, "x"), (2, "y")]).toDF("a.b", "c `d`")
+    assert [tuple(r) for r in rows_to_insert(source, source.limit(1)).collect()] == [(2, "y")]
+
+
+def test_weak_hash_needs_fingerprints(spark):
+    rows = frame(spark, [(1, None)])
+    assert rows_to_insert(rows, rows, "fingerprint", null_safe=False).isEmpty()
+    with pytest.raises(ValueError, match="fingerprints"):
+        rows_to_insert(rows, rows, null_safe=False)
+    with pytest.raises(ValueError, match="columns or fingerprint"):
+        reconcile_counts(rows, rows, by="magic")
+
+
 def test_totals(spark):
     outcomes = spark.createDataFrame([("processed", 5), ("processed", 0), ("skipped", None), ("failed", None)], "outcome string, appended long")
     assert tuple(delta_totals(outcomes).first()) == (2, 1, 1, 5)
