@@ -6,23 +6,30 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SHEET_COLUMN = "sheet"
 
 
 def read_sheets(
-    spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet", **options: str
+    spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet",
+    schema: T.StructType | None = None, **options: str
 ) -> dict[str, DataFrame]:
-    """One DataFrame per named sheet, its name kept as a column."""
+    """One DataFrame per named sheet, its name kept as a column.
+
+    Each sheet is asked for its own layout; a shared ``schema`` saves that when there are many.
+    """
+    reader = spark.read.format(fmt).options(**options)
+    if schema is not None:
+        reader = reader.schema(schema)
     return {
-        sheet: spark.read.format(fmt).options(**options).load(path)
-        .withColumn(SHEET_COLUMN, F.lit(sheet))
+        sheet: reader.load(path).withColumn(SHEET_COLUMN, F.lit(sheet))
         for sheet, path in paths.items()
     }
 
 
 def read_sheet_dir(
-    spark: SparkSession, root: str, schema, fmt: str = "parquet", **options: str
+    spark: SparkSession, root: str, schema: T.StructType | str, fmt: str = "parquet", **options: str
 ) -> DataFrame:
     """A folder with one file per sheet, all in one scan; the file name without its ending
     names the sheet."""
