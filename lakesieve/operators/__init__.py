@@ -6,7 +6,7 @@ from .columns import (
 )
 from .filters import all_null_rows, failing_rows, include_exclude, semi_join_normalized
 from .gate import GateResult, gate_report, validate_table
-from .lists import ordered_list
+from .lists import ordered_chunks, ordered_list
 from .profile import duplicate_count, null_counts, profile, scorecard
 from .reconcile import (
     delta_totals, reconcile_counts, rows_to_delete, rows_to_insert, snapshot_upsert,
@@ -22,7 +22,7 @@ __all__ = [
     "dates_to_string", "delta_totals", "drop_null_columns", "duplicate_count", "each_sheet",
     "evaluate_all", "evaluate_rules", "evaluate_rules_isolated", "failing_rows",
     "fill_defaults", "gate_report", "include_exclude", "load_rules", "null_counts",
-    "ordered_list", "overlap", "prepare_sheet", "profile", "reconcile_counts",
+    "ordered_chunks", "ordered_list", "overlap", "prepare_sheet", "profile", "reconcile_counts",
     "rows_to_delete", "rows_to_insert", "rules_by_table", "scorecard", "semi_join_normalized",
     "snapshot_upsert", "standard_names", "standardize_columns", "union_by_category",
     "union_sheets", "validate_table", "with_constants",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.naming import named, positional
+from ..functions.naming import named, positional, quoted
 from ..functions.text import snake_name
 
 DATE_TIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -36,14 +36,36 @@ def standardize_columns(df: DataFrame, mapping: Mapping[str, str] | None = None)
     return df.toDF(*standard_names(df.columns, mapping))
 
 
+def _all_void(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.StructType):
+        return all(_all_void(f.dataType) for f in data_type.fields)
+    return isinstance(data_type, T.NullType)
+
+
+def _void_fields(data_type: T.DataType) -> list[str]:
+    """Paths of the void fields inside a struct, the outermost ones where everything below is void."""
+    if not isinstance(data_type, T.StructType):
+        return []
+    paths = []
+    for f in data_type.fields:
+        if _all_void(f.dataType):
+            paths.append(quoted(f.name))
+        else:
+            paths += [f"{quoted(f.name)}.{inner}" for inner in _void_fields(f.dataType)]
+    return paths
+
+
 def drop_null_columns(df: DataFrame) -> DataFrame:
     """Drop the columns that are null in every record.
 
-    Columns of the void type go without looking at the data; one aggregate decides the rest and
-    only its single row of counts reaches the driver. An empty table keeps its columns.
+    Columns and struct fields of the void type go without looking at the data; one aggregate
+    decides the rest and only its single row of counts reaches the driver. An empty table keeps
+    its columns.
     """
-    typed = df.select(*[named(f.name) for f in df.schema.fields
-                        if not isinstance(f.dataType, T.NullType)])
+    typed = df.select(*[
+        named(f.name).dropFields(*void).alias(f.name) if (void := _void_fields(f.dataType)) else named(f.name)
+        for f in df.schema.fields if not _all_void(f.dataType)
+    ])
     if not typed.columns:
         return typed
     flat = positional(typed)

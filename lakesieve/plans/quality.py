@@ -16,6 +16,7 @@ from ..operators.profile import scorecard
 from ..sinks.files import write_results
 from ..sources.layers import LAYERS, LayerSource, read_layer
 from ..sources.partitions import resolve_partition_dir
+from .copying import Schema
 
 LAYER_COLUMN = "layer"
 
@@ -88,6 +89,7 @@ def quality_job(
     requested: str | None = None,
     record_missing: bool = True,
     results_path: str | None = None,
+    warehouse: Schema | None = None,
     keywords: Mapping[str, Sequence[str]] = DEFAULT_KEYWORDS,
     as_of: str = "",
     by: str = "columns",
@@ -97,7 +99,8 @@ def quality_job(
     ``layer="all"`` goes through bronze, silver and gold. In bronze the requested ingestion slice
     is scored, or the latest of each table; a table without one gets a NO_DATA line or, without
     ``record_missing``, none. All tables of a layer form one Spark plan; a table that fails gets
-    an ERROR line. With ``results_path``, the lines are also written to ``<results_path>/<layer>``.
+    an ERROR line. With ``results_path``, the lines are also written to ``<results_path>/<layer>``;
+    with a ``warehouse``, appended to its table ``data_quality_results_<layer>``.
     """
     if layer != "all" and layer not in LAYERS:
         raise ValueError(f"unknown layer: {layer}")
@@ -108,6 +111,8 @@ def quality_job(
         results = spark.createDataFrame(rows, SCORECARD)
         if results_path is not None and rows:
             write_results(results, f"{results_path.rstrip('/')}/{current}")
+        if warehouse is not None and rows:
+            warehouse.append(results, f"data_quality_results_{current}")
         parts.append(results.withColumn(LAYER_COLUMN, F.lit(current)))
     united = parts[0]
     for part in parts[1:]:

@@ -12,6 +12,7 @@ from ..operators.isolation import run_isolated
 from ..operators.rules import evaluate_all, evaluate_rules_isolated, rules_by_table
 from ..sinks.files import write_results
 from ..sources.partitions import PARTITION_COLUMN, read_partition, resolve_partition_dir
+from .copying import Schema
 
 
 def _table_error(table: str, stamp: str, error: Exception, as_of: str) -> Row:
@@ -26,6 +27,7 @@ def rules_job(
     rules: DataFrame,
     requested: str | None = None,
     results_path: str | None = None,
+    warehouse: Schema | None = None,
     as_of: str = "",
     partition_column: str = PARTITION_COLUMN,
 ) -> DataFrame:
@@ -33,7 +35,8 @@ def rules_job(
 
     Tables without rules, and tables without the requested slice or any slice, are left out. All
     tables form one Spark plan with one scan each. If that breaks, the tables and then the rules
-    at fault are singled out and become ERROR lines.
+    at fault are singled out and become ERROR lines. The lines are also written to
+    ``results_path`` and appended to table ``data_quality_rules`` of a ``warehouse``, where given.
     """
     by_table = rules_by_table(rules)
     slices: list[tuple[str, str]] = []
@@ -70,4 +73,6 @@ def rules_job(
     results = spark.createDataFrame(rows, RULE_RESULT)
     if results_path is not None:
         write_results(results, results_path)
+    if warehouse is not None and rows:
+        warehouse.append(results, "data_quality_rules")
     return results

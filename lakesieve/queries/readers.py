@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import ordered_list
+from ..operators import ordered_chunks
 from ..sinks import land
 from ..sources import (
     LayerSource, latest_partition, latest_partition_dir, read_catalog, read_landing, read_layer,
@@ -111,13 +111,16 @@ def sheet_set_scan(spark, sf_dir):
 
 
 @query("S12_ordered_list",
-       "SELECT conv_id, turn // 1000 AS chunk, count(*) AS turns, "
-       "string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript "
-       "FROM conversations GROUP BY conv_id, turn // 1000")
+       "SELECT conv_id, place // 4 AS chunk, count(*) AS turns, CAST(sum(n) AS BIGINT) AS row_count, "
+       "string_agg(line, chr(10) ORDER BY place) AS transcript FROM "
+       "(SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, line) - 1 AS place FROM "
+       "(SELECT conv_id, turn, role || ': ' || text AS line, count(*) AS n FROM conversations GROUP BY ALL)) e "
+       "GROUP BY conv_id, place // 4")
 def transcripts(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").withColumn(
         "line", F.concat_ws(": ", "role", "text"))
-    lists = ordered_list(turns, "conv_id", "turn", "line", name="lines", chunk=1000)
+    lists = ordered_chunks(turns, "conv_id", "turn", "line", size=4, name="lines")
     return lists.select(
         "conv_id", "chunk", F.size("lines").cast("long").alias("turns"),
+        F.aggregate("copies", F.lit(0).cast("long"), lambda a, n: a + n).alias("row_count"),
         F.array_join("lines", "\n").alias("transcript"))

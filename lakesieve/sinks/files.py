@@ -13,7 +13,7 @@ from ..sources.files import CSV_WRITE, read_landing
 from ..storage import swap_in
 
 LANDING_FORMATS = ("json", "csv")
-CSV_ROWS_PER_FILE = 1_000_000
+CSV_ROWS_PER_FILE = 100_000
 
 
 def silver_path(base: str, file_name: str, category: str | None = None) -> str:

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from ..sources.jdbc import remote_name
 
 BATCH_SIZE = 5_000
-RESULTS_BATCH_SIZE = 1_000
 WRITERS = 8
 
 

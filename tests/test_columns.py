@@ -1,4 +1,6 @@
 import datetime
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from pyspark.sql import types as T
 from lakesieve.contracts import RULE_RESULT, SCORECARD
 from lakesieve.functions import with_row_hash
 from lakesieve.operators import (
-    cast_if_present, dates_to_string, drop_null_columns, fill_defaults, ordered_list, overlap,
+    cast_if_present, dates_to_string, drop_null_columns, fill_defaults, ordered_chunks, ordered_list, overlap,
     standard_names, standardize_columns, with_constants,
 )
 from lakesieve.plans import WORKBOOK_HEADERS
@@ -33,6 +35,14 @@ def test_drop_null_columns(spark):
     assert drop_null_columns(df.select(F.lit(None).alias("v"))).columns == []
 
 
+def test_drop_void_fields_inside_structs(spark):
+    df = spark.sql("SELECT 1 AS a, named_struct('x', NULL, 'y.z', named_struct('v', NULL, 'w', 2), 'n', named_struct('q', NULL)) AS s, "
+                   "named_struct('x', NULL) AS gone, CAST(NULL AS STRUCT<p: INT>) AS empty")
+    kept = drop_null_columns(df)
+    assert kept.dtypes == [("a", "int"), ("s", "struct<y.z:struct<w:int>>")]
+    assert kept.first()["s"][0]["w"] == 2
+
+
 def test_dates_to_string_covers_every_date_type(spark):
     df = spark.sql("SELECT DATE '2024-02-03' d, TIMESTAMP '2024-02-03 04:05:06' t, "
                    "TIMESTAMP_NTZ '2024-02-03 23:59:59' n, 5 AS x, CAST(NULL AS DATE) AS e")
@@ -93,13 +103,31 @@ def test_ordered_list(spark):
     assert lists == {"t": ["a", None, "c"], "u": ["z"]}
 
 
-def test_chunked_list_spreads_a_hot_key(spark):
+def test_chunks_of_a_hot_key(spark):
+    """One key with all its ordinals equal: nothing but the position can cut it."""
     n = 10_000
-    df = spark.range(n).select(F.lit("hot").alias("k"), "id", F.col("id").alias("v")).orderBy(F.rand(1))
-    chunks = ordered_list(df, "k", "id", "v", chunk=1000).orderBy("chunk").collect()
+    hot = spark.range(n).select(F.lit("hot").alias("k"), F.lit(1).alias("o"), F.col("id").alias("v"))
+    rows = hot.unionAll(hot.filter("v = 3")).unionAll(hot.filter("v = 3")).orderBy(F.rand(1))
+    chunks = ordered_chunks(rows, "k", "o", "v", size=1000).orderBy("chunk").collect()
     assert [r["chunk"] for r in chunks] == list(range(10))
-    assert max(len(r["values"]) for r in chunks) == 1000
+    assert {len(r["values"]) for r in chunks} == {1000}
     assert [v for r in chunks for v in r["values"]] == list(range(n))
+    assert [c for r in chunks for c in r["copies"]] == [3 if v == 3 else 1 for v in range(n)]
+
+
+def test_chunks_of_many_keys(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, "a", "b", "c", "d"]), rng.choice([None, *range(40)]), rng.choice([None, "x", "y"]))
+            for _ in range(2000)]
+    entries = Counter(rows)
+    expected = {}
+    first = lambda x: (x is not None, x if x is not None else 0)
+    for k in {r[0] for r in rows}:
+        own = sorted(((o, v) for kk, o, v in entries if kk == k), key=lambda e: (first(e[0]), e[1] is not None, e[1] or ""))
+        for i in range(0, len(own), 7):
+            expected[(k, i // 7)] = [(v, entries[(k, o, v)]) for o, v in own[i:i + 7]]
+    chunks = ordered_chunks(spark.createDataFrame(rows, "k string, o int, v string").repartition(5), "k", "o", "v", size=7)
+    assert {(r["k"], r["chunk"]): list(zip(r["values"], r["copies"])) for r in chunks.collect()} == expected
 
 
 def test_contract_types():

@@ -1,6 +1,6 @@
-import pytest
-from pyspark.sql import functions as F
+from pathlib import Path
 
+import pytest
 from lakesieve.contracts import COPY_OUTCOME, RULE_RESULT, SCORECARD
 from lakesieve.operators import load_rules
 from lakesieve.plans import LakeSchema, append_schema, clean_to_silver, land_and_clean, load_job, quality_job, rules_job
@@ -126,15 +126,17 @@ def bronze(spark, tmp_path_factory):
     for name, rows in {"orders": [(1, "a", "d1"), (1, "a", "d2"), (1, "a", "d2")], "events": [(None, "b", "d1")]}.items():
         frame(spark, rows, "id int, t string, ingestion_ts string").write.partitionBy("ingestion_ts").parquet(f"{root}/{name}")
     write_table(spark.range(1), f"{root}/flat")
-    (tmp_root := __import__("pathlib").Path(root) / "broken" / "ingestion_ts=d2").mkdir(parents=True)
-    (tmp_root / "part-0.parquet").write_text("not parquet")
+    damaged = Path(root) / "broken" / "ingestion_ts=d2"
+    damaged.mkdir(parents=True)
+    (damaged / "part-0.parquet").write_text("not parquet")
     return root
 
 
 def test_quality_job(spark, bronze, tmp_path):
     source = LayerSource(bronze=bronze, silver=bronze)
     tables = {"bronze": ["orders", "events", "flat", "broken", "absent", " "], "silver": ["flat"]}
-    result = quality_job(spark, source, tables, "all", results_path=str(tmp_path), as_of="now")
+    warehouse = LakeSchema(spark, str(tmp_path / "wh"))
+    result = quality_job(spark, source, tables, "all", results_path=str(tmp_path), warehouse=warehouse, as_of="now")
     rows = {(r["layer"], r["table_name"]): r for r in result.collect()}
     assert {k: (r["processing_status"], r["ingestion_timestamp"], r["number_of_records"]) for k, r in rows.items()} == {
         ("bronze", "orders"): ("SUCCESS", "d2", 2), ("bronze", "events"): ("SUCCESS", "d1", 1),
@@ -142,6 +144,7 @@ def test_quality_job(spark, bronze, tmp_path):
         ("bronze", "absent"): ("ERROR", "", 0), ("silver", "flat"): ("SUCCESS", "", 1)}
     assert rows[("bronze", "flat")]["data_score"] == 100.0 and rows[("bronze", "broken")]["data_score"] == 0.0
     assert read_results(spark, f"{tmp_path}/bronze", SCORECARD).count() == 5
+    assert warehouse.tables() == ["data_quality_results_bronze", "data_quality_results_silver"]
     with pytest.raises(ValueError, match="unknown layer"):
         quality_job(spark, source, tables, "copper")
 
@@ -165,11 +168,13 @@ def test_rules_job(spark, bronze, tmp_path):
         ("events", "key", "", "HIGH", "id IS NULL"), ("broken", "any", "", "LOW", "true"), ("flat", "any", "", "LOW", "true"),
         ("unknown", "any", "", "LOW", "true")])
     tables = {n: f"{bronze}/{n}" for n in ("orders", "events", "broken", "flat", "no_rules")}
-    result = rules_job(spark, tables, rules, results_path=str(tmp_path / "r"), as_of="now")
+    warehouse = LakeSchema(spark, str(tmp_path / "wh"))
+    result = rules_job(spark, tables, rules, results_path=str(tmp_path / "r"), warehouse=warehouse, as_of="now")
     assert {(r["table_name"], r["rule_name"], r["rule_status"], r["failed_count"], r["ingestion_time"]) for r in result.collect()} == {
         ("orders", "dup", "FAILED", 2, "d2"), ("orders", "bad", "ERROR", 0, "d2"), ("events", "key", "FAILED", 1, "d1"),
         ("broken", "table_processing_error", "ERROR", 0, "d2")}
     assert read_results(spark, str(tmp_path / "r"), RULE_RESULT).count() == 4
+    assert warehouse.count("data_quality_rules") == 4
 
 
 def test_rules_job_skips_tables_without_the_slice(spark, bronze):
@@ -178,4 +183,3 @@ def test_rules_job_skips_tables_without_the_slice(spark, bronze):
     result = rules_job(spark, tables, rules, requested="d2")
     assert [(r["table_name"], r["total_count"]) for r in result.collect()] == [("orders", 2)]
     assert rules_job(spark, tables, load_rules(spark)).count() == 0
-    assert F is not None
