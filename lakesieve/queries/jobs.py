@@ -4,7 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from ..functions import checkpoint_code, stored_code
+from ..functions import checkpoint_code
 from ..operators import delta_totals
 from ..plans import LakeSchema, append_schema, land_and_clean, load_job, quality_job, rules_job, sheets_job
 from ..sinks import write_table
@@ -81,9 +81,8 @@ def membership_sheets(spark, sf_dir):
     written, checkpoints, _ = sheets_job(
         read_sheets(spark, sheet_folder(spark, sf_dir)), "lake", "final-membership", f"{base}/silver",
         as_of=_AS_OF, user="tester", mode="category", warehouse=warehouse)
-    codes = checkpoint_code(F.lit("lake"), F.lit("final-membership"), "category")
-    return (checkpoints.join(written.withColumn("part", codes),
-                             F.col("code") == stored_code("group_name", F.col("part")))
+    steps = written.withColumn("part", checkpoint_code(F.lit("lake"), F.lit("final-membership"), "category"))
+    return (checkpoints.withColumn("part", F.expr("substr(code, length(group_name) + 2)")).join(steps, "part")
             .select("category", "row_count", "group_name", "code", "data_upto_ts", "updated_by"))
 
 

@@ -27,12 +27,13 @@ def totals(df: DataFrame, *by: str) -> DataFrame:
         F.count("*").alias("row_count"),
         F.sum(F.col("qty").cast("long")).alias("qty"),
         F.sum(F.col("price_usd").cast("decimal(18,2)")).cast("double").alias("price_usd"),
-        F.min("ship_date").alias("first_day"))
+        # Dates aggregate by hash; text would be sorted first.
+        F.min(F.to_date("ship_date")).alias("first_day"))
 
 
 TOTALS = ("count(*) AS row_count, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty, "
           "CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS price_usd, "
-          "min(strftime(l_shipdate, '%Y-%m-%d')) AS first_day")
+          "min(CAST(l_shipdate AS DATE)) AS first_day")
 CATEGORY = "CASE l_returnflag WHEN 'A' THEN 'accepted' WHEN 'R' THEN 'returned' ELSE 'FY' END"
 
 

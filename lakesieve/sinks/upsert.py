@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.naming import named
@@ -20,8 +21,9 @@ def upsert(
     """``target`` with ``changes`` merged in on ``keys``.
 
     A key in both keeps the target's values except for ``update_columns``; a new key is inserted
-    whole. ``changes`` holds each key once, or ``latest_by`` names the column whose greatest value
-    decides; that choice is an aggregate, so repeats of one key are combined before any shuffle.
+    whole. As with a unique constraint, a null in a key matches nothing. ``changes`` holds each key
+    once, or ``latest_by`` names the column whose greatest value decides; that choice is an
+    aggregate, so repeats of one key are combined before any shuffle.
     """
     columns = target.columns
     changes = changes.select(*[named(c) for c in columns])
@@ -34,17 +36,16 @@ def upsert(
             .select(*[named(k) for k in keys], "_top._row.*")
             .select(*[named(c) for c in columns])
         )
-    t = target.select(F.struct(*[named(c) for c in columns]).alias("t"))
-    c = changes.select(F.struct(*[named(c) for c in columns]).alias("c"))
-    match = F.lit(True)
-    for key in keys:
-        match = match & F.col("t").getField(key).eqNullSafe(F.col("c").getField(key))
-    joined = t.join(c, match, "full_outer")
-
-    def merged(name: str):
-        old, new = F.col("t").getField(name), F.col("c").getField(name)
+    # Keys stay plain columns, so sides that are already partitioned by them are not shuffled again.
+    old = target.select(*[named(c).alias(f"t{i}") for i, c in enumerate(columns)], F.lit(True).alias("known"))
+    new = changes.select(*[named(c).alias(f"c{i}") for i, c in enumerate(columns)], F.lit(True).alias("changed"))
+    same_key = reduce(Column.__and__, [
+        F.col(f"t{columns.index(k)}") == F.col(f"c{columns.index(k)}") for k in keys])
+    joined = old.join(new, same_key, "full_outer")
+
+    def merged(i: int, name: str) -> Column:
         if name in update_columns:
-            return F.when(F.col("c").isNotNull(), new).otherwise(old).alias(name)
-        return F.when(F.col("t").isNotNull(), old).otherwise(new).alias(name)
+            return F.when(F.col("changed"), F.col(f"c{i}")).otherwise(F.col(f"t{i}")).alias(name)
+        return F.when(F.col("known"), F.col(f"t{i}")).otherwise(F.col(f"c{i}")).alias(name)
 
-    return joined.select(*[merged(name) for name in columns])
+    return joined.select(*[merged(i, name) for i, name in enumerate(columns)])

@@ -5,10 +5,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import lakesieve.operators.reconcile as reconcile
 from lakesieve.operators import (
     Rule, drop_null_columns, evaluate_rules, failing_rows, null_counts, profile, reconcile_counts, rows_to_insert, scorecard,
     semi_join_normalized,
 )
+from lakesieve.sinks import upsert
 
 
 def plan(df):
@@ -63,11 +65,20 @@ def test_reconcile_shuffles_both_sides_once(orders):
     assert (scans(counts), shuffles(counts)) == (2, 1)
 
 
-def test_delta_by_columns_is_one_shuffle_and_no_join(orders):
-    text = plan(rows_to_insert(orders, orders.filter("o_custkey > 5")))
-    assert "Join" not in text and "partial_sum" in text
-    # The second use of the grouped rows, for rows with very many copies, reuses the shuffle.
-    assert text.count("Exchange hashpartitioning(o_orderkey") - text.count("ReusedExchange") <= 2
+def test_delta_by_columns_is_one_shuffle_and_no_join(orders, monkeypatch):
+    monkeypatch.setattr(reconcile, "_BLOCK", 1)
+    delta = rows_to_insert(orders.unionAll(orders), orders.filter("o_custkey > 5"))
+    delta.collect()
+    final = plan(delta).split("== Initial Plan ==")[0]
+    assert "Join" not in final and "partial_sum" in final
+    # Rows with very many copies are taken from the same shuffle as the others.
+    assert "ReusedExchange" in final
+    assert len(re.findall(r"FileScan parquet", final)) == 3
+
+
+def test_upsert_keeps_the_partitioning_of_its_inputs(orders):
+    latest = orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("day"))
+    assert shuffles(upsert(latest, latest, ["o_custkey"], ["day"])) <= 2
 
 
 def test_small_delta_does_not_shuffle_the_rows(orders):

@@ -85,6 +85,11 @@ def test_upsert(spark):
     assert sorted(map(tuple, again.collect())) == expected
 
 
+def test_null_keys_match_nothing(spark):
+    one = spark.createDataFrame([("L", None, 1, "me")], SCHEMA)
+    assert upsert(one, one, ["g", "code"], ["upto"]).count() == 2
+
+
 def test_upsert_writes_nulls_and_takes_the_latest(spark):
     target = spark.createDataFrame(TARGET, SCHEMA)
     changes = spark.createDataFrame([("L", "b", None, "you"), ("L", "a", 7, "x"), ("L", "a", 9, "y"), ("L", "a", 8, "z")], SCHEMA)
