@@ -34,9 +34,13 @@ def replace_table(df: DataFrame, path: str) -> None:
 
     The new data is written beside the old one and swapped in when it is complete.
     """
-    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(staged)
-    swap_in(df.sparkSession, staged, path)
+    beside = _beside(path)
+    df.write.mode("errorifexists").parquet(beside)
+    swap_in(df.sparkSession, beside, path)
+
+
+def _beside(path: str) -> str:
+    return f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
 
 
 def write_results(df: DataFrame, path: str, by: str = "table_name") -> None:
@@ -85,13 +89,16 @@ def land(
 def _copy_landing(
     spark: SparkSession, source: str, target: str, fmt: str, schema: T.StructType
 ) -> None:
-    # Copies what was landed instead of computing the records a second time.
+    # Copies what was landed instead of computing the records a second time, and shows the new
+    # "latest" only when it is complete.
+    beside = _beside(target)
     if fmt == "json":
-        spark.read.text(source).write.mode("overwrite").text(target)
-        return
-    strings = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    (read_landing(spark, source, fmt, strings).write.mode("overwrite")
-     .options(maxRecordsPerFile=CSV_ROWS_PER_FILE, **CSV_WRITE).csv(target))
+        spark.read.text(source).write.text(beside)
+    else:
+        strings = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+        (read_landing(spark, source, fmt, strings).write
+         .options(maxRecordsPerFile=CSV_ROWS_PER_FILE, **CSV_WRITE).csv(beside))
+    swap_in(spark, beside, target)
 
 
 def fit_partitions(

@@ -56,6 +56,16 @@ def test_empty_table_passes_even_broken_rules(spark, people):
     assert {(r["rule_status"], r["error_message"], r["validity_score"]) for r in rows} == {("PASSED", "Table is empty", 100.0)}
 
 
+def test_more_rules_than_one_pass(spark, people):
+    rules = [Rule(f"r{i}", f"n > {i - 40}") for i in range(70)] + [Rule("bad", "nope"), Rule("raises", "raise_error('x') IS NULL")]
+    rows = evaluate_rules_isolated(people, rules, "people").collect()
+    assert [r["rule_name"] for r in rows] == [r.name for r in rules]
+    values = [5, -1, 0]
+    assert [r["failed_count"] for r in rows[:70]] == [sum(v > i - 40 for v in values) for i in range(70)]
+    assert [r["rule_status"] for r in rows[70:]] == ["ERROR", "ERROR"]
+    assert evaluate_rules(people, [], "people").schema == RULE_RESULT
+
+
 def test_evaluate_all(spark, people):
     rules = {"people": [Rule("a", "n > 0"), Rule("b", "n < 0")]}
     assert evaluate_all({" People ": people, "other": people}, rules).count() == 2
