@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import each_sheet, prepare_sheet, union_by_category, union_sheets
-from ..sources import read_sheets
 from .registry import query
-from .views import SHEET_LABEL, sheet_folder
+from .views import SHEET_LABEL, workbook
 
 ODD_SHEET = "FY98"
 
@@ -16,7 +15,7 @@ ODD_SHEET = "FY98"
 def sheets(spark, sf_dir) -> dict[str, DataFrame]:
     """Prepared sheets; quantities are whole numbers in some of them and fractions in others."""
     ready = {}
-    for name, df in read_sheets(spark, sheet_folder(spark, sf_dir)).items():
+    for name, df in workbook(spark, sf_dir).items():
         rows = prepare_sheet(df, {"Order No": "order_no"})
         ready[name] = rows.withColumn("qty", F.col("qty").cast("int")) if name.startswith("Acc") else rows
     return ready

@@ -12,6 +12,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.sheets import read_sheets
 from ..storage import partition_dirs, scratch_path
 from .registry import table
 
@@ -80,6 +81,13 @@ def bronze_folder(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def workbook(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The sheets of :func:`sheet_folder`, which all have the layout of the first."""
+    folders = sheet_folder(spark, sf_dir)
+    layout = spark.read.parquet(next(iter(folders.values()))).schema
+    return read_sheets(spark, folders, schema=layout)
+
+
 @_per_session
 def sheet_folder(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Sheet name -> folder: line items as workbook sheets, one per return flag and year."""
