@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakesieve.functions.naming import named
 from lakesieve.storage import staged
@@ -42,4 +46,30 @@ def slot_filter(df: DataFrame, hashed: Column, keys: DataFrame, key: str) -> Dat
     )
 
 
-__all__ = ["SLOTS", "ascii_lower", "id_and_text", "named", "slot_filter", "staged"]
+def map_texts(rows: DataFrame, columns: str, fn: Callable[[list[str]], list[list]]) -> DataFrame:
+    """(doc_id, text) -> doc_id and ``columns``; ``fn`` gets the texts of an Arrow batch.
+
+    It returns one list per column. Batches are a bounded number of rows, whatever a task reads.
+    """
+    added = T._parse_datatype_string(columns)
+    schema = T.StructType([rows.schema["doc_id"], *added.fields])
+    types = [_arrow_type(f.dataType) for f in added.fields]
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = fn(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *(pa.array(v, t) for v, t in zip(found, types, strict=True))],
+                names=schema.names)
+
+    return rows.select("doc_id", "text").mapInArrow(mapped, schema)
+
+
+def _arrow_type(kind: T.DataType) -> pa.DataType:
+    if isinstance(kind, T.ArrayType):
+        return pa.list_(_arrow_type(kind.elementType))
+    return {T.LongType: pa.int64(), T.IntegerType: pa.int32(), T.DoubleType: pa.float64(),
+            T.BooleanType: pa.bool_(), T.StringType: pa.string(), T.BinaryType: pa.binary()}[type(kind)]
+
+
+__all__ = ["SLOTS", "ascii_lower", "id_and_text", "map_texts", "named", "slot_filter", "staged"]

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, dedup, licenses
+from . import bpe, chat, dedup, licenses, wordpiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_byte_bpe": bpe.op3_byte_bpe,
+    "op4_token_counts": wordpiece.op4_token_counts,
     "op5_exact_dedup": dedup.op5_exact_dedup,
     "op8_license_scan": licenses.op8_license_scan,
     "op9_chat_format": chat.op9_chat_format,
