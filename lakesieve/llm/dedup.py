@@ -16,8 +16,12 @@ from lakesieve.storage import scratch_path
 
 from .common import ascii_lower, id_and_text, slot_filter, staged
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; files grow as they are written, as many partitions may hold little each.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normal_text(text: Column) -> Column:
@@ -43,8 +47,9 @@ def remember(arriving: DataFrame, state_dir: str) -> DataFrame:
     """
     spark = arriving.sparkSession
     kept = arriving.groupBy("digest").agg(F.max(F.struct("doc_id", "locator")), F.count("*"))
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE_STORE}
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)
     try:
         stream = (
             kept.writeStream.outputMode("update").format("noop").trigger(availableNow=True)
@@ -53,10 +58,11 @@ def remember(arriving: DataFrame, state_dir: str) -> DataFrame:
         stream.awaitTermination()
         state = spark.read.format("statestore").load(state_dir)
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     return state.selectExpr(
         "key.digest", "value.max.doc_id AS keep_id", "value.max.locator AS keep_locator", "value.count AS group_size")
 
@@ -99,7 +105,7 @@ def exact_dedup(
     else:
         parts = (
             texts.withColumn("digest", F.expr(f"substr(sha2(text, 256), 1, {bits // 4})"))
-            .join(met, "digest").withColumn("locator", F.input_file_name())
+            .withColumn("locator", F.input_file_name()).join(met, "digest")
             .groupBy("text").agg(F.max(F.struct("doc_id", "locator")).alias("keep"),
                                  F.count("*").alias("group_size"))
             .selectExpr("sha2(text, 256) AS text_sha256", "keep.doc_id AS keep_id",
