@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, dedup, licenses, wordpiece
+from . import bpe, chat, dedup, langid, licenses, wordpiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": bpe.op3_byte_bpe,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": dedup.op5_exact_dedup,
     "op8_license_scan": licenses.op8_license_scan,
     "op9_chat_format": chat.op9_chat_format,
+    "op10_language_id": langid.op10_language_id,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
