@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, id_and_text
+from .common import ascii_lower, id_and_text, staged
 from .license_texts import KNOWN
 
 #: Lines that name a holder differ in every copy of a licence.
@@ -60,9 +60,10 @@ def scan_licenses(docs: DataFrame, known: DataFrame, lines: bool = True) -> Data
     line is looked up as a text of its own as well, and ``notices`` holds the distinct licences
     found so, sorted and joined by commas (empty: none). Null and empty texts match nothing.
     Repeated rows give repeated results; rows of one id and one normal form share their notices.
-    Only digests are joined. Spark broadcasts ``known`` while its size is small, which is usual.
+    Only digests are joined. Those of ``known`` are stored first, so Spark knows their size and
+    broadcasts them only while it is small.
     """
-    table = known_digests(known)
+    table = staged(known_digests(known), "license-digests")
     texts = id_and_text(docs)
     rows = texts.select("doc_id", digest(F.col("text")).alias("digest")).join(table, "digest", "left")
     if lines:
@@ -75,10 +76,9 @@ def scan_licenses(docs: DataFrame, known: DataFrame, lines: bool = True) -> Data
 
 def _notices(texts: DataFrame, table: DataFrame) -> DataFrame:
     found = (
-        texts.select("doc_id", "text", F.explode(F.split("text", "\n")).alias("line"))
-        .select("doc_id", "text", digest(F.col("line")).alias("digest"))
+        texts.select("doc_id", digest(F.col("text")).alias("whole"), F.explode(F.split("text", "\n")).alias("line"))
+        .select("doc_id", "whole", digest(F.col("line")).alias("digest"))
         .join(table, "digest")
-        .select("doc_id", digest(F.col("text")).alias("whole"), "license_id")
     )
     return found.groupBy("doc_id", "whole").agg(
         F.array_join(F.sort_array(F.collect_set("license_id")), ",").alias("notices"))
