@@ -7,6 +7,7 @@ even its best model explains far worse than the model's own documents is rejecte
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,8 +26,9 @@ SLOTS = 1_048_573
 HELD = 1 << 20
 #: Confidence is the softmax of minus the cross-entropies (bits per character) times this.
 SHARPNESS = 8.0
-#: A document is rejected beyond twice the 99.9 % quantile of training documents' distances, and
-#: never below this many standard deviations.
+#: A document is rejected beyond twice the 99.9 % quantile of training documents' distances, never
+#: below this many standard deviations, and never while its best model does better than half way
+#: between the language's documents and chance: what was learnt from looks too good.
 LEAST_DISTANCE = 6.0
 NO_LANGUAGE = "und"
 
@@ -284,7 +286,8 @@ def identify(docs: DataFrame, training: Column) -> DataFrame:
     return judged.select(
         "doc_id", "lang_pred", "score",
         F.expr("n = 0").alias("blank"),
-        F.coalesce((_distance(F.col("mean"), F.col("between"), F.col("within")) > F.col("limit")), F.lit(False)).alias("far"),
+        F.coalesce((_distance(F.col("mean"), F.col("between"), F.col("within")) > F.col("limit"))
+                   & (F.col("bits") > (F.col("mean") + math.log2(models.symbols)) / 2), F.lit(False)).alias("far"),
     ).selectExpr("doc_id", "lang_pred", "score", "blank OR lang_pred = 'und' OR far AS rejected")
 
 
