@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, dedup, langid, licenses, wordpiece
+from . import bpe, chat, decontam, dedup, langid, licenses, wordpiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": bpe.op3_byte_bpe,
     "op4_token_counts": wordpiece.op4_token_counts,
     "op5_exact_dedup": dedup.op5_exact_dedup,
+    "op7_decontamination": decontam.op7_decontamination,
     "op8_license_scan": licenses.op8_license_scan,
     "op9_chat_format": chat.op9_chat_format,
     "op10_language_id": langid.op10_language_id,
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: DuckDB SQL for the queries that SQL can express.
 ORACLES: dict[str, str] = {
     "op5_exact_dedup": dedup.ORACLE,
+    "op7_decontamination": decontam.ORACLE,
     "op8_license_scan": licenses.ORACLE,
     "op9_chat_format": chat.ORACLE,
 }
