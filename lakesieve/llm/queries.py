@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontam, dedup, langid, licenses, wordpiece
+from . import bpe, chat, decontam, dedup, langid, licenses, near_dup, wordpiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": bpe.op3_byte_bpe,
     "op4_token_counts": wordpiece.op4_token_counts,
     "op5_exact_dedup": dedup.op5_exact_dedup,
+    "op6_minhash_near_dup": near_dup.op6_minhash_near_dup,
     "op7_decontamination": decontam.op7_decontamination,
     "op8_license_scan": licenses.op8_license_scan,
     "op9_chat_format": chat.op9_chat_format,
