@@ -15,6 +15,7 @@ from lakesieve.storage import staged
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Rows of the table that a slot filter broadcasts, whatever it is built from: 64 bits each.
 SLOTS = 65_536
+SLOT = f"CAST((__h >> 6) & {SLOTS - 1} AS INT)"
 
 
 def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -28,24 +29,43 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
+def slots(keys: DataFrame, key: str) -> DataFrame:
+    """The bits (__slot, __bits) that the 64-bit hashes ``keys[key]`` set: at most SLOTS rows."""
+    return keys.select(F.col(key).alias("__h")).where("__h IS NOT NULL").groupBy(F.expr(SLOT).alias("__slot")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(__h & 63 AS INT)))").alias("__bits"))
+
+
 def slot_filter(df: DataFrame, hashed: Column, keys: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose 64-bit hash may be in ``keys[key]``; no row that is there gets lost.
 
     The hashes of ``keys`` set bits in a table of SLOTS longs. Its size is the same whatever
     ``keys`` holds, so it can be broadcast; with more keys it only lets more rows through.
     """
-    bits = keys.select(F.col(key).alias("h")).where("h IS NOT NULL").groupBy(
-        F.expr(f"CAST((h >> 6) & {SLOTS - 1} AS INT)").alias("__slot"),
-    ).agg(F.expr("bit_or(shiftleft(1L, CAST(h & 63 AS INT)))").alias("__bits"))
+    bits = slots(keys, key)
     return (
         df.withColumn("__h", hashed)
-        .withColumn("__at", F.expr(f"CAST((__h >> 6) & {SLOTS - 1} AS INT)"))
+        .withColumn("__at", F.expr(SLOT))
         .join(F.broadcast(bits), F.col("__at") == F.col("__slot"))
         .where("(shiftright(__bits, CAST(__h & 63 AS INT)) & 1L) = 1L")
         .drop("__h", "__at", "__slot", "__bits")
     )
 
 
+def drop_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose doc_id is in ``gone``; a null id is an id like others.
+
+    Rows that can't be among them pass by the slot filter unshuffled; the others are anti-joined.
+    """
+    gone = staged(gone.distinct().select(F.col("doc_id").alias("__gone"), F.xxhash64("doc_id").alias("__key")), "gone")
+    bits = slots(gone, "__key")
+    marked = docs.withColumn("__h", F.xxhash64("doc_id")).withColumn("__at", F.expr(SLOT)).join(
+        F.broadcast(bits), F.col("__at") == F.col("__slot"), "left")
+    hit = F.coalesce(F.expr("(shiftright(__bits, CAST(__h & 63 AS INT)) & 1L) = 1L"), F.lit(False))
+    stay = marked.where(~hit).select(docs.columns)
+    doubtful = marked.where(hit).join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti").select(docs.columns)
+    return stay.unionByName(doubtful)
+
+
 def map_texts(rows: DataFrame, columns: str, fn: Callable[[list[str]], list[list]]) -> DataFrame:
     """(doc_id, text) -> doc_id and ``columns``; ``fn`` gets the texts of an Arrow batch.
 
@@ -72,4 +92,4 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
             T.BooleanType: pa.bool_(), T.StringType: pa.string(), T.BinaryType: pa.binary()}[type(kind)]
 
 
-__all__ = ["SLOTS", "ascii_lower", "id_and_text", "map_texts", "named", "slot_filter", "staged"]
+__all__ = ["ascii_lower", "drop_ids", "id_and_text", "map_texts", "named", "slot_filter", "staged"]

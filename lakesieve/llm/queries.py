@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontam, dedup, langid, licenses, near_dup, wordpiece
+from . import bpe, chat, decontam, dedup, langid, licenses, near_dup, secrets, toxicity, wordpiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": toxicity.op1_toxicity,
+    "op2_secret_scan": secrets.op2_secret_scan,
     "op3_byte_bpe": bpe.op3_byte_bpe,
     "op4_token_counts": wordpiece.op4_token_counts,
     "op5_exact_dedup": dedup.op5_exact_dedup,
