@@ -270,9 +270,10 @@ def identify(docs: DataFrame, training: Column) -> DataFrame:
     and for texts whose best model explains them far worse than training documents. Null and empty
     texts are ``und``; so is everything if nothing can be learnt. Repeated rows repeat results.
     """
+    training = F.coalesce(training, F.lit(False)) & named("lang").isNotNull()
     learnt = docs.where(training)
     models = fit(staged(count_grams(learnt), "char-counts"))
-    scored = staged(score(docs.select(named("text").alias("text"), F.struct(named("doc_id").alias("id"), F.coalesce(training, F.lit(False)).alias("trained")).alias("doc_id")), models),
+    scored = staged(score(docs.select(named("text").alias("text"), F.struct(named("doc_id").alias("id"), training.alias("trained")).alias("doc_id")), models),
                     "language-scores").selectExpr(
         "doc_id.id AS doc_id", "doc_id.trained", "lang_pred", "score", "bits", "spread", "n")
     usual = scored.where("trained AND n > 0").groupBy("lang_pred").agg(
