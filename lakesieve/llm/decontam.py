@@ -108,24 +108,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     words and are clean; items without words or id match nothing; items with the same words count
     each. Repeated rows repeat results. With no items every document is clean.
 
-    Fingerprints of documents are tested against a bit table of fixed size before any shuffle, and
-    only texts with some that pass travel. A window that very many documents share is one join key;
+    Fingerprints of documents are tested against a bit table of fixed size before they are joined, and
+    only texts that share some travel. A window that very many documents share is one join key;
     the documents' side of that join holds plain rows, which adaptive execution splits.
     """
     windows, lengths = item_windows(benchmark)
-    rows = id_and_text(docs).select(
-        "doc_id", F.xxhash64("text").alias("version"), words(F.col("text")).alias("tokens"))
+    texts = id_and_text(docs).select("doc_id", F.xxhash64("text").alias("version"), "text")
+    rows = texts.select("doc_id", "version", words(F.col("text")).alias("tokens"))
     sized = rows.select("doc_id", "version", F.size("tokens").cast("long").alias("n_words"))
     places = _places(
         rows, ["doc_id", "version"], lengths, lambda rows, length: rows,
-        lambda prints, length: slot_filter(
-            prints, F.col("print"), windows.where(F.col("length") == length), "print"))
+        lambda prints, length: _known(prints, windows.where(F.col("length") == length)))
     if places is None:
         return _judged(sized.selectExpr("*", "0L AS n_hit", "CAST(array() AS ARRAY<STRING>) AS items"))
     places = staged(places.withColumn("row", F.xxhash64("doc_id", "version")), "decontam-places")
-    near = slot_filter(rows, F.xxhash64("doc_id", "version"), places, "row").alias("d").join(
+    near = slot_filter(texts, F.xxhash64("doc_id", "version"), places, "row").alias("d").join(
         places.alias("p"), F.expr("d.doc_id <=> p.doc_id AND d.version = p.version"),
-    ).select("d.doc_id", "d.version", "tokens", "places").dropDuplicates(["doc_id", "version"])
+    ).select("d.doc_id", "d.version", "text", "places").dropDuplicates(["doc_id", "version"])
+    near = near.select("doc_id", "version", words(F.col("text")).alias("tokens"), "places")
     hits = _window_texts(near, ["doc_id", "version"]).join(
         windows.select("length", "print", "window", "item_id"), ["print", "length", "window"])
     per_doc = hits.groupBy("doc_id", "version").agg(
@@ -138,6 +138,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "d.doc_id", "n_words", "coalesce(n_hit, 0L) AS n_hit", "coalesce(items, CAST(array() AS ARRAY<STRING>)) AS items"))
 
 
+def _known(prints: DataFrame, windows: DataFrame) -> DataFrame:
+    """Fingerprints that the items have, too."""
+    return slot_filter(prints, F.col("print"), windows, "print").join(
+        windows.select("print").distinct(), "print", "left_semi")
+
+
 def _judged(rows: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
