@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from .common import staged
 
 
+#: Links that one task writes.
+ROWS_PER_PART = 500_000
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node in ``links`` (a, b); the component is its smallest node.
 
@@ -17,19 +21,20 @@ def components(links: DataFrame) -> DataFrame:
     neighbours is no single task's group.
     """
     stars = staged(_ordered(links), "links")
-    before = None
+    before, parts = None, None
     while True:
         now = stars.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
+        parts = 1 + now[0] // ROWS_PER_PART  # shuffles may be far wider than the links need
         if now == before:
             return stars.selectExpr("b AS node", "a AS component").unionByName(
                 stars.selectExpr("a AS node", "a AS component")).distinct()
         before = now
         both = stars.unionByName(stars.selectExpr("b AS a", "a AS b"))
         large = _ordered(_hung(both).where("b > a").selectExpr("low AS a", "b"))
-        stars = staged(large, "links")
+        stars = staged(large.coalesce(parts), "links")
         small = _hung(stars.selectExpr("b AS a", "a AS b"))  # a now the larger end
         small = small.selectExpr("low AS a", "b").unionByName(small.selectExpr("low AS a", "a AS b"))
-        stars = staged(_ordered(small), "links")
+        stars = staged(_ordered(small).coalesce(parts), "links")
 
 
 def _hung(links: DataFrame) -> DataFrame:

@@ -213,12 +213,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sign").alias("sign")), "set-classes")
     texts = id_and_text(docs, id_col, text_col).select(F.col("doc_id").cast("long").alias("node"), "text").where(
         "node IS NOT NULL")
-    links = _links(classes.drop("key"), texts)
+    ends = _joined(classes.drop("key"), texts)
     same = signed.where("doc_id IS NOT NULL AND n > 0").join(classes.select("key", "node"), "key").selectExpr(
         "doc_id", "node").distinct()
-    found = components(links.unionByName(same.selectExpr("node AS a", "doc_id AS b"))) if _repeated_ids(signed) else None
-    if found is None:
-        ends = components(links)
+    if _repeated_ids(signed):
+        links = ends.selectExpr("node AS a", "component AS b").unionByName(same.selectExpr("node AS a", "doc_id AS b"))
+        alone = same.selectExpr("doc_id AS node", "doc_id AS component").distinct()
+        found = components(links)
+        found = found.unionByName(alone.join(found, "node", "left_anti"))
+    else:
         found = same.join(ends, "node", "left").selectExpr("doc_id AS node", "coalesce(component, node) AS component")
     rows = signed.select("doc_id", F.col("n").alias("n_shingles")).join(
         found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
@@ -232,8 +235,8 @@ def _repeated_ids(signed: DataFrame) -> bool:
         F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").isEmpty()
 
 
-def _links(classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Confirmed links between classes (node, n, sign): enough of them for every component."""
+def _joined(classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, component) of the classes (node, n, sign) that have links."""
     regions = classes.mapInArrow(_regions, "region long, tree int, node long, n long")
     sizes = staged(regions.groupBy("region").count().where("count > 1"), "region-sizes")
     shared = staged(slot_filter(regions, F.col("region"), sizes, "region").join(sizes, "region"), "regions")
@@ -253,34 +256,36 @@ def _links(classes: DataFrame, texts: DataFrame) -> DataFrame:
         .join(signs.selectExpr("node AS b", "sign AS sign_b"), "b")
         .mapInArrow(_agreeing, "a long, b long, agreeing long").where(f"agreeing >= {LEAST_AGREEING}"), "candidates")
 
-    # Confirm each class's best candidate, then each component's, then all that are still apart:
-    # a pair within a component needs no texts.
-    links, tried, found = None, None, None
-    for last in (False, False, True):
-        open_ = pairs if found is None else _apart(pairs, found).join(tried, ["a", "b"], "left_anti")
-        now = staged(open_.select("a", "b") if last else _best(open_, found), "to-confirm")
-        confirmed = staged(confirm(now, texts), "confirmed")
-        links = confirmed if links is None else links.unionByName(confirmed)
-        tried = now if tried is None else tried.unionByName(now)
-        found = staged(components(links), "components")
+    # Confirm each class's best candidate, then all that are still apart: a pair within a component
+    # needs no texts.
+    first = staged(_best(pairs), "to-confirm")
+    found = _merged(None, staged(confirm(first, texts), "confirmed"))
+    open_ = _apart(pairs.select("a", "b"), found).join(first, ["a", "b"], "left_anti")
+    found = _merged(found, staged(confirm(staged(open_, "to-confirm"), texts), "confirmed"))
     rest = _crowded_rest(crowded, found, texts)
-    return links if rest is None else links.unionByName(rest)
+    return found if rest is None else _merged(found, rest)
 
 
-def _labelled(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    for end in "ab":
-        pairs = pairs.join(found.selectExpr(f"node AS {end}", f"component AS of_{end}"), end, "left")
-    return pairs.withColumns({f"of_{end}": F.coalesce(f"of_{end}", end) for end in "ab"})
+def _merged(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The components of all links so far; those found before are stars already."""
+    if found is not None:
+        if links.isEmpty():
+            return found
+        links = links.unionByName(found.where("node <> component").selectExpr("component AS a", "node AS b"))
+    return staged(components(links), "components")
 
 
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    return _labelled(pairs, found).where("of_a <> of_b").select(*pairs.columns)
+    """Pairs whose ends are in different components."""
+    labelled = pairs
+    for end in "ab":
+        labelled = labelled.join(found.selectExpr(f"node AS {end}", f"component AS of_{end}"), end, "left")
+    return labelled.where("coalesce(of_a, a) <> coalesce(of_b, b)").select(*pairs.columns)
 
 
-def _best(pairs: DataFrame, found: DataFrame | None) -> DataFrame:
-    """For each class, or each component, the candidate that agrees most."""
-    pairs = pairs.selectExpr("*", "a AS of_a", "b AS of_b") if found is None else _labelled(pairs, found)
-    ends = pairs.select(F.explode(F.array("of_a", "of_b")).alias("end"), F.struct("agreeing", "a", "b").alias("pair"))
+def _best(pairs: DataFrame) -> DataFrame:
+    """For each class the candidate that agrees most."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("end"), F.struct("agreeing", "a", "b").alias("pair"))
     return ends.groupBy("end").agg(F.max("pair").alias("pair")).select("pair.a", "pair.b").distinct()
 
 
