@@ -20,9 +20,37 @@ EXACT_JSON = {
 }
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType)
+
+
+def _in_order(value: Column, kind: T.DataType) -> Column:
+    """Maps as entries sorted by key, at any depth: equal maps have one text."""
+    if not _holds_map(kind):
+        return value
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _in_order(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        fields = [_in_order(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    entries = F.array_sort(F.map_entries(value), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
+    return F.transform(entries, lambda e: F.struct(e["key"].alias("key"), _in_order(e["value"], kind.valueType).alias("value")))
+
+
 def field_text(field: T.StructField) -> Column:
-    """A value as text that keeps all of it: microseconds, inner nulls, raw bytes."""
+    """A value as text that keeps all of it: microseconds, inner nulls, raw bytes.
+
+    Values that a GROUP BY takes as one have one text: 0.0 and -0.0, maps in any order.
+    """
     value = named(field.name)
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        return F.when(value == 0, "0.0").otherwise(value.cast("string"))
+    if _holds_map(field.dataType):
+        return F.to_json(_in_order(value, field.dataType), EXACT_JSON)
     if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
         return F.to_json(value, EXACT_JSON)
     if isinstance(field.dataType, T.BinaryType):

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from ..functions.naming import named
 from ..storage import staged
 
-# Above this many values a set travels better as a table than as a literal list in the plan.
-LITERAL_LIMIT = 1_000
-
 
 def failing_rows(df: DataFrame, condition: str) -> DataFrame:
     """Rows a rule condition is TRUE for, that is, rows that fail the rule. NULL is not failing."""
@@ -34,7 +31,8 @@ def include_exclude(
 ) -> DataFrame:
     """Rows with a non-blank key that is in ``include``, if given, and not in ``exclude``.
 
-    Each set is a collection of values or a one-column DataFrame.
+    Each set is a collection of values, which becomes part of the plan, or a one-column DataFrame,
+    which is joined: the caller knows which of the two suits its size.
     """
     kept = df.filter(F.length(F.trim(named(column))) > 0)
     if include is not None:
@@ -47,12 +45,9 @@ def include_exclude(
 def _by_set(df: DataFrame, column: str, values, how: str) -> DataFrame:
     if not isinstance(values, DataFrame):
         values = [v for v in values if v is not None]
-        if len(values) <= LITERAL_LIMIT:
-            inside = named(column).isin(*values) if values else F.lit(False)
-            return df.filter(inside if how == "left_semi" else ~inside)
-        keys = df.sparkSession.createDataFrame([(v,) for v in set(values)], "_k string")
-    else:
-        keys = _stored_keys(values.toDF("_k"))
+        inside = named(column).isin(*values) if values else F.lit(False)
+        return df.filter(inside if how == "left_semi" else ~inside)
+    keys = _stored_keys(values.toDF("_k"))
     return df.join(keys, named(column) == F.col("_k"), how)
 
 

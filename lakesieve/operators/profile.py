@@ -1,8 +1,8 @@
 """How clean is a table? Null, duplicate and size metrics and the scores made of them.
 
-The whole profile is one scan and one shuffle. Rows are first counted per distinct row, with
-partial counts before the shuffle so a row repeated a billion times travels as a few partial
-counts. Null cells, all-null rows and bytes are then sums weighted by those counts.
+Rows, null cells, empty rows and bytes are one plain aggregate, without moving a row. Duplicates are
+a second one over fingerprints, which are counted before the shuffle, so a row repeated a billion
+times travels as a few partial counts. It is planned only where duplicates are asked for.
 """
 
 from __future__ import annotations
@@ -21,17 +21,6 @@ from ..functions.text import DEFAULT_KEYWORDS, keyword_category
 from .columns import fill_defaults
 
 MEBIBYTE = 1024 * 1024
-_MASK_BITS = 62
-
-
-def _has_map(data_type: T.DataType) -> bool:
-    if isinstance(data_type, T.MapType):
-        return True
-    if isinstance(data_type, T.ArrayType):
-        return _has_map(data_type.elementType)
-    if isinstance(data_type, T.StructType):
-        return any(_has_map(f.dataType) for f in data_type.fields)
-    return False
 
 
 def _groupable(df: DataFrame) -> DataFrame:
@@ -44,26 +33,8 @@ def _groupable(df: DataFrame) -> DataFrame:
 
 
 def _fingerprint(flat: DataFrame) -> Column:
-    """SHA-256 of the null-safe row text; 0.0 and -0.0 are one value, as they are in a GROUP BY."""
-    if _has_map(flat.schema):
-        raise ValueError("map columns have no fixed text form; group rows by columns instead")
-    floats = (T.FloatType, T.DoubleType)
-    texts = [
-        F.when(F.col(f.name) == 0, "0.0").otherwise(field_text(f))
-        if isinstance(f.dataType, floats) else field_text(f)
-        for f in flat.schema.fields
-    ]
-    return F.sha2(F.to_json(F.array(*texts)), 256)
-
-
-def _null_masks(columns: Sequence[str]) -> list[Column]:
-    """The null pattern of a row as bit masks, 62 columns to a mask."""
-    masks = []
-    for start in range(0, len(columns), _MASK_BITS):
-        bits = [F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
-                for i, c in enumerate(columns[start:start + _MASK_BITS])]
-        masks.append(reduce(Column.__add__, bits).alias(f"m{start // _MASK_BITS}"))
-    return masks
+    """SHA-256 of the null-safe row text; values that a GROUP BY takes as one have one text."""
+    return F.unhex(F.sha2(F.to_json(F.array(*map(field_text, flat.schema.fields))), 256))
 
 
 def _json_bytes(flat: DataFrame, names: Sequence[str]) -> Column:
@@ -72,65 +43,57 @@ def _json_bytes(flat: DataFrame, names: Sequence[str]) -> Column:
     return F.octet_length(F.to_json(row, {"ignoreNullFields": "false"})).cast("long")
 
 
-def _distinct_rows(df: DataFrame, by: str, size: bool) -> DataFrame:
-    """One line per distinct row: its count ``n``, null masks ``m0``..., JSON ``bytes`` of all copies.
+def _repeats(df: DataFrame, by: str) -> DataFrame:
+    """(repeats): rows beyond the first of each group of equal rows.
 
-    ``by="columns"`` groups on the row itself: exact for every type, and cheapest for ordinary
-    rows. ``by="fingerprint"`` groups on the row's SHA-256, which costs more computing but
-    shuffles some 90 bytes however wide the row is: the choice for long texts and hundreds of
-    columns.
+    ``by="fingerprint"`` groups on the row's SHA-256 and shuffles some 40 bytes per distinct row
+    however wide it is. ``by="columns"`` groups on the row itself, which saves the hashing where
+    rows are short.
     """
     flat = _groupable(df)
-    masks = _null_masks(flat.columns)
-    row_bytes = _json_bytes(flat, df.columns) if size else F.lit(0).cast("long")
     count = F.count(F.lit(1)).alias("n")
     if by == "columns":
         groups = flat.groupBy(*flat.columns).agg(count)
-        return groups.select("n", *masks, (F.col("n") * row_bytes).alias("bytes"))
-    if by != "fingerprint":
+    elif by == "fingerprint":
+        groups = flat.select(_fingerprint(flat).alias("h")).groupBy("h").agg(count)
+    else:
         raise ValueError(f"group rows by columns or fingerprint, not {by!r}")
-    keys = flat.select(_fingerprint(flat).alias("h"), *masks, row_bytes.alias("row_bytes"))
-    by_key = keys.groupBy(*[c for c in keys.columns if c != "row_bytes"])
-    return by_key.agg(count, F.sum("row_bytes").alias("bytes"))
-
-
-def _bit(i: int) -> Column:
-    return F.shiftright(F.col(f"m{i // _MASK_BITS}"), i % _MASK_BITS).bitwiseAND(F.lit(1))
-
-
-def _all_bits(width: int) -> Column:
-    full = []
-    for start in range(0, width, _MASK_BITS):
-        held = min(_MASK_BITS, width - start)
-        full.append(F.col(f"m{start // _MASK_BITS}") == F.lit((1 << held) - 1))
-    return reduce(Column.__and__, full)
+    return groups.agg(_total(F.col("n") - 1).alias("repeats"))
 
 
 def _total(value: Column) -> Column:
     return F.coalesce(F.sum(value), F.lit(0)).cast("long")
 
 
-def profile(df: DataFrame, by: str = "columns", size: bool = True) -> DataFrame:
+def _counts(df: DataFrame, by: str, size: bool, duplicates: bool) -> DataFrame:
+    """One row: records, null cells, empty rows, bytes and repeats."""
+    flat = _groupable(df)
+    nulls = [F.col(c).isNull().cast("int") for c in flat.columns] or [F.lit(0)]
+    cells = reduce(Column.__add__, nulls)
+    plain = flat.select(
+        cells.alias("nulls"), (_json_bytes(flat, df.columns) if size and df.columns else F.lit(0).cast("long")).alias("bytes"),
+    ).agg(
+        F.count(F.lit(1)).alias("number_of_records"), _total(F.col("nulls")).alias("total_cell_nulls"),
+        F.count_if((F.col("nulls") == len(df.columns)) & F.lit(bool(df.columns))).alias("total_null_record"),
+        _total(F.col("bytes")).alias("bytes"),
+    )
+    zero = F.lit(0).cast("long")
+    if not duplicates or not df.columns:
+        return plain.withColumn("total_duplicated_records", zero)
+    # Two results of one row each, side by side by adding them up.
+    repeats = _repeats(df, by).select(*[zero.alias(c) for c in plain.columns], F.col("repeats").alias("total_duplicated_records"))
+    both = plain.withColumn("total_duplicated_records", zero).unionByName(repeats)
+    return both.agg(*[F.sum(c).alias(c) for c in both.columns])
+
+
+def profile(df: DataFrame, by: str = "fingerprint", size: bool = True, duplicates: bool = True) -> DataFrame:
     """One row with every metric and score of the table.
 
-    Percentages are rounded to 2 places and scores to 4 before they enter the next formula.
+    Percentages are rounded to 2 places and scores to 4 before they enter the next formula. Without
+    ``duplicates`` no row is shuffled and all count as unique; without ``size`` bytes are 0.
     """
     width = len(df.columns)
-    if width == 0:
-        counts = df.agg(
-            F.count(F.lit(1)).alias("number_of_records"), F.lit(0).cast("long").alias("total_cell_nulls"),
-            F.lit(0).cast("long").alias("total_null_record"),
-            F.lit(0).cast("long").alias("total_duplicated_records"), F.lit(0).cast("long").alias("bytes"))
-    else:
-        n = F.col("n")
-        cells = reduce(Column.__add__, [_bit(i) for i in range(width)])
-        counts = _distinct_rows(df, by, size).agg(
-            _total(n).alias("number_of_records"),
-            _total(n * cells).alias("total_cell_nulls"),
-            _total(F.when(_all_bits(width), n).otherwise(0)).alias("total_null_record"),
-            _total(n - 1).alias("total_duplicated_records"),
-            _total(F.col("bytes")).alias("bytes"),
-        )
+    counts = _counts(df, by, size, duplicates)
     rows = F.col("number_of_records").cast("double")
     nulls = F.col("total_cell_nulls").cast("double")
     repeats = F.col("total_duplicated_records").cast("double")
@@ -165,11 +128,11 @@ def null_counts(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(lines))
 
 
-def duplicate_count(df: DataFrame, by: str = "columns") -> DataFrame:
+def duplicate_count(df: DataFrame, by: str = "fingerprint") -> DataFrame:
     """(duplicates): rows beyond the first of each group of equal rows; 0 without any."""
     if not df.columns:
         return df.agg(F.lit(0).cast("long").alias("duplicates"))
-    return _distinct_rows(df, by, size=False).agg(_total(F.col("n") - 1).alias("duplicates"))
+    return _repeats(df, by).withColumnRenamed("repeats", "duplicates")
 
 
 def scorecard(
@@ -177,7 +140,7 @@ def scorecard(
     ingestion_timestamps: Mapping[str, str | None] | None = None,
     keywords: Mapping[str, Sequence[str]] = DEFAULT_KEYWORDS,
     as_of: str = "",
-    by: str = "columns",
+    by: str = "fingerprint",
 ) -> DataFrame:
     """One 17-column line per table, in one plan whose branches Spark runs side by side."""
     if not tables:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import row_hash
 from ..functions.naming import named
@@ -38,6 +39,9 @@ def _copies(source: DataFrame, target: DataFrame, by: str, null_safe: bool) -> D
     Both sides go through one grouping and are counted before the shuffle, so a row that makes up
     a third of a table is a few partial counts by then.
     """
+    if by == "columns" and any(isinstance(f.dataType, T.VariantType) for f in source.schema.fields):
+        by = "fingerprint"  # variants can't be grouped, their text can
+
     def side(df: DataFrame, s: int, t: int) -> DataFrame:
         return _keyed(df, by, null_safe).withColumns({_S: F.lit(s), _T: F.lit(t)})
 
@@ -48,13 +52,15 @@ def _copies(source: DataFrame, target: DataFrame, by: str, null_safe: bool) -> D
 
 def _repeated(rows: DataFrame, copies: str) -> DataFrame:
     """Each row as often as ``copies`` says. A row with very many copies is first cut into blocks
-    that are spread over the cluster, so that no task has to write them all."""
+    that are spread over the cluster, so that no task has to write them all: a numbered
+    repartition deals them out in turn, and adaptive execution leaves it alone."""
     n = F.col(copies)
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     few = rows.filter(n <= _BLOCK)
     blocks = (rows.filter(n > _BLOCK)
               .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({copies} - 1) DIV {_BLOCK}"))))
               .withColumn(copies, F.least(F.lit(_BLOCK), n - F.col("_block") * _BLOCK).cast("long"))
-              .repartition("_block")
+              .repartition(width)
               .drop("_block"))
     counted = few.unionByName(blocks)
     return (counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), n)))
@@ -63,6 +69,8 @@ def _repeated(rows: DataFrame, copies: str) -> DataFrame:
 
 def _missing_from(left: DataFrame, right: DataFrame, by: str, null_safe: bool) -> DataFrame:
     """Rows of ``left``, with all their copies, without an equal row in ``right``."""
+    if any(isinstance(f.dataType, T.VariantType) for f in left.schema.fields):
+        by = "fingerprint"
     missing = _copies(left, right, by, null_safe).filter((F.col(_S) > 0) & (F.col(_T) == 0)).drop(_T)
     if by == "columns":
         return _repeated(missing, _S).select(*[named(c) for c in left.columns])

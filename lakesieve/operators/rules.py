@@ -42,11 +42,6 @@ DEFAULT_RULES = [
 ]
 
 
-# Beyond some 40 conditions the generated aggregate is one method too long for the JVM to compile,
-# and a pass takes ten times as long; several shorter passes over the needed columns do not.
-RULES_PER_PASS = 25
-
-
 @dataclass(frozen=True)
 class Rule:
     name: str
@@ -115,40 +110,36 @@ def evaluate_rules(
     df: DataFrame, rules: Sequence[Rule], table_name: str, ingestion_time: str = "", as_of: str = "",
     errors: Mapping[Rule, str | None] | None = None,
 ) -> DataFrame:
-    """One 12-column line per rule, from one scan of the table per ``RULES_PER_PASS`` rules.
+    """One 12-column line per rule, from one scan of the table for any number of rules.
 
-    Conditions that do not analyze become ERROR lines; ``errors``, if given, already says which
+    Each row becomes the numbers of the rules it fails, which are counted: generated code stays short
+    however many rules there are, and a condition may be non-deterministic. Conditions that do not analyze become ERROR lines; ``errors``, if given, already says which
     ones do. An empty table passes every rule, whatever its condition.
     """
     if not rules:
         return df.sparkSession.createDataFrame([], RULE_RESULT)
     found = _analyzed(df, rules) if errors is None else errors
-    return reduce(DataFrame.unionByName, [
-        _evaluate_pass(df, rules[i:i + RULES_PER_PASS], table_name, ingestion_time, as_of, found)
-        for i in range(0, len(rules), RULES_PER_PASS)
-    ])
+    # Rule -1 stands for every row. One line per rule is left, so the counts fit into one row.
+    failing = [F.when(F.expr(r.condition), F.lit(i)) for i, r in enumerate(rules) if found[r] is None]
+    numbers = df.select(F.array(F.lit(-1), *failing).alias("failing")).select(F.explode("failing").alias("i"))
+    counts = numbers.where("i IS NOT NULL").groupBy("i").count().agg(
+        F.map_from_entries(F.collect_list(F.struct("i", "count"))).alias("counts"))
 
+    def counted(i: int) -> Column:
+        return F.coalesce(F.try_element_at("counts", F.lit(i)), F.lit(0).cast("long"))
 
-def _evaluate_pass(
-    df: DataFrame, rules: Sequence[Rule], table_name: str, ingestion_time: str, as_of: str,
-    found: Mapping[Rule, str | None],
-) -> DataFrame:
     total, failed = F.col("total"), F.col("failed")
-    counts = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(F.expr(r.condition)).alias(f"f{i}") for i, r in enumerate(rules) if found[r] is None],
-    )
     lines = F.array(*[
         F.struct(
             F.lit(i).alias("i"), F.lit(r.name).alias("rule_name"), F.lit(r.description).alias("rule_description"),
             F.lit(r.severity).alias("severity"), F.lit(found[r]).cast("string").alias("error"),
-            (F.col(f"f{i}") if found[r] is None else F.lit(0).cast("long")).alias("failed"),
+            counted(i).alias("failed"),
         )
         for i, r in enumerate(rules)
     ])
     broken = F.col("error").isNotNull() & (total > 0)
     share = failed.cast("double") / F.nullif(total.cast("double"), F.lit(0.0))
-    return counts.select("total", F.inline(lines)).select(
+    return counts.select(counted(-1).alias("total"), F.inline(lines)).select(
         F.lit(table_name).alias("table_name"),
         "rule_name", "rule_description", "severity",
         F.lit(as_of).alias("validated_time"),

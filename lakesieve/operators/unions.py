@@ -32,7 +32,9 @@ def _common_type(types: list[T.DataType]) -> T.DataType | None:
         return T.LongType()
     if all(isinstance(t, T.NumericType) for t in known):
         if any(isinstance(t, (T.FloatType, T.DoubleType)) for t in known):
-            return T.DoubleType()
+            # A double holds 15 digits for sure; a bigint or decimal may have more.
+            exact = any(isinstance(t, (T.LongType, T.DecimalType)) for t in known)
+            return T.StringType() if exact else T.DoubleType()
         scale = max(t.scale for t in known if isinstance(t, T.DecimalType))
         return T.DecimalType(38, scale)
     if all(isinstance(t, (T.DateType, T.TimestampNTZType)) for t in known):
@@ -65,7 +67,8 @@ def union_sheets(
 
     The first sheet fixes the columns and their order. A sheet with other columns is left out and
     listed with the reason, unless ``allow_missing`` fills the gaps with nulls. A column typed
-    differently from sheet to sheet takes the wider number, or else text.
+    differently from sheet to sheet takes the wider number, or else text, also where a bigint or
+    decimal meets a fraction and could lose digits.
     """
     if not sheets:
         raise ValueError("no sheets to union")

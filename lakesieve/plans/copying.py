@@ -18,7 +18,7 @@ from ..operators.reconcile import reconcile_counts
 from ..sinks.files import replace_table
 from ..sinks.jdbc import append_jdbc, overwrite_jdbc
 from ..sources.jdbc import count_jdbc, jdbc_columns, read_jdbc
-from ..storage import child_names, path_exists, staged
+from ..storage import WORK_FOLDER, child_names, path_exists, staged
 
 log = logging.getLogger(__name__)
 
@@ -50,9 +50,7 @@ class LakeSchema:
     def tables(self) -> list[str]:
         if not path_exists(self.spark, self.root):
             return []
-        # Spark reserves names starting with _ or . and replace_table works beside the table.
-        return [n for n in child_names(self.spark, self.root)
-                if not n.startswith(("_", ".")) and ".staged-" not in n and ".previous-" not in n]
+        return [n for n in child_names(self.spark, self.root) if n != WORK_FOLDER]
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self._path(table))
@@ -76,6 +74,7 @@ class JdbcSchema:
     schema: str
     props: Mapping[str, str] = field(default_factory=dict)
     keys: Mapping[str, str] = field(default_factory=dict)
+    parts: int | None = None
     stable: bool = False
 
     def tables(self) -> list[str]:
@@ -83,7 +82,7 @@ class JdbcSchema:
 
     def read(self, table: str) -> DataFrame:
         return read_jdbc(self.spark, self.url, table, self.props, self.schema,
-                         partition_column=self.keys.get(table))
+                         partition_column=self.keys.get(table), num_partitions=self.parts)
 
     def count(self, table: str) -> int:
         return count_jdbc(self.spark, self.url, table, self.props, self.schema)

@@ -92,7 +92,7 @@ def quality_job(
     warehouse: Schema | None = None,
     keywords: Mapping[str, Sequence[str]] = DEFAULT_KEYWORDS,
     as_of: str = "",
-    by: str = "columns",
+    by: str = "fingerprint",
 ) -> DataFrame:
     """Score ``tables[layer]`` and return one line per table with its layer.
 

@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import CHECKPOINT
+from ..contracts import CHECKPOINT, SHEET_REJECT
 from ..functions.text import checkpoint_code, fiscal_year, snake_name, split_label, stored_code
 from ..operators.columns import cast_if_present
 from ..operators.unions import each_sheet, prepare_sheet, union_by_category, union_sheets
-from ..sinks.files import replace_table, silver_path
+from ..sinks.files import read_results, replace_table, silver_path
 from ..sinks.upsert import upsert
 from ..sources.files import read_table
-from ..sources.sheets import SHEET_COLUMN
 from .copying import Schema
 
+log = logging.getLogger(__name__)
+
+# The group names of checkpoints.
 STAGES = ("Ingestion", "Transformation", "Loading")
 MODES = ("all", "labelled", "category", "each")
 
@@ -55,10 +60,17 @@ WORKBOOK_HEADERS = {
 }
 
 
-def _prepared(sheets: Mapping[str, DataFrame], mode: str, mapping) -> dict[str, DataFrame]:
-    ready = {}
+def _prepared(
+    sheets: Mapping[str, DataFrame], mode: str, mapping
+) -> tuple[dict[str, DataFrame], list[tuple[str, str]]]:
+    """The sheets that can be prepared, and (sheet, reason) of the others."""
+    ready, rejected = {}, []
     for name, df in sheets.items():
-        rows = prepare_sheet(df.drop(SHEET_COLUMN), mapping)
+        try:
+            rows = prepare_sheet(df, mapping)
+        except (ValueError, PySparkException) as error:
+            rejected.append((name, str(error)))
+            continue
         if mode == "labelled":
             code, year = split_label(F.lit(name))
             rows = cast_if_present(rows.withColumns({"museum_code": code, "fiscal_year": year}), "event_date")
@@ -67,19 +79,23 @@ def _prepared(sheets: Mapping[str, DataFrame], mode: str, mapping) -> dict[str,
         elif mode == "category":
             rows = rows.withColumn("fiscal_year", fiscal_year(F.lit(name)))
         ready[name] = rows
-    return ready
+    return ready, rejected
 
 
 def _outputs(
     sheets: Mapping[str, DataFrame], mode: str, mapping
-) -> tuple[dict[str | None, DataFrame], DataFrame | None]:
-    ready = _prepared(sheets, mode, mapping)
+) -> tuple[dict[str | None, DataFrame], list[tuple[str, str]]]:
+    ready, rejected = _prepared(sheets, mode, mapping)
+    if not ready:
+        return {}, rejected
     if mode == "each":
-        return dict(each_sheet(ready)), None
+        return dict(each_sheet(ready)), rejected
     if mode == "category":
-        return union_by_category(ready)
-    united, rejected = union_sheets(ready)
-    return {None: united}, rejected
+        outputs, others = union_by_category(ready)
+    else:
+        united, others = union_sheets(ready)
+        outputs = {None: united}
+    return outputs, rejected + [tuple(r) for r in others.collect()]
 
 
 def checkpoint_changes(
@@ -99,6 +115,11 @@ def checkpoint_changes(
     )
 
 
+def read_checkpoints(spark: SparkSession, path: str) -> DataFrame:
+    """The stored checkpoints; none before the first run."""
+    return read_results(spark, path, CHECKPOINT)
+
+
 def update_checkpoints(checkpoints: DataFrame, changes: DataFrame) -> DataFrame:
     return upsert(checkpoints, changes, ["group_name", "code"], ["data_upto_ts", "updated_at", "updated_by"])
 
@@ -114,7 +135,8 @@ def sheets_job(
     warehouse: Schema | None = None,
     checkpoints: DataFrame | None = None,
     mapping: Mapping[str, str] | None = None,
-) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    checkpoint_path: str | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Write a workbook's sheets to silver, load the warehouse, move the checkpoints.
 
     Modes: ``all`` unions every sheet and keeps the sheet name as fiscal year; ``labelled`` does
@@ -122,23 +144,41 @@ def sheets_job(
     category; ``each`` writes every sheet on its own. Returns (outputs, checkpoints, rejected
     sheets). ``source`` names the system the workbook comes from, in table names and checkpoint
     codes. The warehouse loads what silver stored, so a sheet is computed once.
+
+    A sheet that cannot be prepared, or an output that cannot be written, is rejected with the
+    reason, and the job goes on. With ``checkpoint_path`` the checkpoints are stored there after
+    each stage, so a later failure forgets none; otherwise ``checkpoints`` is moved and returned.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}, not {mode!r}")
     spark = next(iter(sheets.values())).sparkSession
     outputs, rejected = _outputs(sheets, mode, WORKBOOK_HEADERS if mapping is None else mapping)
     lines, steps = [], []
+
+    def finished(stage: str, category: str | None) -> None:
+        steps.append((stage, file_name, category))
+        if checkpoint_path is not None:
+            change = checkpoint_changes(spark, steps[-1:], source, as_of, user)
+            replace_table(update_checkpoints(read_checkpoints(spark, checkpoint_path), change), checkpoint_path)
+
     for category, df in outputs.items():
         path = silver_path(base, file_name, category)
-        replace_table(df, path)
-        steps.append((STAGES[1], file_name, category))
-        stored = read_table(spark, path)
-        if warehouse is not None:
-            name = f"{file_name}_{category}" if category else file_name
-            warehouse.replace(stored, f"{source}_{snake_name(name)}")
-            steps.append((STAGES[2], file_name, category))
-        lines.append(Row(category=category or "", path=path, row_count=stored.count()))
+        try:
+            replace_table(df, path)
+            finished(STAGES[1], category)
+            stored = read_table(spark, path)
+            if warehouse is not None:
+                name = f"{file_name}_{category}" if category else file_name
+                warehouse.replace(stored, f"{source}_{snake_name(name)}")
+                finished(STAGES[2], category)
+            lines.append(Row(category=category or "", path=path, row_count=stored.count()))
+        except (PySparkException, Py4JJavaError, OSError) as error:
+            log.exception("writing %s of %s failed", category, file_name)
+            rejected.append((category or file_name, str(error)))
     written = spark.createDataFrame(lines, "category string, path string, row_count long")
-    known = checkpoints if checkpoints is not None else spark.createDataFrame([], CHECKPOINT)
-    moved = update_checkpoints(known, checkpoint_changes(spark, steps, source, as_of, user))
-    return written, moved, rejected
+    if checkpoint_path is not None:
+        moved = read_checkpoints(spark, checkpoint_path)
+    else:
+        known = checkpoints if checkpoints is not None else spark.createDataFrame([], CHECKPOINT)
+        moved = update_checkpoints(known, checkpoint_changes(spark, steps, source, as_of, user))
+    return written, moved, spark.createDataFrame(rejected, SHEET_REJECT)

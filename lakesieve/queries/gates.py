@@ -53,6 +53,15 @@ EVENT_RULES = [
 SHORT = ["rule_name", "failed_count", "total_count"]
 
 
+MANY_RULES = [Rule(f"rule_{i}", f"l_quantity + l_linenumber > {i % 57} AND l_partkey % {i + 2} = {i % 3}") for i in range(100)]
+
+
+@query("A12_hundred_rules",
+       f"SELECT {', '.join(SHORT)} FROM ({rule_sql('SELECT * FROM lineitem', MANY_RULES, 'lineitem')}) r")
+def hundred_rules(spark, sf_dir):
+    return evaluate_rules(table(spark, sf_dir, "lineitem"), MANY_RULES, "lineitem").select(*SHORT)
+
+
 @query("A12_rule_failed_count",
        f"SELECT {', '.join(SHORT)} FROM ({rule_sql(sql(V2), ORDER_RULES, 'orders', conditions=ORDER_CONDITIONS)}) r")
 def rule_failed_count(spark, sf_dir):

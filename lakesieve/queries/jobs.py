@@ -1,7 +1,9 @@
 """Composite jobs."""
 
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import checkpoint_code
@@ -50,6 +52,17 @@ def upserted_schema(spark, sf_dir):
     return append_schema(source, target, upsert=True, exclude=["nation"]).select(*_OUTCOME)
 
 
+@query("X1_every_table", "SELECT * FROM nation UNION ALL SELECT * FROM nation")
+def every_table(spark, sf_dir):
+    """A table is copied whatever its name begins with."""
+    source = LakeSchema(spark, scratch_path(spark, "source"))
+    target = LakeSchema(spark, scratch_path(spark, "target"))
+    for schema in (source, target):
+        write_table(table(spark, sf_dir, "nation"), f"{schema.root}/_audit.previous-1")
+    append_schema(source, target)
+    return target.read("_audit.previous-1")
+
+
 @query("X1_append_schema_result",
        f"{_T} UNION ALL {_S}")
 def appended_orders(spark, sf_dir):
@@ -87,15 +100,39 @@ def membership_sheets(spark, sf_dir):
 
 
 @query("X2_warehouse_rows",
-       f"SELECT l_orderkey AS order_no, l_quantity AS qty, l_extendedprice AS price_usd, "
+       f"SELECT {CATEGORY} AS category, l_orderkey AS order_no, l_quantity AS qty, l_extendedprice AS price_usd, "
        f"strftime(l_shipdate, '%Y-%m-%d') AS ship_date, regexp_extract({SHEET_LABEL}, '(?i)FY\\d{{2}}', 0) AS fiscal_year "
-       f"FROM lineitem WHERE {CATEGORY} = 'returned'")
+       f"FROM lineitem")
 def warehouse_rows(spark, sf_dir):
     base = scratch_path(spark, "workbook")
     warehouse = LakeSchema(spark, f"{base}/warehouse")
-    sheets_job(workbook(spark, sf_dir), "lake", "final-membership", f"{base}/silver",
-               as_of=_AS_OF, user="tester", mode="category", warehouse=warehouse)
-    return warehouse.read("lake_final_membership_returned")
+    written, _, _ = sheets_job(workbook(spark, sf_dir), "lake", "final-membership", f"{base}/silver",
+                               as_of=_AS_OF, user="tester", mode="category", warehouse=warehouse)
+    return _all_outputs(warehouse, written)
+
+
+def _all_outputs(warehouse, written):
+    """Every table that a sheets job loaded, with its category."""
+    categories = [r["category"] for r in written.collect()]
+    return reduce(DataFrame.unionByName, [
+        warehouse.read("lake_final_membership_" + c.lower()).withColumn("category", F.lit(c)) for c in categories])
+
+
+@query("X2_broken_sheet_and_second_run",
+       "SELECT group_name, lower(group_name) || '.lake.final_membership.' || lower(category) AS code, "
+       "TIMESTAMP '2024-02-02 12:30:00' AS data_upto_ts, TIMESTAMP '2024-02-01 12:30:00' AS created_at, "
+       "CAST(1 AS BIGINT) AS rejected "
+       f"FROM (SELECT DISTINCT {CATEGORY} AS category FROM lineitem) c, (VALUES ('Transformation'), ('Loading')) g(group_name)")
+def second_run(spark, sf_dir):
+    """Two runs over the same stored checkpoints, with a sheet whose headers clash."""
+    base = scratch_path(spark, "workbook")
+    clash = table(spark, sf_dir, "nation").select(F.col("n_name").alias("usedate"), F.col("n_nationkey").alias("use date"))
+    sheets = {"Broken FY20": clash, **workbook(spark, sf_dir)}
+    for day in (1, 2):
+        _, checkpoints, rejected = sheets_job(
+            sheets, "lake", "final-membership", f"{base}/silver", as_of=_AS_OF.replace(day=day), user="tester",
+            mode="category", warehouse=LakeSchema(spark, f"{base}/warehouse"), checkpoint_path=f"{base}/checkpoints")
+    return checkpoints.select("group_name", "code", "data_upto_ts", "created_at", F.lit(rejected.count()).alias("rejected"))
 
 
 _CARD = ["layer", "table_name", "category", "ingestion_timestamp", "processing_status", "error_message", *METRICS]

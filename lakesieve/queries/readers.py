@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import ordered_chunks
+from ..operators import ordered_list
 from ..sinks import land
 from ..sources import (
     LayerSource, latest_partition, latest_partition_dir, read_catalog, read_landing, read_layer,
@@ -82,8 +82,9 @@ def layered_read(spark, sf_dir):
 @query("S9_scan_catalog_table", "SELECT * FROM customer")
 def scan_catalog_table(spark, sf_dir):
     name = "customer_" + hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
-    spark.sql(f"CREATE TABLE IF NOT EXISTS default.{name} USING parquet LOCATION '{sf_dir}/customer.parquet'")
-    return read_catalog(spark, "default", name)
+    spark.sql("CREATE DATABASE IF NOT EXISTS lakesieve_queries")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS lakesieve_queries.{name} USING parquet LOCATION '{sf_dir}/customer.parquet'")
+    return read_catalog(spark, "lakesieve_queries", name)
 
 
 @query("S10_scan_json_landing", "SELECT * FROM events")
@@ -110,17 +111,19 @@ def sheet_set_scan(spark, sf_dir):
         F.count("*").alias("row_count"), F.sum(F.col("`Qty.`").cast("long")).alias("quantity"))
 
 
+@query("S11_sheet_with_own_column", "SELECT n_name AS Sheet, n_nationkey, 'Nations FY20' AS read_from FROM nation")
+def sheet_with_own_column(spark, sf_dir):
+    path = scratch_path(spark, "sheet")
+    table(spark, sf_dir, "nation").select(F.col("n_name").alias("Sheet"), "n_nationkey").write.parquet(path)
+    return read_sheets(spark, {"Nations FY20": path}, name_column="read_from")["Nations FY20"]
+
+
 @query("S12_ordered_list",
-       "SELECT conv_id, place // 4 AS chunk, count(*) AS turns, CAST(sum(n) AS BIGINT) AS row_count, "
-       "string_agg(line, chr(10) ORDER BY place) AS transcript FROM "
-       "(SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, line) - 1 AS place FROM "
-       "(SELECT conv_id, turn, role || ': ' || text AS line, count(*) AS n FROM conversations GROUP BY ALL)) e "
-       "GROUP BY conv_id, place // 4")
+       "SELECT conv_id, count(*) AS turns, string_agg(line, chr(10) ORDER BY turn, line) AS transcript FROM "
+       "(SELECT conv_id, turn, role || ': ' || text AS line FROM conversations) t GROUP BY conv_id")
 def transcripts(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").withColumn(
         "line", F.concat_ws(": ", "role", "text"))
-    lists = ordered_chunks(turns, "conv_id", "turn", "line", size=4, name="lines")
-    return lists.select(
-        "conv_id", "chunk", F.size("lines").cast("long").alias("turns"),
-        F.aggregate("copies", F.lit(0).cast("long"), lambda a, n: a + n).alias("row_count"),
-        F.array_join("lines", "\n").alias("transcript"))
+    lists = ordered_list(turns, "conv_id", "turn", "line", name="lines")
+    return lists.select("conv_id", F.size("lines").cast("long").alias("turns"),
+                        F.array_join("lines", "\n").alias("transcript"))

@@ -16,7 +16,7 @@ def sheets(spark, sf_dir) -> dict[str, DataFrame]:
     """Prepared sheets; quantities are whole numbers in some of them and fractions in others."""
     ready = {}
     for name, df in workbook(spark, sf_dir).items():
-        rows = prepare_sheet(df, {"Order No": "order_no"})
+        rows = prepare_sheet(df, {"Order No": "order_no"}).withColumn("sheet", F.lit(name))
         ready[name] = rows.withColumn("qty", F.col("qty").cast("int")) if name.startswith("Acc") else rows
     return ready
 

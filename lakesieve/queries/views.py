@@ -31,13 +31,13 @@ V1 = (f"SELECT {_V1_ROW} FROM {{lineitem}} "
 V2 = "SELECT " + ", ".join(
     f"CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE {c} END AS {c}" for c in ORDERS) + " FROM {orders}"
 V3 = "SELECT c_nationkey, c_mktsegment FROM {customer}"
-V4_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+V4_COLUMNS = ORDERS
 V4_SOURCE = f"SELECT {', '.join(V4_COLUMNS)} FROM {{orders}}"
 V4_TARGET = (
-    "SELECT o_orderkey, o_custkey, o_orderstatus, "
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, "
     "CASE WHEN o_orderkey % 13 = 0 THEN 'CHANGED' ELSE o_orderpriority END AS o_orderpriority "
     "FROM {orders} WHERE o_orderkey % 10 <> 0 "
-    "UNION ALL SELECT -o_orderkey AS o_orderkey, o_custkey, o_orderstatus, o_orderpriority "
+    "UNION ALL SELECT -o_orderkey AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority "
     "FROM {orders} WHERE o_orderkey > 0 AND o_orderkey % 17 = 0")
 V5 = "SELECT * FROM {orders} WHERE 1 = 0"
 V6 = ("SELECT c_custkey, c_name, CAST(NULL AS VARCHAR(10)) AS empty_note, "
@@ -85,7 +85,7 @@ def workbook(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The sheets of :func:`sheet_folder`, which all have the layout of the first."""
     folders = sheet_folder(spark, sf_dir)
     layout = spark.read.parquet(next(iter(folders.values()))).schema
-    return read_sheets(spark, folders, schema=layout)
+    return read_sheets(spark, folders, schema=layout, name_column=None)
 
 
 @_per_session

@@ -56,7 +56,7 @@ def land_records(spark, sf_dir):
 
 
 @query("K8_output_partitions",
-       "SELECT least(greatest(10, count(*) // 50000), 20000) AS partitions, count(*) AS row_count FROM lineitem")
+       "SELECT greatest(10, count(*) // 50000) AS partitions, count(*) AS row_count FROM lineitem")
 def output_partitions(spark, sf_dir):
     lineitem = table(spark, sf_dir, "lineitem")
     spread = fit_partitions(lineitem, rows=lineitem.count())

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions.hashing import EXACT_JSON
 from ..sources.files import CSV_WRITE, read_landing
-from ..storage import swap_in
+from ..storage import beside, path_exists, swap_in
 
 LANDING_FORMATS = ("json", "csv")
 CSV_ROWS_PER_FILE = 100_000
@@ -34,13 +33,9 @@ def replace_table(df: DataFrame, path: str) -> None:
 
     The new data is written beside the old one and swapped in when it is complete.
     """
-    beside = _beside(path)
-    df.write.mode("errorifexists").parquet(beside)
-    swap_in(df.sparkSession, beside, path)
-
-
-def _beside(path: str) -> str:
-    return f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    staged = beside(path, "staged")
+    df.write.mode("errorifexists").parquet(staged)
+    swap_in(df.sparkSession, staged, path)
 
 
 def write_results(df: DataFrame, path: str, by: str = "table_name") -> None:
@@ -53,6 +48,8 @@ def write_results(df: DataFrame, path: str, by: str = "table_name") -> None:
 
 def read_results(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Results in their declared schema; a typed empty table when nothing was written yet."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
@@ -91,14 +88,14 @@ def _copy_landing(
 ) -> None:
     # Copies what was landed instead of computing the records a second time, and shows the new
     # "latest" only when it is complete.
-    beside = _beside(target)
+    copy = beside(target, "staged")
     if fmt == "json":
-        spark.read.text(source).write.text(beside)
+        spark.read.text(source).write.text(copy)
     else:
         strings = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
         (read_landing(spark, source, fmt, strings).write
-         .options(maxRecordsPerFile=CSV_ROWS_PER_FILE, **CSV_WRITE).csv(beside))
-    swap_in(spark, beside, target)
+         .options(maxRecordsPerFile=CSV_ROWS_PER_FILE, **CSV_WRITE).csv(copy))
+    swap_in(spark, copy, target)
 
 
 def fit_partitions(
@@ -106,14 +103,12 @@ def fit_partitions(
     rows: int | None = None,
     rows_per_part: int = 50_000,
     min_parts: int = 10,
-    max_parts: int = 20_000,
 ) -> DataFrame:
     """Bound the number of output files.
 
-    With a known row count: ``rows // rows_per_part`` even partitions, within the two limits (the
-    upper one bounds the number of tasks; partitions then simply hold more rows). Without one, a rebalance hint: adaptive execution then merges small partitions and splits large ones
+    With a known row count: ``rows // rows_per_part`` even partitions, at least ``min_parts``. Without one, a rebalance hint: adaptive execution then merges small partitions and splits large ones
     at the advisory size, and no counting pass is needed.
     """
     if rows is None:
         return df.hint("rebalance")
-    return df.repartition(min(max(min_parts, rows // rows_per_part), max_parts))
+    return df.repartition(max(min_parts, rows // rows_per_part))

@@ -29,8 +29,11 @@ def append_jdbc(
     df: DataFrame, url: str, table: str, props: Mapping[str, str] | None = None,
     schema: str | None = None, batch_size: int = BATCH_SIZE, writers: int = WRITERS,
 ) -> None:
-    """Add rows to a remote table through at most ``writers`` connections."""
-    (_writer(df, url, table, props, schema, "append", batch_size)
+    """Add rows to a remote table through at most ``writers`` connections.
+
+    Rows are dealt to the writers by a shuffle, so that only the insert is that narrow.
+    """
+    (_writer(df.repartition(writers), url, table, props, schema, "append", batch_size)
      .option("numPartitions", writers)
      .save())
 
@@ -45,7 +48,7 @@ def overwrite_jdbc(
     ``truncate`` empties the table and keeps its definition and grants; otherwise it is dropped
     and created again.
     """
-    (_writer(df, url, table, props, schema, "overwrite", batch_size)
+    (_writer(df.repartition(writers), url, table, props, schema, "overwrite", batch_size)
      .option("numPartitions", writers)
      .option("truncate", truncate)
      .save())

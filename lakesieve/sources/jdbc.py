@@ -11,8 +11,6 @@ from pyspark.sql import types as T
 from ..operators.lists import ordered_list
 
 FETCH_SIZE = 10_000
-SINGLE_TASK_ROWS = 1_000_000
-SPLITTABLE = (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def remote_name(table: str, schema: str | None = None) -> str:
@@ -21,10 +19,6 @@ def remote_name(table: str, schema: str | None = None) -> str:
     return ".".join('"' + p.replace('"', '""') + '"' for p in parts)
 
 
-def _first_splittable(schema: T.StructType) -> str | None:
-    return next((f.name for f in schema.fields if isinstance(f.dataType, SPLITTABLE)), None)
-
-
 def _reader(spark: SparkSession, url: str, props: Mapping[str, str] | None):
     return (spark.read.format("jdbc")
             .option("url", url)
@@ -46,15 +40,16 @@ def read_jdbc(
     props: Mapping[str, str] | None = None,
     schema: str | None = None,
     partition_column: str | None = None,
-    num_partitions: int = 64,
+    num_partitions: int | None = None,
     predicates: Sequence[str] | None = None,
 ) -> DataFrame:
     """A whole remote table.
 
     The read is split over ``partition_column``, between its remote min and max, or into one task
-    per condition in ``predicates``, which suits keys whose values are unevenly spread. Without
-    either, a table of up to ``SINGLE_TASK_ROWS`` rows is read by one task; a larger one is split
-    over its first column that can be split, and refused if there is none.
+    per condition in ``predicates``, which suits keys whose values are unevenly spread.
+    ``num_partitions`` is the number of parts, by default the session's parallelism; the database
+    has to bear as many connections. Without a column or predicates one task reads the table,
+    whatever its size: only the caller knows a column that is indexed and evenly spread.
     """
     name = remote_name(table, schema)
     if predicates is not None:
@@ -62,12 +57,7 @@ def read_jdbc(
         return spark.read.jdbc(url, name, predicates=list(predicates), properties=properties)
     reader = _reader(spark, url, props).option("dbtable", name)
     if partition_column is None:
-        whole = reader.load()
-        if count_jdbc(spark, url, table, props, schema) <= SINGLE_TASK_ROWS:
-            return whole
-        partition_column = _first_splittable(whole.schema)
-        if partition_column is None:
-            raise ValueError(f"{name} is too large for one task: give a partition_column or predicates")
+        return reader.load()
     key = remote_name(partition_column)
     ends = read_jdbc_query(
         spark, url, f"SELECT min({key}) AS lo, max({key}) AS hi FROM {name}", props).toDF("lo", "hi")
@@ -81,7 +71,7 @@ def read_jdbc(
             .option("partitionColumn", key)
             .option("lowerBound", bounds["lo"])
             .option("upperBound", bounds["hi"])
-            .option("numPartitions", num_partitions)
+            .option("numPartitions", num_partitions or spark.sparkContext.defaultParallelism)
             .load())
 
 

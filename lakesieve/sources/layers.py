@@ -16,13 +16,18 @@ LAYERS = ("bronze", "silver", "gold")
 
 @dataclass(frozen=True)
 class LayerSource:
-    """Where the layers live: folders for bronze and silver, a database schema for gold."""
+    """Where the layers live: folders for bronze and silver, a database schema for gold.
+
+    ``gold_keys`` names, per table, the column its read is split on, into ``gold_parts`` parts.
+    """
 
     bronze: str | None = None
     silver: str | None = None
     gold_url: str | None = None
     gold_schema: str = "raw_data"
     gold_props: Mapping[str, str] = field(default_factory=dict)
+    gold_keys: Mapping[str, str] = field(default_factory=dict)
+    gold_parts: int | None = None
     partition_column: str = PARTITION_COLUMN
 
 
@@ -33,7 +38,8 @@ def read_layer(
     if layer == "gold":
         if not source.gold_url:
             raise ValueError("the gold layer needs a JDBC url")
-        return read_jdbc(spark, source.gold_url, table, source.gold_props, source.gold_schema)
+        return read_jdbc(spark, source.gold_url, table, source.gold_props, source.gold_schema,
+                         partition_column=source.gold_keys.get(table), num_partitions=source.gold_parts)
     if layer not in LAYERS:
         raise ValueError(f"unknown layer: {layer}")
     base = getattr(source, layer)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,26 +13,35 @@ SHEET_COLUMN = "sheet"
 
 def read_sheets(
     spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet",
-    schema: T.StructType | None = None, **options: str
+    schema: T.StructType | None = None, name_column: str | None = SHEET_COLUMN, **options: str
 ) -> dict[str, DataFrame]:
-    """One DataFrame per named sheet, its name kept as a column.
+    """One DataFrame per named sheet, its name kept as ``name_column`` (None: not kept).
 
-    Each sheet is asked for its own layout; a shared ``schema`` saves that when there are many.
+    A sheet that has such a column itself, in whatever case, is refused: nothing is overwritten. Each sheet is asked for its own layout; a shared ``schema`` saves that when there are many.
     """
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     return {
-        sheet: reader.load(path).withColumn(SHEET_COLUMN, F.lit(sheet))
+        sheet: _named_sheet(reader.load(path), name_column, F.lit(sheet))
         for sheet, path in paths.items()
     }
 
 
 def read_sheet_dir(
-    spark: SparkSession, root: str, schema: T.StructType | str, fmt: str = "parquet", **options: str
+    spark: SparkSession, root: str, schema: T.StructType | str, fmt: str = "parquet",
+    name_column: str = SHEET_COLUMN, **options: str
 ) -> DataFrame:
     """A folder with one file per sheet, all in one scan; the file name without its ending
-    names the sheet."""
+    names the sheet, in ``name_column``, which the sheets must not have themselves."""
     rows = spark.read.format(fmt).schema(schema).options(**options).load(root)
     name = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
-    return rows.withColumn(SHEET_COLUMN, name)
+    return _named_sheet(rows, name_column, name)
+
+
+def _named_sheet(rows: DataFrame, column: str | None, name: Column) -> DataFrame:
+    if column is None:
+        return rows
+    if column.lower() in (c.lower() for c in rows.columns):
+        raise ValueError(f"a sheet has a column {column!r} itself; choose another name_column")
+    return rows.withColumn(column, name)

@@ -76,6 +76,16 @@ def partition_dirs(spark: SparkSession, root: str, column: str) -> dict[str, str
     }
 
 
+#: Folder beside a table for what is half written or about to be replaced. No table has this name.
+WORK_FOLDER = "_lakesieve_work"
+
+
+def beside(path: str, label: str) -> str:
+    """A fresh path on the file system of ``path``, in the work folder next to it."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/{WORK_FOLDER}/{name}.{label}-{uuid.uuid4().hex}"
+
+
 def swap_in(spark: SparkSession, staged: str, path: str) -> None:
     """Put the finished dataset ``staged`` in the place of ``path``.
 
@@ -84,7 +94,8 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
     """
     jpath, fs = _handle(spark, path)
     jstaged, _ = _handle(spark, staged)
-    aside, _ = _handle(spark, f"{path.rstrip('/')}.previous-{uuid.uuid4().hex}")
+    aside, _ = _handle(spark, beside(path, "previous"))
+    fs.mkdirs(aside.getParent())
     had_data = fs.exists(jpath)
     if had_data and not fs.rename(jpath, aside):
         raise OSError(f"cannot move the old data of {path} aside")

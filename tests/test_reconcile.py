@@ -52,6 +52,26 @@ def test_many_copies_are_written_in_blocks(spark, monkeypatch):
     assert Counter(r["a"] for r in rows.collect()) == {1: 50, 2: 7, 3: 8}
 
 
+def test_blocks_are_spread_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(reconcile, "_BLOCK", 100)
+    source = frame(spark, [(1, "x")]).select(F.explode(F.sequence(F.lit(1), F.lit(20_000))).alias("i"), "a", "b").drop("i")
+    rows = rows_to_insert(source, frame(spark, [(4, "w")]))
+    per_task = rows.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) == 8 and max(r["count"] for r in per_task) < 6_000
+
+
+def test_both_ways_take_the_same_values_as_equal(spark):
+    left = spark.sql("SELECT 0.0D d, map('a', 1, 'b', 2) m")
+    right = spark.sql("SELECT -0.0D d, map('b', 2, 'a', 1) m")
+    for by in ("columns", "fingerprint"):
+        assert rows_to_insert(left, right, by).count() == 0
+
+
+def test_variants_are_compared(spark):
+    left = spark.sql("SELECT parse_json('[1, 2]') v UNION ALL SELECT parse_json('[3]')")
+    assert rows_to_insert(left, left.limit(1)).count() == 1
+
+
 def test_odd_names(spark):
     source = frame(spark, [(1, "x"), (2, "y")]).toDF("a.b", "c `d`")
     assert [tuple(r) for r in rows_to_insert(source, source.limit(1)).collect()] == [(2, "y")]

@@ -123,6 +123,19 @@ def test_job_moves_existing_checkpoints(spark, tmp_path):
 def test_job_each_and_unknown_mode(spark, tmp_path):
     sheets = {"A b": sheet(spark, [(1,)], "n int"), "C": sheet(spark, [(2,)], "other int")}
     written, _, rejected = sheets_job(sheets, "lake", "misc", str(tmp_path), AS_OF, "me")
-    assert {r["category"] for r in written.collect()} == {"a-b", "c"} and rejected is None
+    assert {r["category"] for r in written.collect()} == {"a-b", "c"} and rejected.count() == 0
     with pytest.raises(ValueError, match="mode"):
         sheets_job(sheets, "lake", "misc", str(tmp_path), AS_OF, "me", mode="magic")
+
+
+def test_a_sheet_keeps_its_own_column(spark, tmp_path):
+    spark.createDataFrame([(1, "mine")], "id int, Sheet string").write.parquet(str(tmp_path / "a"))
+    with pytest.raises(ValueError, match="name_column"):
+        read_sheets(spark, {"A": str(tmp_path / "a")})
+    row = read_sheets(spark, {"A": str(tmp_path / "a")}, name_column=None)["A"].first()
+    assert row["Sheet"] == "mine"
+
+
+def test_no_digit_is_lost_between_types(spark):
+    united, _ = union_sheets({"a": spark.sql("SELECT 9007199254740993 n"), "b": spark.sql("SELECT 0.5D n")})
+    assert {r["n"] for r in united.collect()} == {"9007199254740993", "0.5"}

@@ -10,7 +10,7 @@ from lakesieve.sources import (
     LayerSource, latest_partition, latest_partition_dir, read_catalog, read_landing, read_layer, read_partition,
     read_table, resolve_partition, resolve_partition_dir,
 )
-from lakesieve.storage import child_names, partition_dirs, scratch_path, scratch_root
+from lakesieve.storage import WORK_FOLDER, child_names, partition_dirs, scratch_path, scratch_root
 
 
 @pytest.mark.parametrize("category,expected", [
@@ -46,7 +46,8 @@ def test_replace_a_table_that_is_being_read(spark, tmp_path):
     write_table(spark.range(5), path)
     replace_table(read_table(spark, path).filter("id > 2"), path)
     assert sorted(r[0] for r in read_table(spark, path).collect()) == [3, 4]
-    assert child_names(spark, str(tmp_path)) == ["t"]
+    assert child_names(spark, str(tmp_path)) == [WORK_FOLDER, "t"]
+    assert child_names(spark, str(tmp_path / WORK_FOLDER)) == []
 
 
 def test_failed_replacement_keeps_the_old_data(spark, tmp_path):
@@ -158,5 +159,5 @@ def test_fit_partitions(spark):
 
     assert parts(rows=1000) == 10
     assert parts(rows=1000, rows_per_part=50) == 20
-    assert parts(rows=1000, rows_per_part=1, max_parts=30) == 30
+    assert parts(rows=1000, rows_per_part=1) == 1000
     assert "REBALANCE" in fit_partitions(df)._jdf.queryExecution().toString().upper()
