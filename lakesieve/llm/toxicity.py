@@ -26,8 +26,9 @@ POSITIVE, UNLABELLED, CALIBRATION = 2_000, 4_000, 4_000
 MEMBERS = 3
 #: Features a classifier may use, and documents with one at least.
 FEATURES, LEAST_DOCS = 4_096, 3
-#: Standard deviations by which its share of toxic documents must exceed that of unlabelled ones.
-LEAST_SPREAD = 4.0
+#: Evidence for a feature: log of how much likelier its number of toxic documents is under their own
+#: rate than under that of unlabelled ones. Among a million rare features some reach ln(10 ** 6) by chance.
+LEAST_EVIDENCE = 12.0
 STEPS, BATCH, RATE, DECAY = 400, 256, 0.05, 1e-4
 #: Score from which a document is predicted to be toxic.
 TOXIC = 0.7
@@ -63,16 +64,16 @@ def _frequencies(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def choose_features(toxic: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
-    """The features whose share of toxic documents exceeds that of unlabelled ones most for its spread."""
+    """The features that are more frequent in toxic documents than in unlabelled ones, by evidence."""
     keys, n = _frequencies(toxic)
     keys, n = keys[n >= LEAST_DOCS], n[n >= LEAST_DOCS]
     all_keys, all_n = _frequencies(other)
     at = np.minimum(np.searchsorted(all_keys, keys), max(0, len(all_keys) - 1))
     m = np.where(all_keys[at] == keys, all_n[at], 0) if len(all_keys) else np.zeros(len(keys))
-    p, q = n / max(1, len(toxic)), (m + 0.5) / (len(other) + 1)
-    z = (p - q) / np.sqrt(q * (1 - np.minimum(q, 0.999)) * (1 / max(1, len(toxic)) + 1 / max(1, len(other))))
-    best = np.argsort(-z, kind="stable")[:FEATURES]
-    return np.sort(keys[best[z[best] >= LEAST_SPREAD]])
+    usual = len(toxic) * (m + 1) / (len(other) + 1)
+    evidence = np.where(n > usual, n * np.log(n / usual) - (n - usual), 0.0)
+    best = np.argsort(-evidence, kind="stable")[:FEATURES]
+    return np.sort(keys[best[evidence[best] >= LEAST_EVIDENCE]])
 
 
 def _rows(docs: list[np.ndarray], chosen: np.ndarray) -> list[np.ndarray]:
@@ -133,6 +134,21 @@ def calibrate(outputs: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     return float(max(a, 0.0)), float(c)
 
 
+def steps(outputs: np.ndarray, toxic: np.ndarray) -> tuple[list[float], list[float]]:
+    """Isotonic regression: outputs and the shares of toxic ones near them, both rising.
+
+    Neighbouring outputs are pooled while their shares fall; a small constant keeps shares off 0 and 1.
+    """
+    blocks: list[list[float]] = []
+    for at in np.argsort(outputs, kind="stable"):
+        blocks.append([float(toxic[at] > 0), 1.0, float(outputs[at])])
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
+            last = blocks.pop()
+            blocks[-1] = [x + y for x, y in zip(blocks[-1], last, strict=True)]
+    shares = np.maximum.accumulate([(y + 0.1) / (n + 0.2) for y, n, _ in blocks])
+    return [x / n for _, n, x in blocks], shares.tolist()
+
+
 def _fit_member(rows: pd.DataFrame) -> pd.DataFrame:
     member, prior = int(rows["member"].iloc[0]), float(rows["prior"].iloc[0])
     rows = rows.sort_values(["kind", "hash", "text"])
@@ -145,12 +161,14 @@ def _fit_member(rows: pd.DataFrame) -> pd.DataFrame:
     chosen = choose_features(toxic, other)
     weights, bias = fit_nnpu(_rows(toxic, chosen), _rows(other, chosen), prior, len(chosen), member)
     rest = (kinds == "labelled") & away
-    a, c = 1.0, 0.0
+    a, c, at, share = 1.0, 0.0, [0.0], [prior]
     if rest.any():
         marks = rows["toxic"].to_numpy()[rest]
-        a, c = calibrate(_outputs(_rows(_features(list(texts[rest])), chosen), weights, bias), marks)
+        outputs = _outputs(_rows(_features(list(texts[rest])), chosen), weights, bias)
+        a, c = calibrate(outputs, marks)
+        at, share = steps(a * outputs + c, marks)
     used = np.abs(weights) > 1e-6
-    model = json.dumps([chosen[used].tolist(), (a * weights[used]).tolist(), a * bias + c])
+    model = json.dumps([chosen[used].tolist(), (a * weights[used]).tolist(), a * bias + c, at, share])
     return pd.DataFrame({"member": [member], "model": [model]})
 
 
@@ -187,21 +205,27 @@ def _smallest(ids: DataFrame, most: int) -> DataFrame:
 class Scorer:
     def __init__(self, models: tuple[str, ...]) -> None:
         parsed = [json.loads(m) for m in models]
-        self.bias = np.array([b for _, _, b in parsed])
+        self.bias = np.array([m[2] for m in parsed])
+        self._steps = [(np.array(m[3]), np.array(m[4])) for m in parsed]
         self._known: dict[int, int] = {}
-        for keys, _, _ in parsed:
+        for keys, *_ in parsed:
             for key in keys:
                 self._known.setdefault(key, len(self._known))
         self._weights = np.zeros((len(self._known), len(parsed)))
-        for m, (keys, weights, _) in enumerate(parsed):
+        for m, (keys, weights, *_) in enumerate(parsed):
             self._weights[[self._known[k] for k in keys], m] = weights
         self._of_word = _Memo(lambda w: tuple(self._known[k] for k in word_features(w) if k in self._known))
 
     def score(self, text: str) -> float:
-        """Mean of the classifiers' probabilities; each known feature of the text counts once."""
+        """Median of the classifiers' probabilities; each known feature of the text counts once.
+
+        A probability is the share of toxic documents with such an output, and to a small part its
+        sigmoid, which orders what has one share.
+        """
         found = set(chain.from_iterable(map(self._of_word.__getitem__, set(_WORDS(text.lower())))))
         output = self.bias + self._weights[list(found)].sum(axis=0)
-        return float((1 / (1 + np.exp(-np.clip(output, -50, 50)))).mean())
+        shares = [np.interp(o, at, share) for o, (at, share) in zip(output, self._steps, strict=True)]
+        return float(0.98 * np.median(shares) + 0.02 * (1 / (1 + np.exp(-np.clip(output, -50, 50)))).mean())
 
 
 @lru_cache(maxsize=2)
