@@ -62,17 +62,20 @@ def drop_null_columns(df: DataFrame) -> DataFrame:
     decides the rest and only its single row of counts reaches the driver. An empty table keeps
     its columns.
     """
+    return drop_and_count(df)[0]
+
+
+def drop_and_count(df: DataFrame) -> tuple[DataFrame, int, dict[str, int]]:
+    """(the table without its null columns, rows, values per kept column), from one aggregate."""
     typed = df.select(*[
         named(f.name).dropFields(*void).alias(f.name) if (void := _void_fields(f.dataType)) else named(f.name)
         for f in df.schema.fields if not _all_void(f.dataType)
     ])
-    if not typed.columns:
-        return typed
     flat = positional(typed)
     counts = flat.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(c) for c in flat.columns]).first()
-    if counts["rows"] == 0:
-        return typed
-    return typed.select(*[named(name) for i, name in enumerate(typed.columns) if counts[f"c{i}"] > 0])
+    rows = counts["rows"]
+    kept = {name: counts[f"c{i}"] for i, name in enumerate(typed.columns) if rows == 0 or counts[f"c{i}"] > 0}
+    return typed.select(*map(named, kept)), rows, kept
 
 
 def dates_to_string(df: DataFrame) -> DataFrame:

@@ -34,6 +34,19 @@ def gate_report(df: DataFrame, required: Sequence[str] = ("id", "timestamp"), ke
     return counted.select((reason == "").alias("passed"), reason.alias("reason"), "row_count", "null_keys")
 
 
+def judged(columns: Sequence[str], rows: int, null_keys: int, required: Sequence[str], key: str) -> GateResult:
+    """The check of :func:`gate_report` for a table that was counted already."""
+    missing = next((c for c in [*required, key] if c not in columns), None)
+    reason = ""
+    if rows == 0:
+        reason = "no records"
+    elif missing is not None:
+        reason = f"missing column '{missing}'"
+    elif null_keys > 0:
+        reason = f"null '{key}' values"
+    return GateResult(reason == "", reason, rows)
+
+
 def validate_table(
     df: DataFrame, required: Sequence[str] = ("id", "timestamp"), key: str = "id"
 ) -> GateResult:

@@ -7,7 +7,7 @@ from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field
 from typing import Protocol
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import COPY_OUTCOME
@@ -119,12 +119,14 @@ def _copy_table(
         return skipped("no rows in source", source_rows=0)
 
     if not upsert:
+        # Counted while they are written: others may write to the target at the same time.
+        written = Observation()
         before = target.count(table)
-        target.append(_in_target_shape(rows, old), table)
-        after = target.count(table)
-        return {"outcome": "processed", "message": "", "source_rows": after - before,
-                "target_before": before, "target_after": after,
-                "inserted": after - before, "deleted": 0, "appended": max(0, after - before)}
+        target.append(_in_target_shape(rows, old).observe(written, F.count(F.lit(1)).alias("rows")), table)
+        added = written.get["rows"]
+        return {"outcome": "processed", "message": "", "source_rows": added,
+                "target_before": before, "target_after": target.count(table),
+                "inserted": added, "deleted": 0, "appended": added}
 
     extra = [c for c in old.columns if c not in rows.columns]
     if extra and not allow_blank:

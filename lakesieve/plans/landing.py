@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from ..operators.columns import drop_null_columns
-from ..operators.gate import GateResult, validate_table
+from ..operators.columns import drop_and_count
+from ..operators.gate import GateResult, judged
 from ..sinks.files import land, replace_table
 from ..sources.files import read_landing
 
@@ -27,13 +27,13 @@ def clean_to_silver(
 ) -> tuple[str | None, GateResult]:
     """Drop empty columns, check, overwrite ``<silver_base>/<table>``: (path written, check).
 
-    An empty table is skipped. A failed check is reported and the table still written, unless
+    One aggregate finds the empty columns and the null keys. An empty table is skipped. A failed check is reported and the table still written, unless
     ``on_invalid="skip"``.
     """
     if on_invalid not in ("warn", "skip"):
         raise ValueError(f"on_invalid must be warn or skip, not {on_invalid!r}")
-    cleaned = drop_null_columns(df)
-    check = validate_table(cleaned, required, key)
+    cleaned, rows, values = drop_and_count(df)
+    check = judged(list(values), rows, rows - values.get(key, 0), required, key)
     if check.rows == 0 or (on_invalid == "skip" and not check.passed):
         return None, check
     path = f"{silver_base.rstrip('/')}/{silver_name(table)}"

@@ -5,6 +5,8 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,7 +61,7 @@ def _layer_lines(
         try:
             stamp = resolve_partition_dir(
                 spark, f"{source.bronze.rstrip('/')}/{table}", source.partition_column, requested)
-        except Exception as error:
+        except (PySparkException, Py4JJavaError, OSError, ValueError) as error:
             rows += _status_lines(spark, [_error(table, requested, error, 0.0)], keywords, as_of).collect()
             continue
         if stamp is not None:
@@ -78,7 +80,15 @@ def _layer_lines(
     def on_error(item: tuple[str, str | None], error: Exception) -> list[Row]:
         return _status_lines(spark, [_error(item[0], item[1], error, 0.0)], keywords, as_of).collect()
 
-    return rows + run_isolated(slices, run, on_error)
+    # Tables that can't be opened are set apart first; after that only errors about data count.
+    readable = []
+    for table, stamp in slices:
+        try:
+            read_layer(spark, source, layer, table, stamp)
+            readable.append((table, stamp))
+        except (PySparkException, Py4JJavaError, OSError, ValueError) as error:
+            rows += on_error((table, stamp), error)
+    return rows + run_isolated(readable, run, on_error, PySparkException)
 
 
 def quality_job(
