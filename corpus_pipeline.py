@@ -1,7 +1,8 @@
 """A training corpus from raw documents, in five stages. Each keeps the columns of documents.
 
 Every stage takes (spark, docs, sf_dir), works on all rows it is given and returns a DataFrame,
-which is written as Parquet and read again as the next stage's docs.
+which is written as Parquet and read again as the next stage's docs. Rows that share a doc_id, null
+included, stay or go together. Null and empty texts go with the first stage, as they have no letter.
 """
 
 from __future__ import annotations
