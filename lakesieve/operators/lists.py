@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.naming import named
-from ..storage import staged
-
-CHUNK_COLUMN = "chunk"
-COPIES_COLUMN = "copies"
 
 
 def ordered_list(
@@ -17,44 +13,9 @@ def ordered_list(
 ) -> DataFrame:
     """(key, values): per key, the values sorted by ordinal, ties by value; nulls keep their place.
 
-    One list has to fit into one row, as the columns of a table do. For keys that may hold any
-    number of values see :func:`ordered_chunks`.
+    One list has to fit into one row, as the columns of a table or the turns of a talk do. Repeats
+    stay as often as they occur.
     """
     pair = F.struct(named(order).alias("o"), named(value).alias("v"))
     ordered = F.transform(F.array_sort(F.collect_list(pair)), lambda x: x["v"])
     return df.groupBy(named(key)).agg(ordered.alias(name))
-
-
-def ordered_chunks(
-    df: DataFrame, key: str, order: str, value: str, size: int, name: str = "values"
-) -> DataFrame:
-    """(key, chunk, values, copies): the ordered list of each key in pieces of at most ``size``.
-
-    Equal (key, ordinal, value) rows are one entry, with their number in ``copies``; they are
-    counted before anything is shuffled. No task ever holds a whole key: the entries are cut into
-    even ranges over key, ordinal and value, numbered within each range, and moved up by what the
-    earlier ranges hold of the same key.
-    """
-    k, o, v = named(key).alias("k"), named(order).alias("o"), named(value).alias("v")
-    entries = df.select(k, o, v).groupBy("k", "o", "v").agg(F.count(F.lit(1)).alias("n"))
-    ranges = staged(
-        entries.repartitionByRange("k", "o", "v").withColumn("part", F.spark_partition_id()), "ranges")
-
-    in_range = Window.partitionBy("part", "k").orderBy("o", "v")
-    earlier = Window.partitionBy("k").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # Only a key that goes on from an earlier range has a start: at most one line per range.
-    starts = (ranges.groupBy("part", "k").agg(F.count(F.lit(1)).alias("held"))
-              .withColumn("start", F.sum("held").over(earlier))
-              .filter("start > 0")
-              .select(F.col("part").alias("p"), F.col("k").alias("start_key"), "start"))
-    numbered = ranges.withColumn("i", F.row_number().over(in_range) - 1)
-    placed = (numbered
-              .join(starts, (F.col("part") == F.col("p")) & F.col("k").eqNullSafe(F.col("start_key")), "left")
-              .withColumn("at", F.col("i") + F.coalesce("start", F.lit(0))))
-    entry = F.struct("at", "v", "n")
-    return (placed
-            .groupBy(F.col("k").alias(key), F.expr(f"`at` DIV {int(size)}").alias(CHUNK_COLUMN))
-            .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-            .select(named(key), CHUNK_COLUMN,
-                    F.transform("entries", lambda e: e["v"]).alias(name),
-                    F.transform("entries", lambda e: e["n"]).alias(COPIES_COLUMN)))
