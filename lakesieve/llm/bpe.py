@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import id_and_text, map_texts
 
 #: Pieces and token pairs that a worker remembers; it starts over when there are more.
-MEMORY = 1 << 19
+MEMORY = 1 << 18
 #: Patterns of which the above is known: a space only begins a match or is inside white space.
 SPACED_PATTERNS = (
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""",

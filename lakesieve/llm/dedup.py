@@ -16,11 +16,14 @@ from lakesieve.storage import scratch_path
 
 from .common import ascii_lower, id_and_text, slot_filter, staged
 
-#: State on disk; files grow as they are written, as many partitions may hold little each.
+#: State on disk; files grow as they are written, as many partitions may hold little each, and all
+#: stores of an executor share one bound of memory.
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
 }
 
 

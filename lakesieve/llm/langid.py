@@ -23,7 +23,7 @@ ORDER, BITS = 4, 12
 #: Slots of each hash array (a prime), which bounds the model: languages x 7 x SLOTS x 12 bytes.
 SLOTS = 1_048_573
 #: n-grams a task may hold before it passes counts on, and resolved ones a worker remembers.
-HELD = 1 << 20
+HELD = 1 << 18
 #: Confidence is the softmax of minus the cross-entropies (bits per character) times this.
 SHARPNESS = 8.0
 #: A document is rejected beyond twice the 99.9 % quantile of training documents' distances, never
@@ -38,7 +38,7 @@ def _letters() -> np.ndarray:
     """Code point -> number of the letter, 0 if it is none."""
     points = np.arange(0x110000, dtype=np.int64)
     alpha = np.fromiter((chr(p).isalpha() for p in range(0x110000)), bool, 0x110000)
-    return np.where(alpha, points % ((1 << BITS) - 1) + 1, 0)
+    return np.where(alpha, points % ((1 << BITS) - 1) + 1, 0).astype(np.int16)
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -48,7 +48,7 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """
     raw = [t.lower().encode("utf-32-le", "surrogatepass") for t in texts]
     lengths = np.array([len(r) // 4 for r in raw], dtype=np.int64)
-    symbols = _letters()[np.frombuffer(b"".join(raw), dtype=np.uint32)]
+    symbols = _letters()[np.frombuffer(b"".join(raw), dtype=np.uint32)].astype(np.int64)
     owner = np.repeat(np.arange(len(texts)), lengths)
     before = np.empty_like(symbols)
     before[:1], before[1:] = 0, symbols[:-1]
@@ -101,7 +101,7 @@ def _as_batches(held: dict[str, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.R
             [pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(n)], names=["lang", "gram", "n"])
 
 
-def _parts(texts: list[str], size: int = 2_000_000) -> Iterator[list[str]]:
+def _parts(texts: list[str], size: int = 250_000) -> Iterator[list[str]]:
     """Runs of texts with about ``size`` characters, to bound what is held at once."""
     part: list[str] = []
     held = 0
@@ -228,7 +228,7 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
     return map_texts(id_and_text(docs), "lang_pred string, score double, bits double, spread double, n long", best)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _kept(shared) -> Models:
     return shared.value
 

@@ -37,7 +37,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 19:
+        if len(self) > 1 << 17:
             self.clear()
         self[word] = value = xxhash.xxh64_intdigest(word)
         return value
@@ -158,7 +158,7 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(same)], names=["a", "b", "agreeing"])
 
 
-@lru_cache(maxsize=64)
+@lru_cache(maxsize=16)
 def _recent(text: str) -> np.ndarray:
     return shingles(text)
 
