@@ -1,46 +1,56 @@
 """A training corpus from raw documents, in five stages. Each keeps the columns of documents.
 
 Every stage takes (spark, docs, sf_dir), works on all rows it is given and returns a DataFrame,
-which is written as Parquet and read again as the next stage's docs. Rows that share a doc_id, null
-included, stay or go together. Null and empty texts go with the first stage, as they have no letter.
+which is written as Parquet and read again as the next stage's docs. A stage numbers its rows and
+decides on each by itself: a repeated or null doc_id ties no rows together. Null and empty texts go
+with the first stage, as they have no letter.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakesieve.llm import bpe, decontam, dedup, langid, near_dup
-from lakesieve.llm.common import drop_ids, named
+from lakesieve.llm.common import drop_ids, named, numbered
 from lakesieve.storage import staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _columns(docs: DataFrame) -> DataFrame:
-    return docs.select(*map(named, COLUMNS))
+def _rows(docs: DataFrame) -> DataFrame:
+    return numbered(docs.select(*map(named, COLUMNS)))
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    return drop_ids(rows, gone, "row").select(*COLUMNS)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; those without a letter or far from every model go."""
-    found = langid.identify(docs, ~langid.held_out())
-    return drop_ids(_columns(docs), found.where("rejected").select("doc_id"))
+    rows = _rows(docs)
+    found = langid.identify(rows, ~langid.held_out(), "row")
+    return _without(rows, found.where("rejected").selectExpr("doc_id AS row"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts (A-Z in lower case) the one with the largest doc_id stays."""
-    return drop_ids(_columns(docs), dedup.exact_dedup(docs).where("NOT kept").select("doc_id"))
+    """Of equal texts (A-Z in lower case) one row stays, with the largest doc_id (null: if all are)."""
+    rows = _rows(docs)
+    found = dedup.exact_dedup(rows.select(F.struct("doc_id", "row").alias("doc_id"), "text"))
+    return _without(rows, found.where("NOT kept").selectExpr("doc_id.row AS row"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of similarity 0.8 connect the one with the smallest doc_id stays."""
-    return drop_ids(_columns(docs), near_dup.near_duplicates(docs).where("NOT kept").select("doc_id"))
+    return drop_ids(docs.select(*map(named, COLUMNS)), near_dup.near_duplicates(docs).where("NOT kept").select("doc_id"))
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which at least a twentieth of the words is in passages of the benchmark go."""
+    rows = _rows(docs)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    judged = decontam.decontaminate(docs, benchmark)
-    return drop_ids(_columns(docs), judged.where("contaminated").select("doc_id"))
+    judged = decontam.decontaminate(rows, benchmark, "row")
+    return _without(rows, judged.where("contaminated").selectExpr("doc_id AS row"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,18 +51,23 @@ def slot_filter(df: DataFrame, hashed: Column, keys: DataFrame, key: str) -> Dat
     )
 
 
-def drop_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is in ``gone``; a null id is an id like others.
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` and ``row``, a number of its own for each row. It is written once, so it never changes."""
+    return staged(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+
+
+def drop_ids(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose ``key`` is in ``gone``; a null key is a key like others.
 
     Rows that can't be among them pass by the slot filter unshuffled; the others are anti-joined.
     """
-    gone = staged(gone.distinct().select(F.col("doc_id").alias("__gone"), F.xxhash64("doc_id").alias("__key")), "gone")
+    gone = staged(gone.distinct().select(F.col(key).alias("__gone"), F.xxhash64(key).alias("__key")), "gone")
     bits = slots(gone, "__key")
-    marked = docs.withColumn("__h", F.xxhash64("doc_id")).withColumn("__at", F.expr(SLOT)).join(
+    marked = docs.withColumn("__h", F.xxhash64(key)).withColumn("__at", F.expr(SLOT)).join(
         F.broadcast(bits), F.col("__at") == F.col("__slot"), "left")
     hit = F.coalesce(F.expr("(shiftright(__bits, CAST(__h & 63 AS INT)) & 1L) = 1L"), F.lit(False))
     stay = marked.where(~hit).select(docs.columns)
-    doubtful = marked.where(hit).join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti").select(docs.columns)
+    doubtful = marked.where(hit).join(gone, F.col(key).eqNullSafe(F.col("__gone")), "left_anti").select(docs.columns)
     return stay.unionByName(doubtful)
 
 
@@ -92,4 +97,4 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
             T.BooleanType: pa.bool_(), T.StringType: pa.string(), T.BinaryType: pa.binary()}[type(kind)]
 
 
-__all__ = ["ascii_lower", "drop_ids", "id_and_text", "map_texts", "named", "slot_filter", "staged"]
+__all__ = ["ascii_lower", "drop_ids", "id_and_text", "map_texts", "named", "numbered", "slot_filter", "staged"]

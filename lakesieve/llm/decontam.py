@@ -100,7 +100,7 @@ def _places(rows: DataFrame, keys: list[str], lengths: list[int], of, keep=lambd
     return found.groupBy(*keys).agg(F.collect_list(F.struct("at", "print", "length")).alias("places"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A word is hit if it lies in any occurrence of an item's window; n_items counts the items with
@@ -113,7 +113,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     the documents' side of that join holds plain rows, which adaptive execution splits.
     """
     windows, lengths = item_windows(benchmark)
-    texts = id_and_text(docs).select("doc_id", F.xxhash64("text").alias("version"), "text")
+    texts = id_and_text(docs, id_col).select("doc_id", F.xxhash64("text").alias("version"), "text")
     rows = texts.select("doc_id", "version", words(F.col("text")).alias("tokens"))
     sized = rows.select("doc_id", "version", F.size("tokens").cast("long").alias("n_words"))
     places = _places(

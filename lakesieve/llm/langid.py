@@ -262,7 +262,7 @@ def _distance(mean: Column, between: Column, within: Column) -> Column:
     return (F.col("bits") - mean) / F.sqrt(between + within / F.col("n") + F.lit(1e-6))
 
 
-def identify(docs: DataFrame, training: Column) -> DataFrame:
+def identify(docs: DataFrame, training: Column, id_col: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, lang_pred, score, rejected.
 
     Learns from the rows where ``training`` holds and ``lang`` is not null; lang, source and doc_id
@@ -273,7 +273,7 @@ def identify(docs: DataFrame, training: Column) -> DataFrame:
     training = F.coalesce(training, F.lit(False)) & named("lang").isNotNull()
     learnt = docs.where(training)
     models = fit(staged(count_grams(learnt), "char-counts"))
-    scored = staged(score(docs.select(named("text").alias("text"), F.struct(named("doc_id").alias("id"), training.alias("trained")).alias("doc_id")), models),
+    scored = staged(score(docs.select(named("text").alias("text"), F.struct(named(id_col).alias("id"), training.alias("trained")).alias("doc_id")), models),
                     "language-scores").selectExpr(
         "doc_id.id AS doc_id", "doc_id.trained", "lang_pred", "score", "bits", "spread", "n")
     usual = scored.where("trained AND n > 0").groupBy("lang_pred").agg(

@@ -47,3 +47,33 @@ def test_stages_keep_the_columns_and_take_odd_tables(spark, small, tmp_path):
             out.write.parquet(path)
             docs = spark.read.parquet(path)
         assert docs.count() == 0 or n == 0
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([(i, t, "en", None, None) for i, t in rows],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+
+
+def pairs(df):
+    return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+
+def test_a_rejected_row_takes_no_row_with_its_id(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    known = pipeline.identify_language(spark, docs, small).orderBy("doc_id").limit(2).collect()
+    (i, first), (_, second) = [(r.doc_id, r.text) for r in known]
+    odd = documents(spark, [(None, ""), (None, second), (i, " \n"), (None, None)])
+    out = pairs(pipeline.identify_language(spark, docs.select(*pipeline.COLUMNS).unionByName(odd), small))
+    assert (None, second) in out and (i, first) in out
+    assert (i, " \n") not in out and (None, "") not in out
+
+    item = next(r.text for r in spark.read.parquet(f"{small}/benchmark.parquet").collect() if len(r.text.split()) > 13)
+    docs = documents(spark, [(None, item), (None, "a clean text"), (3, item), (3, "another clean text")])
+    assert pairs(pipeline.drop_benchmark_passages(spark, docs, small)) == [(3, "another clean text"), (None, "a clean text")]
+
+
+def test_one_row_of_each_group_of_copies_stays(spark, small):
+    docs = documents(spark, [(None, "copy"), (5, "Copy"), (7, "copy"), (7, "other"), (None, "alone"), (9, "same"),
+                             (9, "same"), (9, "Same"), (None, "no id"), (None, "No id"), (None, "no id")])
+    out = pairs(pipeline.drop_exact_copies(spark, docs, small))
+    assert [(i, t.lower()) for i, t in out] == [(7, "copy"), (7, "other"), (9, "same"), (None, "alone"), (None, "no id")]
