@@ -41,8 +41,15 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of similarity 0.8 connect the one with the smallest doc_id stays."""
-    return drop_ids(docs.select(*map(named, COLUMNS)), near_dup.near_duplicates(docs).where("NOT kept").select("doc_id"))
+    """Of rows that links of similarity 0.8 connect one stays, with the smallest doc_id (null: if all are)."""
+    rows = _rows(docs)
+    found = near_dup.near_duplicates(rows, "row").selectExpr("doc_id AS row", "component_id AS component")
+    linked = staged(found.where("row <> component"), "near-linked")
+    members = linked.unionByName(linked.selectExpr("component AS row", "component").distinct())
+    keep = members.join(rows.select("row", "doc_id"), "row").groupBy("component").agg(
+        F.min(F.struct(F.isnull("doc_id"), "doc_id", "row")).alias("least"))
+    keep = staged(keep.selectExpr("least.row AS row"), "near-kept")
+    return _without(rows, members.select("row").join(keep, "row", "left_anti"))
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,3 +77,11 @@ def test_one_row_of_each_group_of_copies_stays(spark, small):
                              (9, "same"), (9, "Same"), (None, "no id"), (None, "No id"), (None, "no id")])
     out = pairs(pipeline.drop_exact_copies(spark, docs, small))
     assert [(i, t.lower()) for i, t in out] == [(7, "copy"), (7, "other"), (9, "same"), (None, "alone"), (None, "no id")]
+
+
+def test_one_row_of_each_group_of_near_copies_stays(spark, small):
+    one, two, three = (" ".join(f"{w}{n}" for n in range(40)) for w in "abc")
+    docs = documents(spark, [(None, one), (8, one + " x"), (6, one + " y"), (None, two), (None, two + " x"), (None, two),
+                             (6, three), (6, three + " x"), (None, "alone"), (None, ""), (6, "too")])
+    out = pairs(pipeline.drop_near_copies(spark, docs, small))
+    assert [(i, t[:3]) for i, t in out] == [(6, "a0 "), (6, "c0 "), (6, "too"), (None, ""), (None, "alo"), (None, "b0 ")]
