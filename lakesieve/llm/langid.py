@@ -1,7 +1,7 @@
 """Language identification by interpolated Kneser-Ney models over characters.
 
-One model per language, counted over all labelled documents. Counts lie in sorted arrays of n-gram
-hashes. The language with the lowest cross-entropy per character is chosen, and a document that
+One model per language, counted over all labelled documents. Each n-gram has its own count, in sorted
+arrays that are broadcast, or in a stored table that is joined where they would be too large. The language with the lowest cross-entropy per character is chosen, and a document that
 even its best model explains far worse than the model's own documents is rejected.
 """
 
@@ -16,12 +16,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_and_text, map_texts, named, staged
+from .common import id_and_text, map_texts, named, numbered, staged
 
 #: Characters of an n-gram, and bits of each. Letters are numbered modulo 4095, 0 is any gap.
 ORDER, BITS = 4, 12
-#: Slots of each hash array (a prime), which bounds the model: languages x 7 x SLOTS x 12 bytes.
-SLOTS = 1_048_573
+#: n-grams and contexts of all models that are broadcast (16 to 24 bytes each); more are joined.
+GATHERED = 4_000_000
 #: n-grams a task may hold before it passes counts on, and resolved ones a worker remembers.
 HELD = 1 << 18
 #: Confidence is the softmax of minus the cross-entropies (bits per character) times this.
@@ -118,8 +118,8 @@ def _parts(texts: list[str], size: int = 250_000) -> Iterator[list[str]]:
 class Models:
     """Kneser-Ney models of several languages; ``costs`` are bits for an n-gram's last character.
 
-    ``numbers[lang][level]`` is (slots, counts) of n-grams and ``contexts[lang][level]`` is (slots,
-    sums, kinds) of what follows a context, slots sorted. ``discounts`` is by language and level.
+    ``numbers[lang][level]`` is (n-grams, counts) and ``contexts[lang][level]`` is (contexts, sums,
+    kinds) of what follows a context, keys sorted. ``discounts`` is by language and level.
     """
 
     def __init__(self, languages: list[str], numbers: dict, contexts: dict, discounts: dict, symbols: int) -> None:
@@ -160,46 +160,57 @@ class Models:
 
 
 def _look_up(table: tuple[np.ndarray, ...], keys: np.ndarray) -> list[np.ndarray]:
-    slots, *values = table
-    if not len(slots):
+    held, *values = table
+    if not len(held):
         return [np.zeros(len(keys)) for _ in values]
-    wanted = keys % SLOTS
-    at = np.minimum(np.searchsorted(slots, wanted), len(slots) - 1)
-    return [np.where(slots[at] == wanted, v[at], 0.0) for v in values]
+    at = np.minimum(np.searchsorted(held, keys), len(held) - 1)
+    return [np.where(held[at] == keys, v[at], 0.0) for v in values]
 
 
-def fit(counts: DataFrame) -> Models:
-    """Models from (lang, gram, n).
+class Tables:
+    """The models as stored tables: numbers (lang, level, g, n) and contexts (lang, level, g, n, kinds).
 
-    Levels below the highest count in how many ways an n-gram continues longer ones. All of that
-    is grouped by Spark; the driver receives hash slots, whose number is bounded by SLOTS.
+    Levels below the highest count in how many ways an n-gram continues longer ones. The driver
+    holds a discount per language and level, the number of symbols and the sizes of the tables.
     """
-    level = {ORDER: counts.select("lang", F.col("gram").alias("g"), "n")}
-    for n in range(ORDER - 1, 0, -1):
-        level[n] = level[n + 1].groupBy("lang", F.expr(f"g & {(1 << (BITS * n)) - 1}L").alias("g")).agg(
-            F.count("*").alias("n"))
-    grams_ = _union([level[n].select("lang", F.lit(n).alias("level"), "g", "n") for n in level])
-    grams_ = staged(grams_, "char-grams")
-    slot = F.expr(f"CAST(g % {SLOTS} AS INT)")
-    numbers = grams_.groupBy("lang", "level", slot.alias("slot")).agg(F.sum("n").alias("n")).toPandas()
-    contexts = grams_.withColumn("g", F.expr(f"shiftright(g, {BITS})")).groupBy("lang", "level", slot.alias("slot")).agg(
-        F.sum("n").alias("n"), F.count("*").alias("kinds")).toPandas()
-    rare = grams_.groupBy("lang", "level").agg(
-        F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"),
-        F.count("*").alias("kinds")).collect()
-    languages = sorted({r.lang for r in rare})
-    discounts: dict = {lang: {} for lang in languages}
-    for r in rare:
-        discounts[r.lang][r.level] = r.once / (r.once + 2 * r.twice) if r.once and r.twice else 0.5
+
+    def __init__(self, counts: DataFrame) -> None:
+        level = {ORDER: counts.select("lang", F.col("gram").alias("g"), "n")}
+        for n in range(ORDER - 1, 0, -1):
+            level[n] = level[n + 1].groupBy("lang", F.expr(f"g & {(1 << (BITS * n)) - 1}L").alias("g")).agg(
+                F.count("*").alias("n"))
+        self.numbers = staged(
+            _union([level[n].select("lang", F.lit(n).alias("level"), "g", "n") for n in level]), "char-grams")
+        self.contexts = staged(
+            self.numbers.groupBy("lang", "level", F.expr(f"shiftright(g, {BITS})").alias("g")).agg(
+                F.sum("n").alias("n"), F.count("*").alias("kinds")), "char-contexts")
+        rare = self.numbers.groupBy("lang", "level").agg(
+            F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"),
+            F.count("*").alias("kinds")).collect()
+        self.languages = sorted({r.lang for r in rare})
+        self.discounts: dict = {lang: {} for lang in self.languages}
+        for r in rare:
+            self.discounts[r.lang][r.level] = r.once / (r.once + 2 * r.twice) if r.once and r.twice else 0.5
+        self.symbols = max(2, max([r.kinds for r in rare if r.level == 1], default=2))
+        self.size = sum(r.kinds for r in rare) + self.contexts.count()
+
+
+def fit(counts: DataFrame) -> Models:
+    """Models from (lang, gram, n), gathered in the driver."""
+    return gathered(Tables(counts))
+
+
+def gathered(tables: Tables) -> Models:
+    """The models as arrays, one entry per n-gram and context."""
     return Models(
-        languages, _arrays(languages, numbers, ["n"]), _arrays(languages, contexts, ["n", "kinds"]), discounts,
-        max([r.kinds for r in rare if r.level == 1], default=2))
+        tables.languages, _arrays(tables.languages, tables.numbers.toPandas(), ["n"]),
+        _arrays(tables.languages, tables.contexts.toPandas(), ["n", "kinds"]), tables.discounts, tables.symbols)
 
 
 def _arrays(languages: list[str], frame, values: list[str]) -> dict:
     tables: dict = {lang: {} for lang in languages}
-    for (lang, level), part in frame.sort_values("slot").groupby(["lang", "level"]):
-        tables[lang][level] = (part["slot"].to_numpy(np.int64), *(part[v].to_numpy(np.float64) for v in values))
+    for (lang, level), part in frame.sort_values("g").groupby(["lang", "level"]):
+        tables[lang][level] = (part["g"].to_numpy(np.int64), *(part[v].to_numpy(np.float64) for v in values))
     return tables
 
 
@@ -228,6 +239,61 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
     return map_texts(id_and_text(docs), "lang_pred string, score double, bits double, spread double, n long", best)
 
 
+def score_joined(docs: DataFrame, tables: Tables) -> DataFrame:
+    """What ``score`` gives, by joins: no task and no driver holds a model.
+
+    Documents become their n-grams with counts. The distinct ones get a cost per language from
+    the tables, which is joined back and summed by row.
+    """
+    rows = numbered(id_and_text(docs))
+    said = staged(rows.select(F.col("row").alias("doc_id"), "text").mapInArrow(_said, "row long, gram long, n long"),
+                  "said-grams")
+    costs = staged(_joined_costs(said.select("gram").distinct(), tables), "gram-costs")
+    at = range(len(tables.languages))
+    sums = said.join(costs, "gram").groupBy("row").agg(
+        F.sum("n").alias("n"), *(F.sum(F.col("n") * F.col("costs")[i]).alias(f"s{i}") for i in at),
+        *(F.sum(F.col("n") * F.col("costs")[i] * F.col("costs")[i]).alias(f"q{i}") for i in at))
+    means = sums.select("row", "n", F.array(*(F.col(f"s{i}") / F.col("n") for i in at)).alias("means"),
+                        F.array(*(F.col(f"q{i}") / F.col("n") for i in at)).alias("squares"))
+    means = means.withColumn("bits", F.array_min("means")).withColumn("pick", F.expr("CAST(array_position(means, bits) AS INT)"))
+    found = means.select(
+        "row", F.element_at(F.array(*map(F.lit, tables.languages)), F.col("pick")).alias("lang_pred"),
+        F.expr(f"1 / aggregate(means, 0D, (a, m) -> a + exp((bits - m) * {SHARPNESS}D))").alias("score"), "bits",
+        F.greatest(F.element_at("squares", F.col("pick")) - F.col("bits") * F.col("bits"), F.lit(0.0)).alias("spread"), "n")
+    return rows.select("row", "doc_id").join(found, "row", "left").select(
+        "doc_id", F.coalesce("lang_pred", F.lit(NO_LANGUAGE)).alias("lang_pred"), F.coalesce("score", F.lit(0.0)).alias("score"),
+        "bits", "spread", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def _said(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct n-grams of each document and their counts."""
+    for batch in batches:
+        for row, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+            keys, n = np.unique(grams([text])[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(keys), row, np.int64)), pa.array(keys), pa.array(n)], names=["row", "gram", "n"])
+
+
+def _joined_costs(wanted: DataFrame, tables: Tables) -> DataFrame:
+    """(gram, costs) with the bits of each language, in the order of ``tables.languages``."""
+    each = wanted.withColumn("lang", F.explode(F.array(*map(F.lit, tables.languages)))).withColumn(
+        "chance", F.lit(1 / tables.symbols))
+    for level in range(1, ORDER + 1):
+        numbers = tables.numbers.where(F.col("level") == level).select("lang", "g", F.col("n").alias("seen"))
+        contexts = tables.contexts.where(F.col("level") == level).select(
+            F.col("lang").alias("of"), F.col("g").alias("context"), F.col("n").alias("total"), "kinds")
+        discount = F.create_map(*(F.lit(v) for lang in tables.languages for v in (lang, float(tables.discounts[lang][level]))))
+        each = (
+            each.withColumn("g", F.expr(f"gram & {(1 << (BITS * level)) - 1}L")).join(numbers, ["lang", "g"], "left")
+            .join(contexts, F.expr(f"lang = of AND shiftright(g, {BITS}) = context"), "left")
+            .withColumn("d", discount[F.col("lang")])
+            .selectExpr("gram", "lang", "CASE WHEN total > 0 THEN greatest(coalesce(seen, 0) - d, 0) / total"
+                        " + d * kinds / total * chance ELSE chance END AS chance")
+        )
+    bits = F.struct("lang", F.expr("-log2(greatest(chance, 1e-12D))").alias("bits"))
+    return each.groupBy("gram").agg(F.sort_array(F.collect_list(bits)).bits.alias("costs"))
+
+
 @lru_cache(maxsize=1)
 def _kept(shared) -> Models:
     return shared.value
@@ -272,9 +338,10 @@ def identify(docs: DataFrame, training: Column, id_col: str = "doc_id") -> DataF
     """
     training = F.coalesce(training, F.lit(False)) & named("lang").isNotNull()
     learnt = docs.where(training)
-    models = fit(staged(count_grams(learnt), "char-counts"))
-    scored = staged(score(docs.select(named("text").alias("text"), F.struct(named(id_col).alias("id"), training.alias("trained")).alias("doc_id")), models),
-                    "language-scores").selectExpr(
+    tables = Tables(staged(count_grams(learnt), "char-counts"))
+    rows = docs.select(named("text").alias("text"), F.struct(named(id_col).alias("id"), training.alias("trained")).alias("doc_id"))
+    found = score(rows, gathered(tables)) if tables.size <= GATHERED else score_joined(rows, tables)
+    scored = staged(found, "language-scores").selectExpr(
         "doc_id.id AS doc_id", "doc_id.trained", "lang_pred", "score", "bits", "spread", "n")
     usual = scored.where("trained AND n > 0").groupBy("lang_pred").agg(
         F.avg("bits").alias("mean"), F.coalesce(F.variance("bits"), F.lit(0.0)).alias("between"), F.avg("spread").alias("within"))
@@ -288,7 +355,7 @@ def identify(docs: DataFrame, training: Column, id_col: str = "doc_id") -> DataF
         "doc_id", "lang_pred", "score",
         F.expr("n = 0").alias("blank"),
         F.coalesce((_distance(F.col("mean"), F.col("between"), F.col("within")) > F.col("limit"))
-                   & (F.col("bits") > (F.col("mean") + math.log2(models.symbols)) / 2), F.lit(False)).alias("far"),
+                   & (F.col("bits") > (F.col("mean") + math.log2(tables.symbols)) / 2), F.lit(False)).alias("far"),
     ).selectExpr("doc_id", "lang_pred", "score", "blank OR lang_pred = 'und' OR far AS rejected")
 
 

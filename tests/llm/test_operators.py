@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import regex
@@ -277,6 +278,28 @@ def test_language_costs_are_those_of_plain_dictionaries(spark):
         assert abs(r.bits - min(costs.values())) < 1e-6
 
 
+def test_language_counts_are_never_shared_by_colliding_grams(spark):
+    key, other = 5 + (7 << langid.BITS), 5 + (7 << langid.BITS) + 1_048_573
+    counts = spark.createDataFrame([("en", key, 9), ("en", other, 1)], "lang string, gram long, n long")
+    numbers = langid.fit(counts)._numbers["en"][langid.ORDER]
+    assert [v.tolist() for v in langid._look_up(numbers, np.array([key, other, key + 2 * 1_048_573]))] == [[9, 1, 0]]
+
+
+def test_language_scores_by_joins_are_those_of_arrays(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang").limit(60).unionByName(
+        odd_documents(spark).select("doc_id", "text", "lang"))
+    tables = langid.Tables(langid.count_grams(docs.where("doc_id % 2 = 0")))
+
+    def rounded(found):
+        return sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in found.collect()), key=repr)
+
+    want = rounded(langid.score(docs, langid.gathered(tables)))
+    got = rounded(langid.score_joined(docs, tables))
+    assert len({r[1] for r in got}) > 2 and len(got) == len(want)
+    for a, b in zip(got, want, strict=True):
+        assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], abs=1e-5)
+
+
 def test_language_of_odd_documents(spark):
     docs = odd_documents(spark)
     got = langid.identify(docs, F.lit(True)).collect()
