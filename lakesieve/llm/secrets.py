@@ -2,7 +2,7 @@
 
 Credentials that fixed patterns find are the labelled examples. For each kind their prefix tree is
 folded into a probabilistic automaton by merging states that are statistically alike. Every other
-token is scored: how much likelier is it under a kind's format than as plain digits or letters?
+token of 6 characters or more is scored: how much likelier is it under a kind's format than as plain digits or letters?
 """
 
 from __future__ import annotations
@@ -30,8 +30,11 @@ PATTERNS = {
 }
 #: What every match of a pattern holds; other texts needn't be searched.
 HINTS = {"assign": re.compile(r"[:=]"), "access": re.compile("AKIA"), "hex": re.compile(r"[0-9a-f]{24}")}
-#: Tokens that are scored, and what is no part of one at its ends.
-CANDIDATE, TRIM = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}"), "./_=-"
+#: Tokens that are scored, from the least length of a credential on, and what is no part of one at its ends.
+LEAST_LENGTH = min(least for _, _, least in PATTERNS.values())
+CANDIDATE, TRIM = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{%d,}" % LEAST_LENGTH), "./_=-"
+#: Tokens whose kind a worker remembers, as words repeat; those up to so many characters.
+REMEMBERED, SHORT = 1 << 16, 64
 #: Examples per kind that an automaton is learnt from: a classifier's bounded sample, the distinct
 #: credentials whose hash is smallest.
 EXAMPLES = 2_000
@@ -174,19 +177,40 @@ def _formats(models: tuple[tuple[str, str], ...]) -> list[tuple[str, Automaton,
             for kind, (ends, edges, least) in ((k, json.loads(m)) for k, m in models)]
 
 
+class _Kinds(dict):
+    """Token -> the kind whose format explains it best, or none."""
+
+    def __init__(self, formats: list[tuple[str, Automaton, float]]) -> None:
+        super().__init__()
+        self._formats = formats
+
+    def __missing__(self, token: str) -> str:
+        best = max(((made.gain(token) - least, kind) for kind, made, least in self._formats), default=(-1.0, ""))
+        found = best[1] if best[0] >= 0 else ""
+        if len(token) <= SHORT:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[token] = found
+        return found
+
+
+@lru_cache(maxsize=8)
+def _kinds(models: tuple[tuple[str, str], ...]) -> _Kinds:
+    return _Kinds(_formats(models))
+
+
 def added_spans(text: str, base: list[tuple[int, str, int, str]], models: tuple[tuple[str, str], ...]) -> list[tuple[int, str, int]]:
-    """Tokens outside all base spans that some format explains well, as like_<kind>."""
+    """Tokens that some format explains well, as like_<kind>; none that lies within a base span."""
     added = []
+    kinds = _kinds(models)
     for m in CANDIDATE.finditer(text):
         token = m[0].strip(TRIM)
+        if len(token) < LEAST_LENGTH or not (kind := kinds[token]):
+            continue
         start = m.start() + len(m[0]) - len(m[0].lstrip(TRIM))
         end = start + len(token)
-        if not token or any(s < end and start < e for s, _, e, _ in base):
-            continue
-        gains = [(made.gain(token) - least, kind) for kind, made, least in _formats(models)]
-        best = max(gains, default=(-1.0, ""))
-        if best[0] >= 0:
-            added.append((start, f"like_{best[1]}", end))
+        if not any(s <= start and end <= e for s, _, e, _ in base):
+            added.append((start, f"like_{kind}", end))
     return added
 
 

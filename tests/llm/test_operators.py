@@ -1,6 +1,7 @@
 """Operators on small tables with everything that may be odd, against brute force."""
 
 import hashlib
+import json
 import random
 from collections import Counter, defaultdict
 
@@ -342,6 +343,21 @@ def test_inferred_format_knows_new_members():
     assert made.gain("QKIAQWERTZ7UIOPASDF2") < 0 and made.gain("notasecretatallreally") < 0
 
 
+def test_short_tokens_and_tokens_around_base_spans_are_scored():
+    rng = random.Random(4)
+    short = ["k%04dZ" % rng.randrange(10_000) for _ in range(300)]
+    long = ["zq-" + "".join(rng.choices("0123456789abcdef", k=24)) for _ in range(300)]
+    models = []
+    for kind, tokens in (("assign", short), ("hex", long)):
+        made = secrets.infer(sorted(set(tokens)))
+        models.append((kind, json.dumps([made.ends, made.edges, 0.5 * min(made.gain(t) for t in tokens)])))
+    text = f"seen {short[0]} and {long[0]} and letter"
+    base = secrets.base_spans(text)
+    found = [(text[s:e], kind) for s, kind, e in secrets.added_spans(text, base, tuple(models))]
+    assert [text[s:e] for s, _, e, _ in base] == [long[0][3:]]
+    assert found == [(short[0], "like_assign"), (long[0], "like_hex")]
+
+
 def test_secrets_of_odd_documents(spark):
     hexes = [f"token={sha(str(i))[:30]}" for i in range(60)]
     docs = odd_documents(spark).select("doc_id", "text").unionByName(spark.createDataFrame(
