@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from urllib.parse import unquote
 
@@ -31,13 +34,58 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder, removed by the JVM when the session ends."""
+    """A fresh path under the shared folder, removed with the scratch space it was made in, or else
+    by the JVM when the session ends."""
     path = f"{scratch_root(spark)}/lakesieve-{label}-{uuid.uuid4().hex}"
     jpath, fs = _handle(spark, path)
     fs.deleteOnExit(jpath)
+    if _open_spaces():
+        _open_spaces()[-1].paths.append(path)
     return path
 
 
+class ScratchSpace:
+    """Paths that go together, and a way for a result to outlive them."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        """``df`` stored outside this space, so that it is still there when the space has gone."""
+        kept = staged(df, label)
+        path = self.paths.pop()
+        if len(_open_spaces()) > 1:
+            _open_spaces()[-2].paths.append(path)
+        return kept
+
+
+_LOCAL = threading.local()
+
+
+def _open_spaces() -> list[ScratchSpace]:
+    """The scratch spaces this thread is in, innermost last."""
+    if not hasattr(_LOCAL, "spaces"):
+        _LOCAL.spaces = []
+    return _LOCAL.spaces
+
+
+@contextmanager
+def scratch_space(spark: SparkSession) -> Iterator[ScratchSpace]:
+    """What is staged inside is deleted at the end, but for what :meth:`ScratchSpace.keep` stored.
+
+    A DataFrame that reads a staged table is of no use after that, unless its result was kept.
+    """
+    space = ScratchSpace(spark)
+    _open_spaces().append(space)
+    try:
+        yield space
+    finally:
+        _open_spaces().pop()
+        for path in space.paths:
+            jpath, fs = _handle(spark, path)
+            fs.delete(jpath, True)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` computed once and kept as a table in the shared folder.
 
