@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,9 +52,39 @@ def slot_filter(df: DataFrame, hashed: Column, keys: DataFrame, key: str) -> Dat
     )
 
 
+#: Bits of a row's number that hold its place in its file; the file's own number is above them.
+PLACE_BITS = 40
+
+
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` and ``row``, a number of its own for each row. It is written once, so it never changes."""
-    return staged(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    """``docs`` and ``row``, a number of its own for each row that is the same in every scan.
+
+    Rows of Parquet files are numbered by their file and their place in it, so nothing is copied;
+    the files' names and numbers are broadcast, a line for each file that the driver has listed
+    already. Rows that come from anything else are written once with a number.
+    """
+    if not _is_parquet_scan(docs):
+        return staged(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    paths = sorted(r[0] for r in docs.select(F.col("_metadata.file_path").alias("path")).distinct().collect())
+    files = docs.sparkSession.createDataFrame(list(enumerate(paths)), "__file long, __path string")
+    return (
+        docs.select("*", F.col("_metadata.file_path").alias("__of"), F.col("_metadata.row_index").alias("__place"))
+        .join(F.broadcast(files), F.col("__of") == F.col("__path"))
+        .select(*map(named, docs.columns), F.expr(f"shiftleft(__file, {PLACE_BITS}) | __place").alias("row"))
+    )
+
+
+def _is_parquet_scan(docs: DataFrame) -> bool:
+    """Whether the rows are those of Parquet files, columns and filters aside."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    if plan.nodeName() != "LogicalRelation":
+        return False
+    try:
+        return bool(docs.select("_metadata.file_path", "_metadata.row_index").columns)
+    except AnalysisException:
+        return False
 
 
 def drop_ids(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -71,6 +102,13 @@ def drop_ids(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame
     return stay.unionByName(doubtful)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that few texts at a time become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def map_texts(rows: DataFrame, columns: str, fn: Callable[[list[str]], list[list]]) -> DataFrame:
     """(doc_id, text) -> doc_id and ``columns``; ``fn`` gets the texts of an Arrow batch.
 
@@ -81,7 +119,7 @@ def map_texts(rows: DataFrame, columns: str, fn: Callable[[list[str]], list[list
     types = [_arrow_type(f.dataType) for f in added.fields]
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = fn(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(v, t) for v, t in zip(found, types, strict=True))],
@@ -97,4 +135,4 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
             T.BooleanType: pa.bool_(), T.StringType: pa.string(), T.BinaryType: pa.binary()}[type(kind)]
 
 
-__all__ = ["ascii_lower", "drop_ids", "id_and_text", "map_texts", "named", "numbered", "slot_filter", "staged"]
+__all__ = ["ascii_lower", "drop_ids", "id_and_text", "map_texts", "named", "numbered", "slices", "slot_filter", "staged"]

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_and_text, slot_filter, staged
+from .common import id_and_text, slices, slot_filter, staged
 from .components import components
 
 #: Words of a shingle; sets are linked from this similarity on, in percent.
@@ -70,7 +70,7 @@ def signature(found: np.ndarray) -> np.ndarray:
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         sizes, keys, signs = [], [], []
         for text in batch["text"].to_pylist():
             found = shingles(text)
@@ -165,7 +165,7 @@ def _recent(text: str) -> np.ndarray:
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose full sets are similar enough."""
-    for batch in batches:
+    for batch in slices(batches):
         keep = []
         for left, right in zip(batch["text_a"].to_pylist(), batch["text_b"].to_pylist(), strict=True):
             x, y = _recent(left), _recent(right)
