@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lakesieve.llm import bpe, decontam, dedup, langid, near_dup
 from lakesieve.llm.common import drop_ids, named, numbered
-from lakesieve.storage import staged
+from lakesieve.storage import scratch_space, staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -29,35 +29,43 @@ def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; those without a letter or far from every model go."""
     rows = _rows(docs)
-    found = langid.identify(rows, ~langid.held_out(), "row")
-    return _without(rows, found.where("rejected").selectExpr("doc_id AS row"))
+    with scratch_space(spark) as space:
+        found = langid.identify(rows, ~langid.held_out(), "row")
+        gone = space.keep(found.where("rejected").selectExpr("doc_id AS row"), "rejected")
+    return _without(rows, gone)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z in lower case) one row stays, with the largest doc_id (null: if all are)."""
     rows = _rows(docs)
-    found = dedup.exact_dedup(rows.select(F.struct("doc_id", "row").alias("doc_id"), "text"))
-    return _without(rows, found.where("NOT kept").selectExpr("doc_id.row AS row"))
+    with scratch_space(spark) as space:
+        found = dedup.exact_dedup(rows.select(F.struct("doc_id", "row").alias("doc_id"), "text"))
+        gone = space.keep(found.where("NOT kept").selectExpr("doc_id.row AS row"), "copies")
+    return _without(rows, gone)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of rows that links of similarity 0.8 connect one stays, with the smallest doc_id (null: if all are)."""
     rows = _rows(docs)
-    found = near_dup.near_duplicates(rows, "row").selectExpr("doc_id AS row", "component_id AS component")
-    linked = staged(found.where("row <> component"), "near-linked")
-    members = linked.unionByName(linked.selectExpr("component AS row", "component").distinct())
-    keep = members.join(rows.select("row", "doc_id"), "row").groupBy("component").agg(
-        F.min(F.struct(F.isnull("doc_id"), "doc_id", "row")).alias("least"))
-    keep = staged(keep.selectExpr("least.row AS row"), "near-kept")
-    return _without(rows, members.select("row").join(keep, "row", "left_anti"))
+    with scratch_space(spark) as space:
+        found = near_dup.near_duplicates(rows, "row").selectExpr("doc_id AS row", "component_id AS component")
+        linked = staged(found.where("row <> component"), "near-linked")
+        members = linked.unionByName(linked.selectExpr("component AS row", "component").distinct())
+        keep = members.join(rows.select("row", "doc_id"), "row").groupBy("component").agg(
+            F.min(F.struct(F.isnull("doc_id"), "doc_id", "row")).alias("least"))
+        keep = staged(keep.selectExpr("least.row AS row"), "near-kept")
+        gone = space.keep(members.select("row").join(keep, "row", "left_anti"), "near-copies")
+    return _without(rows, gone)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which at least a twentieth of the words is in passages of the benchmark go."""
     rows = _rows(docs)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    judged = decontam.decontaminate(rows, benchmark, "row")
-    return _without(rows, judged.where("contaminated").selectExpr("doc_id AS row"))
+    with scratch_space(spark) as space:
+        judged = decontam.decontaminate(rows, benchmark, "row")
+        gone = space.keep(judged.where("contaminated").selectExpr("doc_id AS row"), "contaminated")
+    return _without(rows, gone)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -83,5 +91,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch_space(spark) as space:
+            docs = space.keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
