@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontam, dedup, langid, licenses, near_dup, secrets, toxicity, wordpiece
+from . import (
+    bpe, chat, decontam, dedup, embedding_dup, filter_audit, langid, licenses, near_dup, secrets, spelling, toxicity, wordpiece,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -19,6 +21,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": licenses.op8_license_scan,
     "op9_chat_format": chat.op9_chat_format,
     "op10_language_id": langid.op10_language_id,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_embedding_near_dup": embedding_dup.op12_embedding_near_dup,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
@@ -27,4 +32,5 @@ ORACLES: dict[str, str] = {
     "op7_decontamination": decontam.ORACLE,
     "op8_license_scan": licenses.ORACLE,
     "op9_chat_format": chat.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }

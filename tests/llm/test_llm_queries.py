@@ -30,7 +30,7 @@ def test_same_answer_as_sql(spark, small, key):
 
 def test_one_query_per_operator_is_registered():
     found = contract.queries()
-    assert [sum(k.startswith(f"op{n}_") for k in found) for n in range(1, 11)] == [1] * 10
+    assert [sum(k.startswith(f"op{n}_") for k in found) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in found
 
 
