@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,6 +110,33 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+#: Arrow batches that carry texts hold so many rows and bytes at most, so that a worker and the buffers
+#: that feed it stay small whatever the length of the texts.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session's settings with ``values``, which go back to what they were at the end."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def staged_texts(df: DataFrame, label: str) -> DataFrame:
+    """``staged`` for rows that Python functions make of texts."""
+    with settings(df.sparkSession, BATCHES):
+        return staged(df, label)
+
+
 def map_texts(rows: DataFrame, columns: str, fn: Callable[[list[str]], list[list]]) -> DataFrame:
     """(doc_id, text) -> doc_id and ``columns``; ``fn`` gets the texts of an Arrow batch.
 
@@ -135,4 +163,5 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
             T.BooleanType: pa.bool_(), T.StringType: pa.string(), T.BinaryType: pa.binary()}[type(kind)]
 
 
-__all__ = ["ascii_lower", "drop_ids", "id_and_text", "map_texts", "named", "numbered", "slices", "slot_filter", "staged"]
+__all__ = ["ascii_lower", "drop_ids", "id_and_text", "map_texts", "named", "numbered", "settings", "slices", "slot_filter", "staged",
+           "staged_texts"]

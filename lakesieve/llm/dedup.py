@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lakesieve.storage import scratch_path
 
-from .common import ascii_lower, id_and_text, slot_filter, staged
+from .common import ascii_lower, id_and_text, settings, slot_filter, staged
 
 #: State on disk; files grow as they are written, as many partitions may hold little each, and all
 #: stores of an executor share one bound of memory.
@@ -50,22 +50,13 @@ def remember(arriving: DataFrame, state_dir: str) -> DataFrame:
     """
     spark = arriving.sparkSession
     kept = arriving.groupBy("digest").agg(F.max(F.struct("doc_id", "locator")), F.count("*"))
-    before = {key: spark.conf.get(key, None) for key in STATE_STORE}
-    for key, value in STATE_STORE.items():
-        spark.conf.set(key, value)
-    try:
+    with settings(spark, STATE_STORE):
         stream = (
             kept.writeStream.outputMode("update").format("noop").trigger(availableNow=True)
             .option("checkpointLocation", state_dir).start()
         )
         stream.awaitTermination()
         state = spark.read.format("statestore").load(state_dir)
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
     return state.selectExpr(
         "key.digest", "value.max.doc_id AS keep_id", "value.max.locator AS keep_locator", "value.count AS group_size")
 

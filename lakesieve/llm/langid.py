@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_and_text, map_texts, named, numbered, staged
+from .common import id_and_text, map_texts, named, numbered, staged, staged_texts
 
 #: Characters of an n-gram, and bits of each. Letters are numbered modulo 4095, 0 is any gap.
 ORDER, BITS = 4, 12
@@ -246,7 +246,7 @@ def score_joined(docs: DataFrame, tables: Tables) -> DataFrame:
     the tables, which is joined back and summed by row.
     """
     rows = numbered(id_and_text(docs))
-    said = staged(rows.select(F.col("row").alias("doc_id"), "text").mapInArrow(_said, "row long, gram long, n long"),
+    said = staged_texts(rows.select(F.col("row").alias("doc_id"), "text").mapInArrow(_said, "row long, gram long, n long"),
                   "said-grams")
     costs = staged(_joined_costs(said.select("gram").distinct(), tables), "gram-costs")
     at = range(len(tables.languages))
@@ -338,10 +338,10 @@ def identify(docs: DataFrame, training: Column, id_col: str = "doc_id") -> DataF
     """
     training = F.coalesce(training, F.lit(False)) & named("lang").isNotNull()
     learnt = docs.where(training)
-    tables = Tables(staged(count_grams(learnt), "char-counts"))
+    tables = Tables(staged_texts(count_grams(learnt), "char-counts"))
     rows = docs.select(named("text").alias("text"), F.struct(named(id_col).alias("id"), training.alias("trained")).alias("doc_id"))
     found = score(rows, gathered(tables)) if tables.size <= GATHERED else score_joined(rows, tables)
-    scored = staged(found, "language-scores").selectExpr(
+    scored = staged_texts(found, "language-scores").selectExpr(
         "doc_id.id AS doc_id", "doc_id.trained", "lang_pred", "score", "bits", "spread", "n")
     usual = scored.where("trained AND n > 0").groupBy("lang_pred").agg(
         F.avg("bits").alias("mean"), F.coalesce(F.variance("bits"), F.lit(0.0)).alias("between"), F.avg("spread").alias("within"))
