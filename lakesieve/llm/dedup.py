@@ -16,14 +16,17 @@ from lakesieve.storage import scratch_path
 
 from .common import ascii_lower, id_and_text, settings, slot_filter, staged
 
-#: State on disk; files grow as they are written, as many partitions may hold little each, and all
-#: stores of an executor share one bound of memory.
+#: State on disk; files grow as they are written, as many partitions may hold little each. All stores
+#: of an executor share one bound of memory, their buffers start small, and stores of a stream that
+#: has ended are closed soon.
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "10s",
 }
 
 
