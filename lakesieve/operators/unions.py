@@ -13,6 +13,8 @@ from ..contracts import SHEET_REJECT
 from ..functions.naming import named
 from ..functions.text import kebab_name, label_category
 from .columns import dates_to_string, standardize_columns, with_constants
+from .merging import converted, merged_type
+
 
 def prepare_sheet(
     df: DataFrame, mapping: Mapping[str, str] | None = None, constants: Mapping[str, Any] | None = None
@@ -21,40 +23,15 @@ def prepare_sheet(
     return with_constants(dates_to_string(standardize_columns(df, mapping)), constants or {})
 
 
-def _common_type(types: list[T.DataType]) -> T.DataType | None:
-    """The type one column takes over all sheets, or None where they agree already."""
-    known = [t for t in types if not isinstance(t, T.NullType)]
-    if all(t == types[0] for t in types):
-        return None
-    if not known or all(t == known[0] for t in known):
-        return known[0] if known else None
-    if all(isinstance(t, T.IntegralType) for t in known):
-        return T.LongType()
-    if all(isinstance(t, T.NumericType) for t in known):
-        if any(isinstance(t, (T.FloatType, T.DoubleType)) for t in known):
-            # A double holds 15 digits for sure; a bigint or decimal may have more.
-            exact = any(isinstance(t, (T.LongType, T.DecimalType)) for t in known)
-            return T.StringType() if exact else T.DoubleType()
-        scale = max(t.scale for t in known if isinstance(t, T.DecimalType))
-        return T.DecimalType(38, scale)
-    if all(isinstance(t, (T.DateType, T.TimestampNTZType)) for t in known):
-        return T.TimestampNTZType()
-    if all(isinstance(t, (T.DateType, T.TimestampType)) for t in known):
-        return T.TimestampType()
-    return T.StringType()
-
-
 def _harmonized(sheets: list[DataFrame]) -> list[DataFrame]:
     by_column: dict[str, list[T.DataType]] = {}
     for df in sheets:
         for f in df.schema.fields:
             by_column.setdefault(f.name.lower(), []).append(f.dataType)
-    common = {c: t for c, types in by_column.items() if (t := _common_type(types)) is not None}
+    common = {c: merged_type(types) for c, types in by_column.items()}
     return [
         df.select(*[
-            named(f.name).cast(common[f.name.lower()]).alias(f.name)
-            if f.name.lower() in common else named(f.name)
-            for f in df.schema.fields
+            converted(named(f.name), f.dataType, common[f.name.lower()]).alias(f.name) for f in df.schema.fields
         ])
         for df in sheets
     ]
@@ -67,8 +44,8 @@ def union_sheets(
 
     The first sheet fixes the columns and their order. A sheet with other columns is left out and
     listed with the reason, unless ``allow_missing`` fills the gaps with nulls. A column typed
-    differently from sheet to sheet takes the wider number, or else text, also where a bigint or
-    decimal meets a fraction and could lose digits.
+    differently from sheet to sheet takes the type of :func:`merged_type`, inside structs, arrays and
+    maps too.
     """
     if not sheets:
         raise ValueError("no sheets to union")
@@ -80,14 +57,15 @@ def union_sheets(
         if columns == first or allow_missing:
             accepted.append(sheets[name])
         else:
-            rejected.append((name, _difference(first, columns)))
+            rejected.append((name, column_difference(first, columns)))
     united = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), _harmonized(accepted))
     spark = united.sparkSession
     return united, spark.createDataFrame(rejected, SHEET_REJECT)
 
 
-def _difference(expected: set[str], found: set[str]) -> str:
+def column_difference(expected: set[str], found: set[str]) -> str:
+    """What ``found`` lacks and what it has besides, in words."""
     parts = []
     if expected - found:
         parts.append("missing " + ", ".join(sorted(expected - found)))

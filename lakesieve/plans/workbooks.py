@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import CHECKPOINT, SHEET_REJECT
-from ..functions.text import checkpoint_code, fiscal_year, snake_name, split_label, stored_code
+from ..functions.text import checkpoint_code, fiscal_year, kebab_name, snake_name, split_label, stored_code
 from ..operators.columns import cast_if_present
-from ..operators.unions import each_sheet, prepare_sheet, union_by_category, union_sheets
-from ..sinks.files import read_results, replace_table, silver_path
-from ..sinks.upsert import upsert
+from ..operators.layouts import OUTPUT_TAG, SHEET_TAG, OutputSet, SheetLayout, layouts_of, prepare_layout, united_outputs
+from ..operators.unions import sheet_categories
+from ..sinks.files import replace_each, silver_path
+from ..sinks.upsert import ChangeLog, upsert
 from ..sources.files import read_table
 from .copying import Schema
 
@@ -25,6 +26,13 @@ log = logging.getLogger(__name__)
 # The group names of checkpoints.
 STAGES = ("Ingestion", "Transformation", "Loading")
 MODES = ("all", "labelled", "category", "each")
+CHECKPOINT_KEYS = ("group_name", "code")
+CHECKPOINT_UPDATES = ("data_upto_ts", "updated_at", "updated_by")
+
+#: The one output of a mode that unions all sheets.
+ALL = "__all__"
+#: What counts against an output; anything else stops the job.
+DATA_ERRORS = (PySparkException, Py4JJavaError, OSError)
 
 # Workbook headers whose new name is not their snake case.
 WORKBOOK_HEADERS = {
@@ -60,42 +68,76 @@ WORKBOOK_HEADERS = {
 }
 
 
-def _prepared(
-    sheets: Mapping[str, DataFrame], mode: str, mapping
-) -> tuple[dict[str, DataFrame], list[tuple[str, str]]]:
-    """The sheets that can be prepared, and (sheet, reason) of the others."""
-    ready, rejected = {}, []
-    for name, df in sheets.items():
+def _prepared(layouts: Sequence[SheetLayout], mode: str, mapping) -> tuple[list[SheetLayout], list[tuple[str, str]]]:
+    """The layouts that can be prepared, and (sheet, reason) of the sheets of the others."""
+    ready, rejected = [], []
+    for layout in layouts:
         try:
-            rows = prepare_sheet(df, mapping)
+            layout = prepare_layout(layout, mapping)
         except (ValueError, PySparkException) as error:
-            rejected.append((name, str(error)))
+            rejected += [(name, str(error)) for name in layout.sheets]
             continue
+        rows, sheet = layout.rows, F.col(SHEET_TAG)
         if mode == "labelled":
-            code, year = split_label(F.lit(name))
+            code, year = split_label(sheet)
             rows = cast_if_present(rows.withColumns({"museum_code": code, "fiscal_year": year}), "event_date")
         elif mode == "all":
-            rows = rows.withColumn("fiscal_year", F.lit(name))
+            rows = rows.withColumn("fiscal_year", sheet)
         elif mode == "category":
-            rows = rows.withColumn("fiscal_year", fiscal_year(F.lit(name)))
-        ready[name] = rows
+            rows = rows.withColumn("fiscal_year", fiscal_year(sheet))
+        ready.append(SheetLayout(layout.sheets, rows))
     return ready, rejected
 
 
-def _outputs(
-    sheets: Mapping[str, DataFrame], mode: str, mapping
-) -> tuple[dict[str | None, DataFrame], list[tuple[str, str]]]:
-    ready, rejected = _prepared(sheets, mode, mapping)
-    if not ready:
-        return {}, rejected
-    if mode == "each":
-        return dict(each_sheet(ready)), rejected
+def _output_names(spark: SparkSession, sheets: Sequence[str], mode: str) -> tuple[dict[str, str], list[tuple[str, str]]]:
+    """Sheet -> output (ALL for the only one), and the sheets whose output another one has already."""
     if mode == "category":
-        outputs, others = union_by_category(ready)
-    else:
-        united, others = union_sheets(ready)
-        outputs = {None: united}
-    return outputs, rejected + [tuple(r) for r in others.collect()]
+        return {s: c for c, names in sheet_categories(spark, list(sheets)).items() for s in names}, []
+    if mode != "each":
+        return dict.fromkeys(sheets, ALL), []
+    names, rejected, taken = {}, [], set()
+    for sheet in sheets:
+        output = kebab_name(sheet)
+        if output in taken:
+            rejected.append((sheet, f"two sheets would be written as {output!r}"))
+        else:
+            taken.add(output)
+            names[sheet] = output
+    return names, rejected
+
+
+def _outputs(
+    spark: SparkSession, sheets: Sequence[str], layouts: Sequence[SheetLayout], mode: str, mapping
+) -> tuple[list[OutputSet], list[tuple[str, str]]]:
+    ready, rejected = _prepared(layouts, mode, mapping)
+    usable = {s for layout in ready for s in layout.sheets}
+    names, clashes = _output_names(spark, [s for s in sheets if s in usable], mode)
+    outputs, others = united_outputs(ready, names) if names else ([], [])
+    return outputs, rejected + clashes + others
+
+
+def _written(
+    outputs: OutputSet, paths: Mapping[str, str]
+) -> tuple[dict[str, int], list[tuple[str, str]]]:
+    """Rows per output that was written, and (output, reason) of the others.
+
+    All outputs are one write. Only if that fails they are written one by one, so that the one whose
+    rows break it holds up no other.
+    """
+    try:
+        return replace_each(outputs.rows, OUTPUT_TAG, paths), []
+    except DATA_ERRORS as error:
+        if len(paths) == 1:
+            log.exception("writing %s failed", *paths)
+            return {}, [(name, str(error)) for name in paths]
+    counts, failed = {}, []
+    for name, path in paths.items():
+        try:
+            counts |= replace_each(outputs.rows, OUTPUT_TAG, {name: path})
+        except DATA_ERRORS as error:
+            log.exception("writing %s failed", name)
+            failed.append((name, str(error)))
+    return counts, failed
 
 
 def checkpoint_changes(
@@ -115,17 +157,22 @@ def checkpoint_changes(
     )
 
 
+def checkpoint_log(spark: SparkSession, path: str) -> ChangeLog:
+    """The checkpoints stored at ``path`` as appended changes."""
+    return ChangeLog(spark, path, CHECKPOINT, CHECKPOINT_KEYS, CHECKPOINT_UPDATES)
+
+
 def read_checkpoints(spark: SparkSession, path: str) -> DataFrame:
     """The stored checkpoints; none before the first run."""
-    return read_results(spark, path, CHECKPOINT)
+    return checkpoint_log(spark, path).read()
 
 
 def update_checkpoints(checkpoints: DataFrame, changes: DataFrame) -> DataFrame:
-    return upsert(checkpoints, changes, ["group_name", "code"], ["data_upto_ts", "updated_at", "updated_by"])
+    return upsert(checkpoints, changes, CHECKPOINT_KEYS, CHECKPOINT_UPDATES)
 
 
 def sheets_job(
-    sheets: Mapping[str, DataFrame],
+    sheets: Mapping[str, DataFrame] | Sequence[SheetLayout],
     source: str,
     file_name: str,
     base: str,
@@ -145,39 +192,54 @@ def sheets_job(
     sheets). ``source`` names the system the workbook comes from, in table names and checkpoint
     codes. The warehouse loads what silver stored, so a sheet is computed once.
 
-    A sheet that cannot be prepared, or an output that cannot be written, is rejected with the
-    reason, and the job goes on. With ``checkpoint_path`` the checkpoints are stored there after
-    each stage, so a later failure forgets none; otherwise ``checkpoints`` is moved and returned.
+    ``sheets`` are DataFrames by name, or layouts as :func:`read_layouts` gives them, which are
+    scanned once each. Outputs with the same columns are one partitioned write, in which their rows
+    are counted.
+
+    A sheet that cannot be prepared, has other columns than its output, or would be written over
+    another one's output is rejected with the reason, and so is an output that cannot be written; the
+    job goes on. With ``checkpoint_path`` each stage appends its checkpoints there, so a later
+    failure forgets none, and the log is compacted at the end; otherwise ``checkpoints`` is moved
+    and returned.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}, not {mode!r}")
-    spark = next(iter(sheets.values())).sparkSession
-    outputs, rejected = _outputs(sheets, mode, WORKBOOK_HEADERS if mapping is None else mapping)
+    layouts = layouts_of(sheets) if isinstance(sheets, Mapping) else list(sheets)
+    names = list(sheets) if isinstance(sheets, Mapping) else [s for layout in layouts for s in layout.sheets]
+    spark = layouts[0].rows.sparkSession
+    sets, rejected = _outputs(spark, names, layouts, mode, WORKBOOK_HEADERS if mapping is None else mapping)
     lines, steps = [], []
-
-    def finished(stage: str, category: str | None) -> None:
-        steps.append((stage, file_name, category))
-        if checkpoint_path is not None:
-            change = checkpoint_changes(spark, steps[-1:], source, as_of, user)
-            replace_table(update_checkpoints(read_checkpoints(spark, checkpoint_path), change), checkpoint_path)
-
-    for category, df in outputs.items():
-        path = silver_path(base, file_name, category)
-        try:
-            replace_table(df, path)
-            finished(STAGES[1], category)
-            stored = read_table(spark, path)
-            if warehouse is not None:
-                name = f"{file_name}_{category}" if category else file_name
-                warehouse.replace(stored, f"{source}_{snake_name(name)}")
-                finished(STAGES[2], category)
-            lines.append(Row(category=category or "", path=path, row_count=stored.count()))
-        except (PySparkException, Py4JJavaError, OSError) as error:
-            log.exception("writing %s of %s failed", category, file_name)
-            rejected.append((category or file_name, str(error)))
+    stored_log = checkpoint_log(spark, checkpoint_path) if checkpoint_path is not None else None
+
+    def finished(stage: str, outputs: Iterable[str]) -> None:
+        done = [(stage, file_name, None if output == ALL else output) for output in outputs]
+        steps.extend(done)
+        if stored_log is not None and done:
+            stored_log.append(checkpoint_changes(spark, done, source, as_of, user))
+
+    def load(output: str, path: str) -> None:
+        name = file_name if output == ALL else f"{file_name}_{output}"
+        warehouse.replace(read_table(spark, path), f"{source}_{snake_name(name)}")
+        finished(STAGES[2], [output])
+
+    for outputs in sets:
+        paths = {o: silver_path(base, file_name, None if o == ALL else o) for o in outputs.outputs}
+        counts, failed = _written(outputs, paths)
+        finished(STAGES[1], counts)
+        for output, rows in counts.items():
+            try:
+                if warehouse is not None:
+                    load(output, paths[output])
+                lines.append(Row(category="" if output == ALL else output, path=paths[output], row_count=rows))
+            except DATA_ERRORS as error:
+                log.exception("loading %s of %s failed", output, file_name)
+                failed.append((output, str(error)))
+        rejected += [(file_name if output == ALL else output, reason) for output, reason in failed]
     written = spark.createDataFrame(lines, "category string, path string, row_count long")
-    if checkpoint_path is not None:
-        moved = read_checkpoints(spark, checkpoint_path)
+    if stored_log is not None:
+        if steps:
+            stored_log.compact()
+        moved = stored_log.read()
     else:
         known = checkpoints if checkpoints is not None else spark.createDataFrame([], CHECKPOINT)
         moved = update_checkpoints(known, checkpoint_changes(spark, steps, source, as_of, user))

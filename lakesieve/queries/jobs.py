@@ -10,7 +10,7 @@ from ..functions import checkpoint_code
 from ..operators import delta_totals
 from ..plans import LakeSchema, append_schema, land_and_clean, load_job, quality_job, rules_job, sheets_job
 from ..sinks import write_table
-from ..sources import LayerSource, read_table
+from ..sources import LayerSource, read_layouts, read_table
 from ..storage import scratch_path
 from .copies import missing
 from .gates import EVENT_RULES, rule_sql
@@ -19,7 +19,7 @@ from .registry import query, table
 from .sheet_sets import CATEGORY
 from .views import (
     CUSTOMER, EVENTS, ORDERS, SHEET_LABEL, V2, V4_SOURCE, V4_TARGET, V8, bronze_folder,
-    sql, view, workbook,
+    sheet_folder, sql, view, workbook,
 )
 
 _S, _T = sql(V4_SOURCE), sql(V4_TARGET)
@@ -92,7 +92,7 @@ def membership_sheets(spark, sf_dir):
     base = scratch_path(spark, "workbook")
     warehouse = LakeSchema(spark, f"{base}/warehouse")
     written, checkpoints, _ = sheets_job(
-        workbook(spark, sf_dir), "lake", "final-membership", f"{base}/silver",
+        read_layouts(spark, sheet_folder(spark, sf_dir)), "lake", "final-membership", f"{base}/silver",
         as_of=_AS_OF, user="tester", mode="category", warehouse=warehouse)
     steps = written.withColumn("part", checkpoint_code(F.lit("lake"), F.lit("final-membership"), "category"))
     return (checkpoints.withColumn("part", F.expr("substr(code, length(group_name) + 2)")).join(steps, "part")
@@ -106,7 +106,7 @@ def membership_sheets(spark, sf_dir):
 def warehouse_rows(spark, sf_dir):
     base = scratch_path(spark, "workbook")
     warehouse = LakeSchema(spark, f"{base}/warehouse")
-    written, _, _ = sheets_job(workbook(spark, sf_dir), "lake", "final-membership", f"{base}/silver",
+    written, _, _ = sheets_job(read_layouts(spark, sheet_folder(spark, sf_dir)), "lake", "final-membership", f"{base}/silver",
                                as_of=_AS_OF, user="tester", mode="category", warehouse=warehouse)
     return _all_outputs(warehouse, written)
 

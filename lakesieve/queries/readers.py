@@ -6,15 +6,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import ordered_list
+from ..operators import SHEET_TAG, ordered_list
 from ..sinks import land
 from ..sources import (
-    LayerSource, latest_partition, latest_partition_dir, read_catalog, read_landing, read_layer,
-    read_partition, read_sheets, read_table, resolve_partition_dir,
+    LayerSource, latest_partition, latest_partition_dir, read_catalog, read_landing, read_layer, read_layouts,
+    read_partition, read_sheet_dir, read_sheets, read_table, resolve_partition_dir,
 )
 from ..storage import scratch_path
 from .registry import query, table
-from .views import EVENTS, SHEET_LABEL, V8, bronze_folder, sheet_folder, sql, view
+from .views import EVENTS, SHEET_LABEL, SHEET_SCHEMA, V8, bronze_folder, sheet_files, sheet_folder, sql, view
 
 DAY = "2024-01-15"
 ABSENT_DAY = "1999-01-01"
@@ -111,11 +111,33 @@ def sheet_set_scan(spark, sf_dir):
         F.count("*").alias("row_count"), F.sum(F.col("`Qty.`").cast("long")).alias("quantity"))
 
 
-@query("S11_sheet_with_own_column", "SELECT n_name AS Sheet, n_nationkey, 'Nations FY20' AS read_from FROM nation")
+def _sheet_totals(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("sheet").agg(
+        F.count("*").alias("row_count"), F.sum(F.col("`Qty.`").cast("long")).alias("quantity"))
+
+
+_SHEET_TOTALS = (f"SELECT {SHEET_LABEL} AS sheet, count(*) AS row_count, "
+                 "CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity FROM lineitem GROUP BY ALL")
+
+
+@query("S11_layout_scan", _SHEET_TOTALS)
+def layout_scan(spark, sf_dir):
+    """One scan for each layout instead of one for each sheet."""
+    layouts = read_layouts(spark, sheet_folder(spark, sf_dir))
+    rows = reduce(DataFrame.unionByName, (x.rows.withColumnRenamed(SHEET_TAG, "sheet") for x in layouts))
+    return _sheet_totals(rows)
+
+
+@query("S11_sheet_dir_scan", _SHEET_TOTALS)
+def sheet_dir_scan(spark, sf_dir):
+    return _sheet_totals(read_sheet_dir(spark, sheet_files(spark, sf_dir), SHEET_SCHEMA))
+
+
+@query("S11_sheet_with_own_column", "SELECT c_name AS Sheet, c_custkey, c_acctbal, 'Customers FY20' AS read_from FROM customer")
 def sheet_with_own_column(spark, sf_dir):
     path = scratch_path(spark, "sheet")
-    table(spark, sf_dir, "nation").select(F.col("n_name").alias("Sheet"), "n_nationkey").write.parquet(path)
-    return read_sheets(spark, {"Nations FY20": path}, name_column="read_from")["Nations FY20"]
+    table(spark, sf_dir, "customer").select(F.col("c_name").alias("Sheet"), "c_custkey", "c_acctbal").write.parquet(path)
+    return read_sheets(spark, {"Customers FY20": path}, name_column="read_from")["Customers FY20"]
 
 
 @query("S12_ordered_list",

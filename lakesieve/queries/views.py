@@ -7,13 +7,13 @@ Names in braces are tables.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.sheets import read_sheets
-from ..storage import partition_dirs, scratch_path
+from ..storage import child_names, partition_dirs, scratch_path, swap_in
 from .registry import table
 
 LINEITEM = ("l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount "
@@ -62,6 +62,9 @@ SHEET_LABEL = (
 SHEET_COLUMNS = ["Order No", "Qty.", "Price (USD)", "Ship Date"]
 
 
+SHEET_SCHEMA = "`Order No` bigint, `Qty.` double, `Price (USD)` double, `Ship Date` timestamp_ntz"
+
+
 def _per_session(fn):
     """Derived datasets are written once per session and data folder, then shared."""
     @lru_cache(maxsize=None)
@@ -101,3 +104,16 @@ def sheet_folder(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     )
     rows.hint("rebalance", "sheet").write.partitionBy("sheet").parquet(root)
     return dict(sorted(partition_dirs(spark, root, "sheet").items()))
+
+
+@_per_session
+def sheet_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with one file per sheet, named as the sheet."""
+    root, parts = scratch_path(spark, "sheet-files"), scratch_path(spark, "sheet-parts")
+    rows = reduce(DataFrame.unionByName, [
+        df.withColumn("sheet", F.lit(name)) for name, df in workbook(spark, sf_dir).items()])
+    rows.repartition("sheet").write.partitionBy("sheet").parquet(parts)
+    for sheet, folder in partition_dirs(spark, parts, "sheet").items():
+        file, = (n for n in child_names(spark, folder) if n.endswith(".parquet"))
+        swap_in(spark, f"{folder}/{file}", f"{root}/{sheet}.parquet")
+    return root

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..contracts import RULE_RESULT
 from ..operators import Rule, evaluate_all
 from ..sinks import (
-    fit_partitions, land, read_results, replace_table, silver_path, upsert, write_results, write_table,
+    ChangeLog, fit_partitions, land, read_results, replace_table, silver_path, upsert, write_results, write_table,
 )
 from ..sources import read_landing, read_table
 from ..storage import scratch_path
@@ -67,7 +67,7 @@ def output_partitions(spark, sf_dir):
 _UPTO = "max(ts) AS data_upto_ts, count(*) AS row_count"
 
 
-@query("K9_upsert_checkpoint",
+_CHECKPOINTS = (
        f"WITH t AS (SELECT event_type AS code, {_UPTO} FROM events WHERE ts < TIMESTAMP '2024-01-16' AND event_type <> 'error' GROUP BY 1), "
        f"c AS (SELECT event_type AS code, {_UPTO} FROM events WHERE ts >= TIMESTAMP '2024-01-16' AND event_type <> 'view' GROUP BY 1) "
        "SELECT 'Loading' AS group_name, coalesce(t.code, c.code) AS code, "
@@ -75,7 +75,9 @@ _UPTO = "max(ts) AS data_upto_ts, count(*) AS row_count"
        "CASE WHEN t.code IS NULL THEN 'second' ELSE 'first' END AS created_by, "
        "CASE WHEN c.code IS NULL THEN 'first' ELSE 'second' END AS updated_by "
        "FROM t FULL JOIN c ON t.code = c.code")
-def upsert_checkpoint(spark, sf_dir):
+
+
+def _checkpoints(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     half = F.lit("2024-01-16").cast("timestamp_ntz")
 
@@ -84,7 +86,22 @@ def upsert_checkpoint(spark, sf_dir):
             F.max("ts").alias("data_upto_ts"), F.count("*").alias("row_count"),
         ).withColumns({"created_by": F.lit(user), "updated_by": F.lit(user)})
 
-    return upsert(
-        checkpoints(events.filter((F.col("ts") < half) & (F.col("event_type") != "error")), "first"),
-        checkpoints(events.filter((F.col("ts") >= half) & (F.col("event_type") != "view")), "second"),
-        keys=["group_name", "code"], update_columns=["data_upto_ts", "updated_by"])
+    first = checkpoints(events.filter((F.col("ts") < half) & (F.col("event_type") != "error")), "first")
+    second = checkpoints(events.filter((F.col("ts") >= half) & (F.col("event_type") != "view")), "second")
+    return first, second
+
+
+@query("K9_upsert_checkpoint", _CHECKPOINTS)
+def upsert_checkpoint(spark, sf_dir):
+    return upsert(*_checkpoints(spark, sf_dir), keys=["group_name", "code"], update_columns=["data_upto_ts", "updated_by"])
+
+
+@query("K9_checkpoint_log", _CHECKPOINTS)
+def stored_checkpoints(spark, sf_dir):
+    """Changes appended, compacted, appended again, and read back."""
+    first, second = _checkpoints(spark, sf_dir)
+    log = ChangeLog(spark, scratch_path(spark, "checkpoints"), first.schema, ("group_name", "code"), ("data_upto_ts", "updated_by"))
+    log.append(first)
+    log.compact()
+    log.append(second)
+    return log.read()

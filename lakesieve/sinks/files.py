@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import EXACT_JSON
+from ..functions.naming import named
 from ..sources.files import CSV_WRITE, read_landing
-from ..storage import beside, path_exists, swap_in
+from ..storage import beside, delete_path, partition_dirs, path_exists, swap_in
 
 LANDING_FORMATS = ("json", "csv")
 CSV_ROWS_PER_FILE = 100_000
@@ -38,6 +40,32 @@ def replace_table(df: DataFrame, path: str) -> None:
     swap_in(df.sparkSession, staged, path)
 
 
+def replace_each(rows: DataFrame, column: str, paths: Mapping[str, str]) -> dict[str, int]:
+    """Replace the dataset of every output that ``column`` names, in one write; rows per output.
+
+    All outputs are written beside the first one, partitioned by ``column``, and swapped in one by
+    one when they are complete, without that column. Rows are counted while they are written. The
+    rebalancing before it gives each output few files and splits an output that is far larger than
+    the others. An output without rows becomes an empty dataset.
+    """
+    spark = rows.sparkSession
+    names = list(paths)
+    marked = named(column)
+    counts = Observation()
+    staged = beside(paths[names[0]], "outputs")
+    counted = rows.where(marked.isin(names)).hint("rebalance", marked).observe(
+        counts, *(F.count_if(marked == name).alias(f"c{i}") for i, name in enumerate(names)))
+    counted.write.mode("errorifexists").partitionBy(column).parquet(staged)
+    written = partition_dirs(spark, staged, column)
+    for name in names:
+        if name in written:
+            swap_in(spark, written[name], paths[name])
+        else:
+            replace_table(spark.createDataFrame([], rows.drop(column).schema), paths[name])
+    delete_path(spark, staged)
+    return {name: counts.get[f"c{i}"] for i, name in enumerate(names)}
+
+
 def write_results(df: DataFrame, path: str, by: str = "table_name") -> None:
     """Persist result rows of any number of tables; only the tables in ``df`` are replaced."""
     (df.write.mode("overwrite")

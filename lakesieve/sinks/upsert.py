@@ -1,14 +1,19 @@
-"""Keyed insert-or-update as a join, for tables without a MERGE."""
+"""Keyed insert-or-update for tables without a MERGE: as a join, or as a log of changes."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
+from time import time_ns
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.naming import named
+from ..storage import path_exists
+from .files import replace_table
 
 
 def upsert(
@@ -49,3 +54,48 @@ def upsert(
         return F.when(F.col("known"), F.col(f"t{i}")).otherwise(F.col(f"c{i}")).alias(name)
 
     return joined.select(*[merged(i, name) for i, name in enumerate(columns)])
+
+
+@dataclass(frozen=True)
+class ChangeLog:
+    """A keyed table stored as the changes made to it, so that a step appends a few rows.
+
+    A key's first row gives its values, its last one those of ``update_columns``; which is which is
+    kept in a column of its own. A null in a key matches nothing, so such rows all stay. Appending
+    never rewrites what is there; :meth:`compact` leaves one row for each key.
+    """
+
+    spark: SparkSession
+    path: str
+    schema: T.StructType
+    keys: tuple[str, ...]
+    update_columns: tuple[str, ...]
+
+    #: When a row was appended. Rows without it, as a plain table has, are older than all others.
+    SEQUENCE = "_appended_at"
+
+    def append(self, changes: DataFrame) -> None:
+        """Add ``changes``, which hold each key once."""
+        rows = changes.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+        rows.withColumn(self.SEQUENCE, F.lit(time_ns())).write.mode("append").parquet(self.path)
+
+    def _folded(self) -> DataFrame:
+        stored = T.StructType([*self.schema.fields, T.StructField(self.SEQUENCE, T.LongType())])
+        if not path_exists(self.spark, self.path):
+            return self.spark.createDataFrame([], stored)
+        rows = self.spark.read.schema(stored).parquet(self.path).withColumn("_at", F.coalesce(self.SEQUENCE, F.lit(0)))
+        whole = reduce(Column.__and__, [named(k).isNotNull() for k in self.keys])
+        values = F.struct(*[named(c) for c in self.schema.names if c not in self.keys])
+        folded = rows.where(whole).groupBy(*map(named, self.keys)).agg(
+            F.min_by(values, "_at").alias("_first"), F.max_by(values, "_at").alias("_last"), F.max("_at").alias(self.SEQUENCE))
+        folded = folded.select(*[
+            named(c) if c in self.keys else F.col("_last" if c in self.update_columns else "_first")[c].alias(c)
+            for c in self.schema.names], self.SEQUENCE)
+        return folded.unionByName(rows.where(~whole).drop("_at"))
+
+    def read(self) -> DataFrame:
+        """The table as the changes so far make it: an aggregate that combines before it shuffles."""
+        return self._folded().select(*map(named, self.schema.names))
+
+    def compact(self) -> None:
+        replace_table(self._folded(), self.path)

@@ -82,8 +82,7 @@ def scratch_space(spark: SparkSession) -> Iterator[ScratchSpace]:
     finally:
         _open_spaces().pop()
         for path in space.paths:
-            jpath, fs = _handle(spark, path)
-            fs.delete(jpath, True)
+            delete_path(spark, path)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -106,6 +105,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as Spark writes it in ``_metadata.file_path``: with its scheme, encoded, no slash at its end,
+    and one slash behind a scheme without a host."""
+    jpath, fs = _handle(spark, path)
+    return re.sub(r"^(\w+):///", r"\1:/", fs.makeQualified(jpath).toUri().toString())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    jpath, fs = _handle(spark, path)
+    fs.delete(jpath, True)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below ``path``: one directory listing, no Spark job."""
     jpath, fs = _handle(spark, path)
