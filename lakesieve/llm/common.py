@@ -112,7 +112,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
 
 #: Arrow batches that carry texts hold so many rows and bytes at most, so that a worker and the buffers
 #: that feed it stay small whatever the length of the texts.
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 @contextmanager

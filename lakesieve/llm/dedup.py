@@ -44,16 +44,22 @@ def arrivals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-def remember(arriving: DataFrame, state_dir: str) -> DataFrame:
+#: Rows for each store of the state; with fewer there are fewer stores than shuffle partitions.
+ROWS_PER_STORE = 20_000
+
+
+def remember(arriving: DataFrame, state_dir: str, stores: int | None = None) -> DataFrame:
     """Feed all that has arrived into the state in ``state_dir`` and return the state.
 
     ``arriving`` is a streaming table of ``arrivals``. A later call with the same folder goes on
-    where this one ended. Hot digests are pre-aggregated per task before the shuffle.
+    where this one ended, with as many ``stores`` as the first (the session's shuffle partitions, if
+    not given). Hot digests are pre-aggregated per task before the shuffle.
     Returns (digest, keep_id, keep_locator, group_size) over everything since the folder was new.
     """
     spark = arriving.sparkSession
     kept = arriving.groupBy("digest").agg(F.max(F.struct("doc_id", "locator")), F.count("*"))
-    with settings(spark, STATE_STORE):
+    parts = {} if stores is None else {"spark.sql.shuffle.partitions": str(stores)}
+    with settings(spark, STATE_STORE | parts):
         stream = (
             kept.writeStream.outputMode("update").format("noop").trigger(availableNow=True)
             .option("checkpointLocation", state_dir).start()
@@ -82,8 +88,9 @@ def exact_dedup(
     arriving.write.parquet(folder)
     landed = spark.read.schema(arriving.schema).parquet(folder)
     stream = spark.readStream.schema(arriving.schema).parquet(folder)
+    stores = min(1 + landed.count() // ROWS_PER_STORE, int(spark.conf.get("spark.sql.shuffle.partitions")))
     state = staged(remember(stream.selectExpr(f"{short} AS digest", "doc_id", "locator"),
-                            scratch_path(spark, "dedup-state")), "dedup-kept")
+                            scratch_path(spark, "dedup-state"), stores), "dedup-kept")
 
     # Full bytes of all hits: the smallest and the largest text of a digest are one text, or else
     # different texts met. Both are pre-aggregated per task, so copies don't travel.

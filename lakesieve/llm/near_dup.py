@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_and_text, slices, slot_filter, staged, staged_texts
+from .common import BATCHES, id_and_text, settings, slices, slot_filter, staged
 from .components import components
 
 #: Words of a shingle; sets are linked from this similarity on, in percent.
@@ -205,7 +205,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words have no shingles and link with nothing. Rows with one id are one document; rows without
     an id link with nothing, have a null component and are kept. An empty table gives no rows.
     """
-    signed = staged_texts(
+    with settings(docs.sparkSession, BATCHES):
+        return _near_duplicates(docs, id_col, text_col)
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    signed = staged(
         id_and_text(docs, id_col, text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .mapInArrow(_signed, "doc_id long, n long, key string, sign binary"), "signatures")
     classes = staged(
@@ -259,9 +264,9 @@ def _joined(classes: DataFrame, texts: DataFrame) -> DataFrame:
     # Confirm each class's best candidate, then all that are still apart: a pair within a component
     # needs no texts.
     first = staged(_best(pairs), "to-confirm")
-    found = _merged(None, staged_texts(confirm(first, texts), "confirmed"))
+    found = _merged(None, staged(confirm(first, texts), "confirmed"))
     open_ = _apart(pairs.select("a", "b"), found).join(first, ["a", "b"], "left_anti")
-    found = _merged(found, staged_texts(confirm(staged(open_, "to-confirm"), texts), "confirmed"))
+    found = _merged(found, staged(confirm(staged(open_, "to-confirm"), texts), "confirmed"))
     rest = _crowded_rest(crowded, found, texts)
     return found if rest is None else _merged(found, rest)
 
@@ -307,7 +312,7 @@ def _crowded_rest(crowded: DataFrame, found: DataFrame, texts: DataFrame) -> Dat
         return None
     members = staged(members.join(top, "region").groupBy("node", "component").agg(
         F.max(F.expr("component <> most")).alias("stray")), "open-members")
-    tokens = staged_texts(_with_texts(members.select("node"), texts).mapInArrow(_tokens, "token long, node long, n long"),
+    tokens = staged(_with_texts(members.select("node"), texts).mapInArrow(_tokens, "token long, node long, n long"),
                     "open-tokens")
     common = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     first = (
@@ -325,7 +330,7 @@ def _crowded_rest(crowded: DataFrame, found: DataFrame, texts: DataFrame) -> Dat
     ).selectExpr("x.node AS x", "x.component AS of_x", "y.token", "y.n", "y.at")
     pairs = meets.join(first.selectExpr("token", "n", "at", "node AS y", "component AS of_y"), ["token", "n", "at"]).where(
         "of_x <> of_y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return staged_texts(confirm(staged(pairs, "open-pairs"), texts), "open-links")
+    return staged(confirm(staged(pairs, "open-pairs"), texts), "open-links")
 
 
 def op6_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
