@@ -5,10 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import TypeVar
 
-from pyspark.sql import Row
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Row, SparkSession
 
 Part = TypeVar("Part")
 
+#: What the rows, the schema or the files of a table can cause. See :func:`raise_if_lost`.
+TABLE_ERRORS = (PySparkException, Py4JJavaError, OSError, ValueError)
+
+
+def raise_if_lost(spark: SparkSession, error: Exception) -> None:
+    """Raise ``error`` again if the cluster is gone: no table or rule is to blame for that."""
+    if isinstance(error, ConnectionError) or _stopped(spark):
+        raise error
+
+
+def _stopped(spark: SparkSession) -> bool:
+    context = spark.sparkContext._jsc
+    return context is None or context.sc().isStopped()
+
 
 def run_isolated(
     parts: Sequence[Part],

@@ -8,7 +8,10 @@ shuffles some 60 bytes per row, which pays for long texts and hundreds of column
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,15 +104,43 @@ def reconcile_counts(
 ) -> DataFrame:
     """One row (source_rows, target_before, target_after, to_insert, to_delete, appended), from
     one shuffle instead of two anti joins that would each move both sides."""
+    return _with_appended(_copies(source, target, by, null_safe).agg(*_side_counts()))
+
+
+def _side_counts() -> list[Column]:
     zero, s, t = F.lit(0).cast("long"), F.col(_S), F.col(_T)
-    counts = _copies(source, target, by, null_safe).agg(
+    return [
         F.coalesce(F.sum(s), zero).alias("source_rows"),
         F.coalesce(F.sum(t), zero).alias("target_before"),
         F.coalesce(F.sum(s), zero).alias("target_after"),
         F.coalesce(F.sum(F.when(t == 0, s)), zero).alias("to_insert"),
         F.coalesce(F.sum(F.when(s == 0, t)), zero).alias("to_delete"),
-    )
-    return counts.withColumn("appended", F.greatest(zero, F.col("target_after") - F.col("target_before")))
+    ]
+
+
+def _with_appended(counts: DataFrame) -> DataFrame:
+    gained = F.col("target_after") - F.col("target_before")
+    return counts.withColumn("appended", F.greatest(F.lit(0).cast("long"), gained))
+
+
+def reconcile_all(tables: Mapping[str, tuple[DataFrame, DataFrame]], by: str = "fingerprint") -> DataFrame:
+    """:func:`reconcile_counts` of many tables, name -> (source, target), as one plan with ``table_name``.
+
+    By fingerprint the rows of all tables meet in one grouping by table and fingerprint, so many
+    small tables share one shuffle and a large one is spread over all of it. A table without rows on
+    both sides has no line there.
+    """
+    if by != "fingerprint":
+        return reduce(DataFrame.unionByName, [
+            reconcile_counts(source, target, by).withColumn("table_name", F.lit(name))
+            for name, (source, target) in tables.items()])
+
+    def side(df: DataFrame, name: str, s: int, t: int) -> DataFrame:
+        return _keyed(df, by, True).withColumns({"table_name": F.lit(name), _S: F.lit(s), _T: F.lit(t)})
+
+    sides = [part for name, (source, target) in tables.items() for part in (side(source, name, 1, 0), side(target, name, 0, 1))]
+    copies = reduce(DataFrame.unionByName, sides).groupBy("table_name", _KEY).agg(F.sum(_S).alias(_S), F.sum(_T).alias(_T))
+    return _with_appended(copies.groupBy("table_name").agg(*_side_counts()))
 
 
 def snapshot_upsert(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.files import read_table
 from .copying import Schema
@@ -11,7 +12,8 @@ from .copying import Schema
 def load_job(
     spark: SparkSession, path: str, destination: Schema, table: str, mode: str = "overwrite"
 ) -> int:
-    """Load one silver dataset and return its number of rows; an empty one is skipped.
+    """Load one silver dataset and return its number of rows, counted while they are written; an
+    empty one is skipped.
 
     The destination is a folder of Parquet tables or a database schema; anything else is refused.
     """
@@ -20,11 +22,12 @@ def load_job(
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be overwrite or append, not {mode!r}")
     df = read_table(spark, path)
-    rows = df.count()
-    if rows == 0:
+    if df.isEmpty():
         return 0
+    written = Observation()
+    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
     if mode == "overwrite":
-        destination.replace(df, table)
+        destination.replace(counted, table)
     else:
-        destination.append(df, table)
-    return rows
+        destination.append(counted, table)
+    return written.get["rows"]

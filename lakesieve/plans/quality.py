@@ -5,7 +5,6 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 from ..contracts import SCORECARD
 from ..functions.text import DEFAULT_KEYWORDS, keyword_category
 from ..operators.columns import fill_defaults
-from ..operators.isolation import run_isolated
+from ..operators.isolation import TABLE_ERRORS, raise_if_lost, run_isolated
 from ..operators.profile import scorecard
 from ..sinks.files import write_results
 from ..sources.layers import LAYERS, LayerSource, read_layer
@@ -61,7 +60,8 @@ def _layer_lines(
         try:
             stamp = resolve_partition_dir(
                 spark, f"{source.bronze.rstrip('/')}/{table}", source.partition_column, requested)
-        except (PySparkException, Py4JJavaError, OSError, ValueError) as error:
+        except TABLE_ERRORS as error:
+            raise_if_lost(spark, error)
             rows += _status_lines(spark, [_error(table, requested, error, 0.0)], keywords, as_of).collect()
             continue
         if stamp is not None:
@@ -86,7 +86,8 @@ def _layer_lines(
         try:
             read_layer(spark, source, layer, table, stamp)
             readable.append((table, stamp))
-        except (PySparkException, Py4JJavaError, OSError, ValueError) as error:
+        except TABLE_ERRORS as error:
+            raise_if_lost(spark, error)
             rows += on_error((table, stamp), error)
     return rows + run_isolated(readable, run, on_error, PySparkException)
 

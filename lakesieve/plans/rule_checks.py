@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from ..contracts import RULE_RESULT
-from ..operators.isolation import run_isolated
+from ..operators.isolation import TABLE_ERRORS, raise_if_lost, run_isolated
 from ..operators.rules import evaluate_all, evaluate_rules_isolated, rules_by_table
 from ..sinks.files import write_results
 from ..sources.partitions import PARTITION_COLUMN, read_partition, resolve_partition_dir
@@ -46,7 +46,8 @@ def rules_job(
             continue
         try:
             stamp = resolve_partition_dir(spark, root, partition_column, requested)
-        except Exception as error:
+        except TABLE_ERRORS as error:
+            raise_if_lost(spark, error)
             rows.append(_table_error(table, requested or "", error, as_of))
             continue
         if stamp is not None:
@@ -61,15 +62,17 @@ def rules_job(
 
     def on_error(item: tuple[str, str], error: Exception) -> list[Row]:
         table, stamp = item
+        raise_if_lost(spark, error)
+        if not isinstance(error, PySparkException):
+            return [_table_error(table, stamp, error, as_of)]
         try:
-            if not isinstance(error, PySparkException):
-                raise error
             own = by_table[table.strip().lower()]
             return evaluate_rules_isolated(read(table, stamp), own, table, stamp, as_of).collect()
-        except Exception as final:
+        except TABLE_ERRORS as final:
+            raise_if_lost(spark, final)
             return [_table_error(table, stamp, final, as_of)]
 
-    rows += run_isolated(slices, run, on_error)
+    rows += run_isolated(slices, run, on_error, TABLE_ERRORS)
     results = spark.createDataFrame(rows, RULE_RESULT)
     if results_path is not None:
         write_results(results, results_path)

@@ -6,7 +6,6 @@ import logging
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from ..contracts import CHECKPOINT, SHEET_REJECT
 from ..functions.text import checkpoint_code, fiscal_year, kebab_name, snake_name, split_label, stored_code
 from ..operators.columns import cast_if_present
+from ..operators.isolation import TABLE_ERRORS, raise_if_lost
 from ..operators.layouts import OUTPUT_TAG, SHEET_TAG, OutputSet, SheetLayout, layouts_of, prepare_layout, united_outputs
 from ..operators.unions import sheet_categories
 from ..sinks.files import replace_each, silver_path
@@ -31,8 +31,6 @@ CHECKPOINT_UPDATES = ("data_upto_ts", "updated_at", "updated_by")
 
 #: The one output of a mode that unions all sheets.
 ALL = "__all__"
-#: What counts against an output; anything else stops the job.
-DATA_ERRORS = (PySparkException, Py4JJavaError, OSError)
 
 # Workbook headers whose new name is not their snake case.
 WORKBOOK_HEADERS = {
@@ -126,7 +124,8 @@ def _written(
     """
     try:
         return replace_each(outputs.rows, OUTPUT_TAG, paths), []
-    except DATA_ERRORS as error:
+    except TABLE_ERRORS as error:
+        raise_if_lost(outputs.rows.sparkSession, error)
         if len(paths) == 1:
             log.exception("writing %s failed", *paths)
             return {}, [(name, str(error)) for name in paths]
@@ -134,7 +133,8 @@ def _written(
     for name, path in paths.items():
         try:
             counts |= replace_each(outputs.rows, OUTPUT_TAG, {name: path})
-        except DATA_ERRORS as error:
+        except TABLE_ERRORS as error:
+            raise_if_lost(outputs.rows.sparkSession, error)
             log.exception("writing %s failed", name)
             failed.append((name, str(error)))
     return counts, failed
@@ -231,7 +231,8 @@ def sheets_job(
                 if warehouse is not None:
                     load(output, paths[output])
                 lines.append(Row(category="" if output == ALL else output, path=paths[output], row_count=rows))
-            except DATA_ERRORS as error:
+            except TABLE_ERRORS as error:
+                raise_if_lost(spark, error)
                 log.exception("loading %s of %s failed", output, file_name)
                 failed.append((output, str(error)))
         rejected += [(file_name if output == ALL else output, reason) for output, reason in failed]

@@ -52,13 +52,13 @@ def upserted_schema(spark, sf_dir):
     return append_schema(source, target, upsert=True, exclude=["nation"]).select(*_OUTCOME)
 
 
-@query("X1_every_table", "SELECT * FROM nation UNION ALL SELECT * FROM nation")
+@query("X1_every_table", "SELECT * FROM customer UNION ALL SELECT * FROM customer")
 def every_table(spark, sf_dir):
     """A table is copied whatever its name begins with."""
     source = LakeSchema(spark, scratch_path(spark, "source"))
     target = LakeSchema(spark, scratch_path(spark, "target"))
     for schema in (source, target):
-        write_table(table(spark, sf_dir, "nation"), f"{schema.root}/_audit.previous-1")
+        write_table(table(spark, sf_dir, "customer"), f"{schema.root}/_audit.previous-1")
     append_schema(source, target)
     return target.read("_audit.previous-1")
 

@@ -4,7 +4,6 @@ import re
 from datetime import datetime
 
 import pytest
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,7 +142,13 @@ def test_errors_that_are_not_the_data_stop_the_job(spark, tmp_path, monkeypatch)
     monkeypatch.setattr(workbooks, "replace_each", broken)
     with pytest.raises(RuntimeError, match="no cluster"):
         sheets_job({"A": spark.range(1)}, "lake", "misc", str(tmp_path), AS_OF, "me")
-    assert Py4JJavaError in workbooks.DATA_ERRORS
+
+    def lost(*_):
+        raise ConnectionRefusedError("no gateway")
+
+    monkeypatch.setattr(workbooks, "replace_each", lost)
+    with pytest.raises(ConnectionRefusedError):
+        sheets_job({"A": spark.range(1)}, "lake", "misc", str(tmp_path), AS_OF, "me")
 
 
 def test_change_log(spark, tmp_path):
