@@ -73,6 +73,28 @@ def row_hash(fields: Sequence[T.StructField], null_safe: bool = True) -> Column:
     return F.sha2(row_text(fields, null_safe), 256)
 
 
+def _fixed_text(kind: T.DataType) -> bool:
+    """Whether the type's texts are never empty and hold no bar."""
+    return isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def row_fingerprint(fields: Sequence[T.StructField]) -> Column:
+    """32 bytes that two rows share if and only if a GROUP BY takes them as one.
+
+    The SHA-256 of an encoding that can be read back: first, between bars, the texts of numbers, dates
+    and flags and the lengths of all other texts, with nothing for a null, then those texts one
+    behind the other. That costs less than quoting them as :func:`row_text` does.
+    """
+    head, body = [], []
+    for f in fields:
+        text = field_text(f)
+        if not _fixed_text(f.dataType):
+            body.append(F.coalesce(text, F.lit("")))
+            text = F.octet_length(text).cast("string")
+        head.append(F.coalesce(text, F.lit("")))
+    return F.unhex(F.sha2(F.concat_ws("|", *head, F.concat(*body) if body else F.lit("")), 256))
+
+
 def with_row_hash(
     df: DataFrame,
     columns: Sequence[str] | None = None,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import SCORECARD
-from ..functions.hashing import field_text
+from ..functions.hashing import row_fingerprint
 from ..functions.naming import positional
 from ..functions.text import DEFAULT_KEYWORDS, keyword_category
 from .columns import fill_defaults
@@ -32,11 +32,6 @@ def _groupable(df: DataFrame) -> DataFrame:
     ])
 
 
-def _fingerprint(flat: DataFrame) -> Column:
-    """SHA-256 of the null-safe row text; values that a GROUP BY takes as one have one text."""
-    return F.unhex(F.sha2(F.to_json(F.array(*map(field_text, flat.schema.fields))), 256))
-
-
 def _json_bytes(flat: DataFrame, names: Sequence[str]) -> Column:
     row = F.struct(*[F.col(c).alias(n) for c, n in zip(flat.columns, names)])
     # Plain timestamps: formatting them by a pattern costs more than all the rest of the row.
@@ -55,7 +50,7 @@ def _repeats(df: DataFrame, by: str) -> DataFrame:
     if by == "columns":
         groups = flat.groupBy(*flat.columns).agg(count)
     elif by == "fingerprint":
-        groups = flat.select(_fingerprint(flat).alias("h")).groupBy("h").agg(count)
+        groups = flat.select(row_fingerprint(flat.schema.fields).alias("h")).groupBy("h").agg(count)
     else:
         raise ValueError(f"group rows by columns or fingerprint, not {by!r}")
     return groups.agg(_total(F.col("n") - 1).alias("repeats"))

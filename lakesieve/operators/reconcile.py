@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.hashing import row_hash
+from ..functions.hashing import row_fingerprint, row_hash
 from ..functions.naming import named
 from ..storage import staged
 from .columns import overlap
@@ -25,10 +25,14 @@ _S, _T = "_source_copies", "_target_copies"
 _BLOCK = 1_000_000
 
 
+def _fingerprint(df: DataFrame, null_safe: bool) -> Column:
+    # Binary: half the size of a hash's hex text.
+    return row_fingerprint(df.schema.fields) if null_safe else F.unhex(row_hash(df.schema.fields, null_safe))
+
+
 def _keyed(df: DataFrame, by: str, null_safe: bool) -> DataFrame:
     if by == "fingerprint":
-        # The hash in binary form: half the size of its hex text.
-        return df.select(F.unhex(row_hash(df.schema.fields, null_safe)).alias(_KEY))
+        return df.select(_fingerprint(df, null_safe).alias(_KEY))
     if by != "columns":
         raise ValueError(f"compare rows by columns or fingerprint, not {by!r}")
     if not null_safe:
@@ -81,7 +85,7 @@ def _missing_from(left: DataFrame, right: DataFrame, by: str, null_safe: bool) -
     # small, so the rows need no shuffle, and otherwise joins two plain shuffles, whose hot
     # partitions adaptive execution splits.
     keys = staged(missing.select(_KEY), "missing-keys")
-    hashed = left.withColumn(_KEY, F.unhex(row_hash(left.schema.fields, null_safe)))
+    hashed = left.withColumn(_KEY, _fingerprint(left, null_safe))
     return hashed.join(keys, _KEY, "left_semi").drop(_KEY)
 
 

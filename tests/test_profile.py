@@ -106,3 +106,17 @@ def test_all_null_rows(spark):
     df = spark.createDataFrame([(None, None), (1, None)], "a int, `b.c` int")
     assert all_null_rows(df).count() == 1
     assert all_null_rows(spark.range(2).select()).count() == 0
+
+
+def test_fingerprints_tell_rows_apart(spark):
+    from itertools import product
+
+    from lakesieve.functions.hashing import row_fingerprint
+
+    texts = [None, "", "|", "1", "1|", "|1", "a", "a|", "|a"]
+    rows = [(n, a, b) for n, a, b in product([None, 1, 11], texts, texts)]
+    df = spark.createDataFrame(rows, "n int, a string, b string")
+    prints = {bytes(r[0]) for r in df.select(row_fingerprint(df.schema.fields)).collect()}
+    assert len(prints) == len(rows) and {len(p) for p in prints} == {32}
+    same = spark.sql("SELECT 0.0D x, map('a', 1, 'b', 2) m UNION ALL SELECT -0.0D, map('b', 2, 'a', 1)")
+    assert len({bytes(r[0]) for r in same.select(row_fingerprint(same.schema.fields)).collect()}) == 1
