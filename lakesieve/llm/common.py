@@ -104,10 +104,14 @@ def drop_ids(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """The same rows in smaller batches, so that few texts at a time become Python objects."""
+    """The same rows in smaller batches, so that few texts at a time become Python objects.
+
+    Workers outlive their tasks, so what Arrow holds for later goes back at the end.
+    """
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
 
 
 #: Arrow batches that carry texts hold so many rows and bytes at most, so that a worker and the buffers

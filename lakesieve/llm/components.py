@@ -17,8 +17,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Large and small stars take turns until no link changes: each node's larger neighbours are
     hung on its smallest one, then its smaller ones with itself. That takes a logarithmic number
-    of rounds, each stored in the shared folder. Minima are pre-aggregated, so a hub with very many
-    neighbours is no single task's group.
+    of rounds, each stored in the shared folder. Minima are pre-aggregated and stored before they are
+    joined: Spark then knows their size, and where it shuffles it can split the links of a hub.
     """
     stars = staged(_ordered(links), "links")
     before, parts = None, None
@@ -40,7 +40,7 @@ def components(links: DataFrame) -> DataFrame:
 def _hung(links: DataFrame) -> DataFrame:
     """``links`` with ``low``, the smallest of a and its neighbours b."""
     low = links.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low"))
-    return links.join(low, "a")
+    return links.join(staged(low, "low"), "a")
 
 
 def _ordered(links: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Language identification by interpolated Kneser-Ney models over characters.
 
 One model per language, counted over all labelled documents. Each n-gram has its own count, in sorted
-arrays that are broadcast, or in a stored table that is joined where they would be too large. The language with the lowest cross-entropy per character is chosen, and a document that
-even its best model explains far worse than the model's own documents is rejected.
+arrays that are broadcast, or in a stored table that is joined where they would be too large. The
+language with the lowest cross-entropy per character is chosen, and a document that even its best
+model explains far worse than the model's own documents is rejected.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ from pyspark.sql import functions as F
 
 from .common import id_and_text, map_texts, named, numbered, staged, staged_texts
 
-#: Characters of an n-gram, and bits of each. Letters are numbered modulo 4095, 0 is any gap.
-ORDER, BITS = 4, 12
+#: Characters of an n-gram, and bits of each: its UTF-16 code, so no two letters share a number, and a
+#: letter beyond 16 bits is two characters. 0 is any gap. An n-gram fills a long, sign bit included.
+ORDER, BITS = 4, 16
 #: n-grams and contexts of all models that are broadcast (16 to 24 bytes each); more are joined.
 GATHERED = 4_000_000
 #: n-grams a task may hold before it passes counts on, and resolved ones a worker remembers.
@@ -35,10 +37,31 @@ NO_LANGUAGE = "und"
 
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
-    """Code point -> number of the letter, 0 if it is none."""
-    points = np.arange(0x110000, dtype=np.int64)
-    alpha = np.fromiter((chr(p).isalpha() for p in range(0x110000)), bool, 0x110000)
-    return np.where(alpha, points % ((1 << BITS) - 1) + 1, 0).astype(np.int16)
+    """Whether a code point is a letter."""
+    return np.fromiter((chr(p).isalpha() for p in range(0x110000)), bool, 0x110000)
+
+
+def _characters(points: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points as UTF-16 codes, 0 for all but letters, and whose they are."""
+    letters = np.where(_letters()[points], points, 0).astype(np.int64)
+    wide = letters > 0xFFFF
+    if not wide.any():
+        return letters, owner
+    at = np.repeat(np.arange(len(letters)), 1 + wide)
+    found = letters[at]
+    second = np.diff(at, prepend=-1) == 0
+    above = found - 0x10000
+    found = np.where(wide[at], np.where(second, 0xDC00 | (above & 0x3FF), 0xD800 | (above >> 10)), found)
+    return found, owner[at]
+
+
+def _last(grams_: np.ndarray, level: int) -> np.ndarray:
+    """The last ``level`` characters of n-grams."""
+    return grams_ if level == ORDER else grams_ & ((1 << (BITS * level)) - 1)
+
+
+def _last_in_sql(column: str, level: int) -> str:
+    return column if level == ORDER else f"{column} & {(1 << (BITS * level)) - 1}L"
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -48,8 +71,8 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """
     raw = [t.lower().encode("utf-32-le", "surrogatepass") for t in texts]
     lengths = np.array([len(r) // 4 for r in raw], dtype=np.int64)
-    symbols = _letters()[np.frombuffer(b"".join(raw), dtype=np.uint32)].astype(np.int64)
-    owner = np.repeat(np.arange(len(texts)), lengths)
+    points = np.frombuffer(b"".join(raw), dtype=np.uint32)
+    symbols, owner = _characters(points, np.repeat(np.arange(len(texts)), lengths))
     before = np.empty_like(symbols)
     before[:1], before[1:] = 0, symbols[:-1]
     firsts = np.flatnonzero(np.diff(owner, prepend=-1))
@@ -148,9 +171,9 @@ class Models:
     def _bits(self, lang: str, keys: np.ndarray) -> np.ndarray:
         chance = np.full(len(keys), 1 / self.symbols)
         for level in range(1, ORDER + 1):
-            gram = keys & ((1 << (BITS * level)) - 1)
+            gram = _last(keys, level)
             count, = _look_up(self._numbers[lang][level], gram)
-            total, kinds = _look_up(self._contexts[lang][level], gram >> BITS)
+            total, kinds = _look_up(self._contexts[lang][level], _last(gram >> BITS, level - 1))
             discount = self._discounts[lang][level]
             known = total > 0
             total = np.where(known, total, 1)
@@ -177,12 +200,12 @@ class Tables:
     def __init__(self, counts: DataFrame) -> None:
         level = {ORDER: counts.select("lang", F.col("gram").alias("g"), "n")}
         for n in range(ORDER - 1, 0, -1):
-            level[n] = level[n + 1].groupBy("lang", F.expr(f"g & {(1 << (BITS * n)) - 1}L").alias("g")).agg(
+            level[n] = level[n + 1].groupBy("lang", F.expr(_last_in_sql("g", n)).alias("g")).agg(
                 F.count("*").alias("n"))
         self.numbers = staged(
             _union([level[n].select("lang", F.lit(n).alias("level"), "g", "n") for n in level]), "char-grams")
         self.contexts = staged(
-            self.numbers.groupBy("lang", "level", F.expr(f"shiftright(g, {BITS})").alias("g")).agg(
+            self.numbers.groupBy("lang", "level", F.expr(f"shiftrightunsigned(g, {BITS})").alias("g")).agg(
                 F.sum("n").alias("n"), F.count("*").alias("kinds")), "char-contexts")
         rare = self.numbers.groupBy("lang", "level").agg(
             F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"),
@@ -229,7 +252,7 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def best(texts: list[str]) -> list[list]:
-        models_ = _kept(shared)
+        models_ = shared.value  # kept by the worker while it gets tasks with this broadcast, and no longer
         columns: list[list] = [[], [], [], [], []]
         for part in _parts(texts):
             for column, values in zip(columns, _best(models_, part), strict=True):
@@ -284,8 +307,8 @@ def _joined_costs(wanted: DataFrame, tables: Tables) -> DataFrame:
             F.col("lang").alias("of"), F.col("g").alias("context"), F.col("n").alias("total"), "kinds")
         discount = F.create_map(*(F.lit(v) for lang in tables.languages for v in (lang, float(tables.discounts[lang][level]))))
         each = (
-            each.withColumn("g", F.expr(f"gram & {(1 << (BITS * level)) - 1}L")).join(numbers, ["lang", "g"], "left")
-            .join(contexts, F.expr(f"lang = of AND shiftright(g, {BITS}) = context"), "left")
+            each.withColumn("g", F.expr(_last_in_sql("gram", level))).join(numbers, ["lang", "g"], "left")
+            .join(contexts, F.expr(f"lang = of AND shiftrightunsigned(g, {BITS}) = context"), "left")
             .withColumn("d", discount[F.col("lang")])
             .selectExpr("gram", "lang", "CASE WHEN total > 0 THEN greatest(coalesce(seen, 0) - d, 0) / total"
                         " + d * kinds / total * chance ELSE chance END AS chance")
@@ -294,11 +317,6 @@ def _joined_costs(wanted: DataFrame, tables: Tables) -> DataFrame:
     return each.groupBy("gram").agg(F.sort_array(F.collect_list(bits)).bits.alias("costs"))
 
 
-@lru_cache(maxsize=1)
-def _kept(shared) -> Models:
-    return shared.value
-
-
 def _best(models: Models, texts: list[str]) -> list[list]:
     found, counts = grams(texts)
     if not models.languages or not len(found):
@@ -328,19 +346,22 @@ def _distance(mean: Column, between: Column, within: Column) -> Column:
     return (F.col("bits") - mean) / F.sqrt(between + within / F.col("n") + F.lit(1e-6))
 
 
-def identify(docs: DataFrame, training: Column, id_col: str = "doc_id") -> DataFrame:
+def identify(docs: DataFrame, training: Column, id_col: str = "doc_id", broadcast_limit: int = GATHERED) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang_pred, score, rejected.
 
     Learns from the rows where ``training`` holds and ``lang`` is not null; lang, source and doc_id
     are no part of a prediction. ``rejected`` holds for texts without a letter (``und``, score 0)
     and for texts whose best model explains them far worse than training documents. Null and empty
-    texts are ``und``; so is everything if nothing can be learnt. Repeated rows repeat results.
+    texts are ``und``; so is everything if nothing can be learnt, and an empty table gives no rows.
+    Repeated rows repeat results; ties go to the language that comes first. Very long texts are
+    counted whole. Models of up to ``broadcast_limit`` n-grams and contexts are broadcast, larger
+    ones joined; that is a matter of speed and changes no result but the last digits of a score.
     """
     training = F.coalesce(training, F.lit(False)) & named("lang").isNotNull()
     learnt = docs.where(training)
     tables = Tables(staged_texts(count_grams(learnt), "char-counts"))
     rows = docs.select(named("text").alias("text"), F.struct(named(id_col).alias("id"), training.alias("trained")).alias("doc_id"))
-    found = score(rows, gathered(tables)) if tables.size <= GATHERED else score_joined(rows, tables)
+    found = score(rows, gathered(tables)) if tables.size <= broadcast_limit else score_joined(rows, tables)
     scored = staged_texts(found, "language-scores").selectExpr(
         "doc_id.id AS doc_id", "doc_id.trained", "lang_pred", "score", "bits", "spread", "n")
     usual = scored.where("trained AND n > 0").groupBy("lang_pred").agg(

@@ -37,7 +37,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 17:
+        if len(self) > 1 << 16:
             self.clear()
         self[word] = value = xxhash.xxh64_intdigest(word)
         return value
@@ -158,17 +158,13 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(same)], names=["a", "b", "agreeing"])
 
 
-@lru_cache(maxsize=16)
-def _recent(text: str) -> np.ndarray:
-    return shingles(text)
-
-
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose full sets are similar enough."""
-    for batch in slices(batches):
+    recent = lru_cache(maxsize=16)(shingles)  # of this task only
+    for batch in slices(batches, 16):
         keep = []
         for left, right in zip(batch["text_a"].to_pylist(), batch["text_b"].to_pylist(), strict=True):
-            x, y = _recent(left), _recent(right)
+            x, y = recent(left), recent(right)
             both = len(np.intersect1d(x, y, assume_unique=True))
             keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -218,10 +214,13 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sign").alias("sign")), "set-classes")
     texts = id_and_text(docs, id_col, text_col).select(F.col("doc_id").cast("long").alias("node"), "text").where(
         "node IS NOT NULL")
+    repeated, differing = _repeated_ids(signed)
+    if repeated:  # equal rows count once, so that their pairs don't multiply
+        texts = texts.distinct()
     ends = _joined(classes.drop("key"), texts)
     same = signed.where("doc_id IS NOT NULL AND n > 0").join(classes.select("key", "node"), "key").selectExpr(
         "doc_id", "node").distinct()
-    if _repeated_ids(signed):
+    if differing:
         links = ends.selectExpr("node AS a", "component AS b").unionByName(same.selectExpr("node AS a", "doc_id AS b"))
         alone = same.selectExpr("doc_id AS node", "doc_id AS component").distinct()
         found = components(links)
@@ -234,10 +233,12 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                            "coalesce(component, doc_id) <=> doc_id AS kept")
 
 
-def _repeated_ids(signed: DataFrame) -> bool:
-    """Whether an id has rows with different sets, so that classes meet in it."""
-    return not signed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").isEmpty()
+def _repeated_ids(signed: DataFrame) -> tuple[bool, bool]:
+    """Whether an id has several rows, and whether it has different sets, so that classes meet in it."""
+    found = signed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.count("*").alias("rows"), F.min("key").alias("low"), F.max("key").alias("high")
+    ).agg(F.expr("bool_or(rows > 1)"), F.expr("bool_or(low <> high)")).first()
+    return bool(found[0]), bool(found[1])
 
 
 def _joined(classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -314,7 +315,7 @@ def _crowded_rest(crowded: DataFrame, found: DataFrame, texts: DataFrame) -> Dat
         F.max(F.expr("component <> most")).alias("stray")), "open-members")
     tokens = staged(_with_texts(members.select("node"), texts).mapInArrow(_tokens, "token long, node long, n long"),
                     "open-tokens")
-    common = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    common = staged(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "open-counts")
     first = (
         tokens.join(common, "token").groupBy("node", "n")
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))

@@ -176,6 +176,26 @@ def test_ids_with_several_texts_join_their_sets(spark):
     assert {r.component_id for r in near_dup.near_duplicates(docs).collect()} == {1}
 
 
+def test_repeated_rows_do_not_multiply_text_pairs(spark, monkeypatch):
+    words = [f"w{n}" for n in range(60)]
+    left, right = " ".join(words), " ".join(words[:-1] + ["other"])
+    seen = spark.sparkContext.accumulator(0)
+    confirmed = near_dup._confirmed
+
+    def counted(batches):
+        def each():
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+        return confirmed(each())
+
+    monkeypatch.setattr(near_dup, "_confirmed", counted)
+    docs = spark.createDataFrame([(1, left)] * 300 + [(2, right)] * 300, "doc_id bigint, text string")
+    got = near_dup.near_duplicates(docs).collect()
+    assert len(got) == 600 and {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1)}
+    assert seen.value == 1
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = components.components(spark.createDataFrame(links, "a bigint, b bigint"))
@@ -286,6 +306,34 @@ def test_language_counts_are_never_shared_by_colliding_grams(spark):
     assert [v.tolist() for v in langid._look_up(numbers, np.array([key, other, key + 2 * 1_048_573]))] == [[9, 1, 0]]
 
 
+def test_letters_share_no_number():
+    letters = [p for p in range(0x110000) if chr(p).isalpha()]
+    codes, owner = langid._characters(np.array(letters), np.arange(len(letters)))
+    starts = np.flatnonzero(np.diff(owner, prepend=-1))
+    ends = np.append(starts[1:], len(codes)) - 1
+    pairs = codes[starts] * 0x10000 + np.where(ends > starts, codes[ends], 0)
+    assert len(np.unique(pairs)) == len(letters) and codes.min() > 0 and codes.max() < 1 << langid.BITS
+    apart = [chr(0x4E00), chr(0x4E00 + 4095), chr(0x20000), chr(0x20000 + 4095)]
+    found, counts = langid.grams(apart)
+    assert counts.tolist() == [1, 1, 2, 2]
+    assert len(set(found[np.cumsum(counts) - 1].tolist())) == 4
+
+
+def test_languages_in_letters_beyond_latin(spark):
+    rng = random.Random(3)
+    scripts = {"a": range(0x4E00, 0x4E40), "b": range(0x4E00 + 4095, 0x4E40 + 4095), "c": range(0x20000, 0x20040), "d": range(0xAC00, 0xAC40)}
+    rows = []
+    for n in range(80):
+        lang = "abcd"[n % 4]
+        text = "".join(chr(rng.choice(scripts[lang])) for _ in range(60))
+        rows.append((n, text, lang if n < 60 else None, lang))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, truth string")
+    truth = {n: t for n, _, _, t in rows}
+    for limit in (0, langid.GATHERED):
+        found = langid.identify(docs.select("doc_id", "text", "lang"), F.lit(True), broadcast_limit=limit).collect()
+        assert {r.doc_id: r.lang_pred for r in found} == truth
+
+
 def test_language_scores_by_joins_are_those_of_arrays(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang").limit(60).unionByName(
         odd_documents(spark).select("doc_id", "text", "lang"))
