@@ -98,3 +98,32 @@ KNOWN = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
 ]
+
+#: (licence, SHA-256 of the normal form) of licences too long to be held as texts; fixed values. They
+#: hold for the normal form as it is, so they change with it: tests make them anew from the texts.
+DIGESTS = [
+    ("Apache-2.0", "98378616989e23431b15181388a001fdeac0999db741918e302c5162392bcfbd"),  # without the appendix
+    ("Apache-2.0", "ebc600199db9838b4fc2d5288a12598c2702142177a89b3443f5cc87b137d94b"),  # whole text
+    ("Artistic-1.0-Perl", "66e644aafc5ff1de25be918be7e71d1d851bab015f750bc67c5b245e5f33ff39"),  # whole text
+    ("BSD-3-Clause", "3d151449461c0c776e892a4dc41cac0d251eb00c9fc49d2d48802d9bed818fe9"),  # whole text
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),  # whole text
+    ("GFDL-1.2", "337a6b06f88d908a84d6cc98a9d560fee1b8a17edd0e4d3eac0cbc7d1df30abe"),  # without the appendix
+    ("GFDL-1.2", "19d29a7c800a0d85704b63b4c09d5cd01dd9a287c61e238f4717d8a9e75d214f"),  # whole text
+    ("GFDL-1.3", "0ceebbb7b6e73e86638816e6996de1984798f9b56e7db2ee39d211853d9bfe72"),  # without the appendix
+    ("GFDL-1.3", "e70f40f3a50995855f972521fe4eaa4af360a4597e5914977b6093cce5243480"),  # whole text
+    ("GPL-1.0", "6375a768fd262bf5281905a9585411d2d0fb4ea15cb08cfcba49f73fedb82abc"),  # without the appendix
+    ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),  # whole text
+    ("GPL-2.0", "e4d14510e41435c3eb12c255b72546a3cb9943f06f209c72bc30a19095b08999"),  # without the appendix
+    ("GPL-2.0", "b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1"),  # whole text
+    ("GPL-3.0", "3dcf77ad8c25248618918aaff1de8a2cb80cea6ca922ef4a7a389cca96a7560b"),  # without the appendix
+    ("GPL-3.0", "010ce52b3b970c80b5447205f4afc3b42084811cda2d11b95178b1fd3940764f"),  # whole text
+    ("LGPL-2.0", "ff773d8d898dfc51ae2dbf3baa20700673e8ceb153b13d26c525af34a59adf0c"),  # without the appendix
+    ("LGPL-2.0", "9b0b3105b96203f9d9e4b72d4b77951152156c88139302b5aedf6295e3ceaaa3"),  # whole text
+    ("LGPL-2.1", "963f79d48038eed98d8341c84d8d3b765e99508a738d00654c0112f70a7c370c"),  # without the appendix
+    ("LGPL-2.1", "cb225061bb71741fe8b31a2092e22fe05b1130438158ae5d16c48fd50186e345"),  # whole text
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),  # whole text
+    ("MPL-1.1", "fb84cdb331a381edd811d3017d5400ac2c74d9d8470038f79413ac78b10c2a59"),  # without the appendix
+    ("MPL-1.1", "f77c59051c0127d677dcce7ba0d4733294974749a7b4155250912498d92767d6"),  # whole text
+    ("MPL-2.0", "2cec6f733aa157c2d0b72e9669f75ca354f332218fcb5a3a885931f385272a04"),  # without the appendix
+    ("MPL-2.0", "9e79a7d513376f6fa1500e4df4f6276c6e7e61c5c3e28dcdb1acee24033acc56"),  # whole text
+]

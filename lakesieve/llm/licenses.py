@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, id_and_text, staged
-from .license_texts import KNOWN
+from .license_texts import DIGESTS, KNOWN
 
 #: Lines that name a holder differ in every copy of a licence.
 COPYRIGHT_LINE = r"(^|\n)[ \t\r]*(copyright|\(c\)|©)[^\n]*"
@@ -53,17 +53,25 @@ def builtin_texts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(KNOWN, "license_id string, text string")
 
 
+def builtin_digests(spark: SparkSession) -> DataFrame:
+    """(digest, license_id) of the texts and of the long licences that are held as digests only."""
+    held = spark.createDataFrame(DIGESTS, "license_id string, digest string").select("digest", "license_id")
+    return known_digests(builtin_texts(spark)).unionByName(held).groupBy("digest").agg(
+        F.min("license_id").alias("license_id"))
+
+
 def scan_licenses(docs: DataFrame, known: DataFrame, lines: bool = True) -> DataFrame:
     """One row per row of ``docs``: doc_id, canonical_sha256, license_id and notices.
 
+    ``known`` is a table (license_id, text), or one of (digest, license_id) with a row per digest.
     ``license_id`` is the known licence that the whole text is, else null. With ``lines``, each
     line is looked up as a text of its own as well, and ``notices`` holds the distinct licences
     found so, sorted and joined by commas (empty: none). Null and empty texts match nothing.
     Repeated rows give repeated results; rows of one id and one normal form share their notices.
-    Only digests are joined. Those of ``known`` are stored first, so Spark knows their size and
+    Very long texts are read whole, and an empty table gives no rows. Only digests are joined. Those of ``known`` are stored first, so Spark knows their size and
     broadcasts them only while it is small.
     """
-    table = staged(known_digests(known), "license-digests")
+    table = staged(known if "digest" in known.columns else known_digests(known), "license-digests")
     texts = id_and_text(docs)
     rows = texts.select("doc_id", digest(F.col("text")).alias("digest")).join(table, "digest", "left")
     if lines:
@@ -101,10 +109,16 @@ def _rows_in_sql() -> str:
     return f"(VALUES {rows}) v(license_id, text)"
 
 
+def _digests_in_sql() -> str:
+    return "(VALUES {}) v(license_id, digest)".format(", ".join(f"('{i}', '{d}')" for i, d in DIGESTS))
+
+
 ORACLE = f"""
 WITH known AS (
-    SELECT sha256({_in_sql('text')}) AS digest, min(license_id) AS license_id
-    FROM {_rows_in_sql()} WHERE {_in_sql('text')} <> '' GROUP BY 1
+    SELECT digest, min(license_id) AS license_id FROM (
+        SELECT sha256({_in_sql('text')}) AS digest, license_id FROM {_rows_in_sql()} WHERE {_in_sql('text')} <> ''
+        UNION ALL SELECT digest, license_id FROM {_digests_in_sql()}
+    ) GROUP BY 1
 ), rows AS (
     SELECT doc_id, text, sha256({_in_sql('text')}) AS digest FROM documents
 ), lines AS (
@@ -121,4 +135,4 @@ LEFT JOIN found f ON r.doc_id IS NOT DISTINCT FROM f.doc_id AND r.digest = f.dig
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return scan_licenses(docs, builtin_texts(spark))
+    return scan_licenses(docs, builtin_digests(spark))

@@ -4,6 +4,7 @@ import hashlib
 import json
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -239,6 +240,33 @@ def test_license_digests(spark):
     assert licenses.scan_licenses(no_documents(spark), licenses.builtin_texts(spark)).count() == 0
 
 
+COMMON = Path("/usr/share/common-licenses")
+FILES = {"Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1.0": "GPL-1",
+         "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.0": "LGPL-2", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3",
+         "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0", "Artistic-1.0-Perl": "Artistic", "BSD-3-Clause": "BSD"}
+
+
+@pytest.mark.skipif(not COMMON.is_dir(), reason="the texts of licences are not on this machine")
+def test_whole_licences_in_other_case_spacing_and_holders(spark):
+    rows, want = [], {}
+    for n, (name, file) in enumerate(sorted(FILES.items())):
+        if not (COMMON / file).is_file():
+            continue
+        text = (COMMON / file).read_text("utf-8")
+        end = "END OF TERMS AND CONDITIONS"
+        forms = [text, "Copyright (c) 2021 Somebody\n\n" + text.upper(), text.replace(", ", " ,  ").replace("\n", "\r\n")]
+        forms += [text[:text.index(end) + len(end)]] if end in text else []
+        for form in forms:
+            want[len(rows)] = name
+            rows.append((len(rows), form))
+        rows.append((len(rows), text + " and one more word"))
+        at = text.rindex(" the ")
+        rows.append((len(rows), text[:at] + text[at + 4:]))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = licenses.scan_licenses(docs, licenses.builtin_digests(spark), lines=False)
+    assert {r.doc_id: r.license_id for r in got.where("license_id IS NOT NULL").collect()} == want and got.count() == len(rows)
+
+
 # Chat
 
 TURNS = [
