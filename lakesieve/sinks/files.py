@@ -10,11 +10,10 @@ from pyspark.sql import types as T
 
 from ..functions.hashing import EXACT_JSON
 from ..functions.naming import named
-from ..sources.files import CSV_WRITE, read_landing
+from ..sources.files import CSV_READ, CSV_WRITE, to_one_line
 from ..storage import beside, delete_path, partition_dirs, path_exists, swap_in
 
 LANDING_FORMATS = ("json", "csv")
-CSV_ROWS_PER_FILE = 100_000
 
 
 def silver_path(base: str, file_name: str, category: str | None = None) -> str:
@@ -94,35 +93,34 @@ def land(
     instead of the dated folder when ``ts`` is None. Returns the path written first.
 
     A dated JSON landing also refreshes ``latest``; for CSV that is off unless asked for. Colons
-    in ``ts`` become dashes, since object paths with colons cannot be listed.
+    in ``ts`` become dashes, since object paths with colons cannot be listed. In CSV a line break
+    is written as a backslash and a letter, and a backslash as two characters too, so each line is
+    a record and files can be split anywhere; :func:`read_landing` undoes it.
     """
     if fmt not in LANDING_FORMATS:
         raise ValueError(f"landing format must be one of {', '.join(LANDING_FORMATS)}, not {fmt!r}")
     base = f"{prefix.rstrip('/')}/{fmt}"
     latest = f"{base}/latest/{category}"
     folder = latest if ts is None else f"{base}/{partition_column}={ts.replace(':', '-')}/{category}"
-    writer = df.write.mode("overwrite").options(**EXACT_JSON)
     if fmt == "json":
-        writer.json(folder)
+        df.write.mode("overwrite").options(**EXACT_JSON).json(folder)
     else:
-        writer.options(maxRecordsPerFile=CSV_ROWS_PER_FILE, **CSV_WRITE).csv(folder)
+        to_one_line(df).write.mode("overwrite").options(**EXACT_JSON).options(**CSV_WRITE).csv(folder)
     if ts is not None and (fmt == "json" if refresh_latest is None else refresh_latest):
-        _copy_landing(df.sparkSession, folder, latest, fmt, df.schema)
+        _copy_landing(df, folder, latest, fmt)
     return folder
 
 
-def _copy_landing(
-    spark: SparkSession, source: str, target: str, fmt: str, schema: T.StructType
-) -> None:
-    # Copies what was landed instead of computing the records a second time, and shows the new
-    # "latest" only when it is complete.
+def _copy_landing(df: DataFrame, source: str, target: str, fmt: str) -> None:
+    # Copies the text that was landed instead of computing the records a second time, and shows the
+    # new "latest" only when it is complete.
+    spark = df.sparkSession
     copy = beside(target, "staged")
     if fmt == "json":
         spark.read.text(source).write.text(copy)
     else:
-        strings = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-        (read_landing(spark, source, fmt, strings).write
-         .options(maxRecordsPerFile=CSV_ROWS_PER_FILE, **CSV_WRITE).csv(copy))
+        texts = T.StructType([T.StructField(name, T.StringType()) for name in to_one_line(df).columns])
+        spark.read.schema(texts).options(**CSV_READ).csv(source).write.options(**CSV_WRITE).csv(copy)
     swap_in(spark, copy, target)
 
 
@@ -134,8 +132,9 @@ def fit_partitions(
 ) -> DataFrame:
     """Bound the number of output files.
 
-    With a known row count: ``rows // rows_per_part`` even partitions, at least ``min_parts``. Without one, a rebalance hint: adaptive execution then merges small partitions and splits large ones
-    at the advisory size, and no counting pass is needed.
+    With a known row count: ``rows // rows_per_part`` even partitions, at least ``min_parts``. Without one,
+    a rebalance hint: adaptive execution then merges small partitions and splits large ones at the
+    advisory size, and no counting pass is needed.
     """
     if rows is None:
         return df.hint("rebalance")

@@ -122,6 +122,33 @@ def test_landing_keeps_awkward_values(spark, tmp_path, fmt):
     assert ("latest" in names) == (fmt == "json")
 
 
+@pytest.mark.parametrize("refresh", [False, True])
+def test_landed_csv_lines_are_records(spark, tmp_path, refresh):
+    texts = ["\\n", "\\\\b\n", "\\", "\r", "\\0", "\\e", " ", "\t \n", "", None, '"\n"', "a,b\\", "x"]
+    one = spark.createDataFrame([(t,) for t in texts], "`a\nb\\` string")
+    folder = land(one, str(tmp_path), "one", "csv", ts="1", refresh_latest=refresh)
+    folder = f"{tmp_path}/csv/latest/one" if refresh else folder
+    got = [r[0] for r in read_landing(spark, folder, "csv", one.schema).collect()]
+    assert sorted(got, key=repr) == sorted(texts, key=repr)
+    assert spark.read.text(folder).where("value NOT LIKE 'a%'").count() == len(texts)
+    numbers = spark.createDataFrame([(1,), (None,)], "n int")
+    folder = land(numbers, str(tmp_path), "numbers", "csv")
+    assert sorted(map(repr, read_landing(spark, folder, "csv", "n int").collect())) == ["Row(n=1)", "Row(n=None)"]
+
+
+def test_one_landed_csv_file_is_read_by_many_tasks(spark, tmp_path):
+    df = spark.range(20_000).selectExpr("id", "concat('line\\n', repeat('\\\\', 1 + int(id % 3)), id) AS t").coalesce(1)
+    folder = land(df, str(tmp_path), "recs", "csv")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50k")
+    try:
+        landed = read_landing(spark, folder, "csv", df.schema)
+        assert len(landed.inputFiles()) == 1 and landed.rdd.getNumPartitions() > 4
+        assert landed.exceptAll(df).count() == 0 and landed.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_landing_latest(spark, tmp_path):
     df = spark.createDataFrame(AWKWARD, "id int, t string, ts timestamp_ntz, v double")
     land(df, str(tmp_path), "recs", "csv", ts="1", refresh_latest=True)
