@@ -2,6 +2,8 @@
 
 Confirmed toxic documents and unlabelled ones train linear classifiers in numpy. The risk of the
 unlabelled is corrected by the share of toxic ones among them, and kept from going below zero.
+Features are counted in all documents, and all of them train as unlabelled ones: dealt to blocks of
+like size, each of which fits classifiers in a task of its own, whose weights are averaged.
 """
 
 from __future__ import annotations
@@ -9,19 +11,25 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_and_text, map_texts, named, staged
+from .common import drop_ids, id_and_text, map_texts, named, slices, slot_filter, staged, staged_texts
 
-#: Documents each classifier is fitted on, at most: toxic ones, unlabelled ones, and labelled ones to
-#: calibrate with. Those whose hashed id is smallest are taken.
-POSITIVE, UNLABELLED, CALIBRATION = 2_000, 4_000, 4_000
+#: Labelled documents used at most: toxic ones to fit with, and any to calibrate with. Those whose
+#: hashed id is smallest are taken, ties by id. Unlabelled ones have no bound.
+POSITIVE, CALIBRATION = 2_000, 4_000
+#: Unlabelled documents of a block, about; a task of its own fits it.
+BLOCK = 20_000
+#: Features a task gathers before it counts them.
+GATHERED = 1 << 20
 #: Classifiers. Each leaves out its share of the sample and is calibrated on that.
 MEMBERS = 3
 #: Features a classifier may use, and documents with one at least.
@@ -54,61 +62,127 @@ class _Memo(dict):
         return value
 
 
-def _features(texts: list[str]) -> list[np.ndarray]:
-    memo = _Memo(lambda w: np.array(word_features(w), np.uint32))
-    return [np.unique(np.concatenate([memo[w] for w in set(_WORDS(t.lower()))] or [np.empty(0, np.uint32)])) for t in texts]
+class Features:
+    """The features of texts, each once and sorted. Words are remembered, as most come again."""
 
+    def __init__(self) -> None:
+        self._of_word = _Memo(lambda w: np.array(word_features(w), np.uint32))
 
-def _frequencies(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.concatenate(docs or [np.empty(0, np.uint32)]), return_counts=True)
+    def of(self, text: str) -> np.ndarray:
+        words = set(_WORDS(text.lower()))
+        return np.unique(np.concatenate([self._of_word[w] for w in words] or [np.empty(0, np.uint32)]))
 
 
-def choose_features(toxic: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
-    """The features that are more frequent in toxic documents than in unlabelled ones, by evidence."""
-    keys, n = _frequencies(toxic)
-    keys, n = keys[n >= LEAST_DOCS], n[n >= LEAST_DOCS]
-    all_keys, all_n = _frequencies(other)
-    at = np.minimum(np.searchsorted(all_keys, keys), max(0, len(all_keys) - 1))
-    m = np.where(all_keys[at] == keys, all_n[at], 0) if len(all_keys) else np.zeros(len(keys))
-    usual = len(toxic) * (m + 1) / (len(other) + 1)
-    evidence = np.where(n > usual, n * np.log(n / usual) - (n - usual), 0.0)
-    best = np.argsort(-evidence, kind="stable")[:FEATURES]
-    return np.sort(keys[best[evidence[best] >= LEAST_EVIDENCE]])
+class Chosen:
+    """Places in the sorted list ``chosen`` of those features that a text has."""
 
+    def __init__(self, chosen: tuple[int, ...]) -> None:
+        place = {key: i for i, key in enumerate(chosen)}
+        self._of_word = _Memo(lambda w: tuple(place[k] for k in word_features(w) if k in place))
 
-def _rows(docs: list[np.ndarray], chosen: np.ndarray) -> list[np.ndarray]:
-    out = []
-    for doc in docs:
-        at = np.minimum(np.searchsorted(chosen, doc), max(0, len(chosen) - 1))
-        out.append(at[chosen[at] == doc] if len(chosen) else np.empty(0, np.int64))
-    return out
+    def of(self, text: str) -> list[int]:
+        return sorted(set(chain.from_iterable(map(self._of_word.__getitem__, set(_WORDS(text.lower()))))))
 
 
-def _outputs(rows: list[np.ndarray], weights: np.ndarray, bias: float) -> np.ndarray:
-    lengths = np.array([len(r) for r in rows])
-    owner = np.repeat(np.arange(len(rows)), lengths)
-    return bias + np.bincount(owner, weights[np.concatenate(rows or [np.empty(0, np.int64)]).astype(np.int64)], len(rows))
+@lru_cache(maxsize=2)
+def _chosen(chosen: tuple[int, ...]) -> Chosen:
+    return Chosen(chosen)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    features, found, size = Features(), [], 0
+
+    def counted() -> pa.RecordBatch:
+        keys, n = np.unique(np.concatenate(found), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], ["feature", "n"])
+
+    for batch in slices(batches):
+        for text in batch.column("text").to_pylist():
+            found.append(features.of(text))
+            size += len(found[-1])
+            if size > GATHERED:
+                yield counted()
+                found, size = [], 0
+    if found:
+        yield counted()
+
+
+def document_frequencies(texts: DataFrame) -> DataFrame:
+    """(feature, n): the rows of ``texts`` with a feature, of all rows; counted in each task first."""
+    return texts.select("text").mapInArrow(_count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+
+
+def choose_features(toxic: DataFrame, every: DataFrame, n_toxic: int, n_every: int) -> tuple[int, ...]:
+    """The features more frequent in toxic documents than in all, by evidence; at most FEATURES, sorted.
+
+    Both tables are (feature, n). Ties go to the smaller feature.
+    """
+    pairs = toxic.where(F.col("n") >= LEAST_DOCS).join(every.select("feature", F.col("n").alias("m")), "feature", "left")
+    usual = F.lit(float(n_toxic)) * (F.coalesce("m", F.lit(0)) + 1) / F.lit(n_every + 1.0)
+    evidence = F.when(F.col("n") > usual, F.col("n") * F.log(F.col("n") / usual) - (F.col("n") - usual))
+    best = pairs.withColumn("evidence", evidence).where(F.col("evidence") >= LEAST_EVIDENCE)
+    return tuple(sorted(r.feature for r in best.orderBy(F.desc("evidence"), "feature").limit(FEATURES).collect()))
+
+
+class Rows:
+    """Sparse rows of ones: the numbers of their features, one after another."""
+
+    def __init__(self, rows: list) -> None:
+        self.lengths = np.array([len(r) for r in rows], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.places = np.concatenate([np.asarray(r, np.int64) for r in rows] or [np.empty(0, np.int64)])
+
+    def __len__(self) -> int:
+        return len(self.lengths)
+
+    def take(self, which: np.ndarray) -> Rows:
+        some = Rows([])
+        some.lengths = self.lengths[which]
+        some.starts = np.cumsum(some.lengths) - some.lengths
+        some.places = self.places[np.repeat(self.starts[which] - some.starts, some.lengths) + np.arange(some.lengths.sum())]
+        return some
+
+    def outputs(self, weights: np.ndarray, bias: float) -> np.ndarray:
+        return bias + np.bincount(np.repeat(np.arange(len(self)), self.lengths), weights[self.places], len(self))
+
+    def gradient(self, g: np.ndarray, size: int) -> np.ndarray:
+        return np.bincount(self.places, np.repeat(g, self.lengths), size)
+
+
+def risk(f_p: np.ndarray, f_u: np.ndarray, prior: float) -> tuple[float, float]:
+    """The risks of toxic documents and of the others, from outputs for toxic and for unlabelled ones.
 
+    The logistic loss; the second is that of the unlabelled without the share of toxic ones in it.
+    """
+    return (prior * float(np.logaddexp(0, -f_p).mean()),
+            float(np.logaddexp(0, f_u).mean()) - prior * float(np.logaddexp(0, f_p).mean()))
+
+
+def risk_slopes(f_p: np.ndarray, f_u: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """Derivatives by the outputs of what is to fall: the sum of both risks, or, where the second
+    is below zero, its negative."""
+    sig_p, sig_u = (1 / (1 + np.exp(-np.clip(f, -50, 50))) for f in (f_p, f_u))
+    if risk(f_p, f_u, prior)[1] >= 0:
+        return -prior * np.ones(len(f_p)) / len(f_p), sig_u / len(f_u)
+    return prior * sig_p / len(f_p), -sig_u / len(f_u)
 
-def fit_nnpu(toxic: list[np.ndarray], other: list[np.ndarray], prior: float, size: int, seed: int) -> tuple[np.ndarray, float]:
+
+def fit_nnpu(toxic: Rows, other: Rows, counts: np.ndarray, prior: float, size: int, seed: int) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the non-negative risk with the logistic loss, by Adam.
 
-    Where the corrected risk of the negatives falls below zero, its gradient is followed backwards.
+    ``counts`` says how many documents each row of ``other`` stands for.
     """
     rng = np.random.default_rng(seed)
+    upto = np.cumsum(counts)
     weights = np.zeros(size + 1)  # the bias is last
     first, second = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, STEPS + 1):
-        some = [toxic[i] for i in rng.integers(0, len(toxic), BATCH)]
-        more = [other[i] for i in rng.integers(0, len(other), 2 * BATCH)]
-        f_p, f_u = _outputs(some, weights, weights[-1]), _outputs(more, weights, weights[-1])
-        as_negative = np.logaddexp(0, f_u).mean() - prior * np.logaddexp(0, f_p).mean()
-        sig_p, sig_u = 1 / (1 + np.exp(-np.clip(f_p, -50, 50))), 1 / (1 + np.exp(-np.clip(f_u, -50, 50)))
-        if as_negative >= 0:
-            g_p, g_u = prior * (sig_p - 1) / BATCH - prior * sig_p / BATCH, sig_u / (2 * BATCH)
-        else:
-            g_p, g_u = prior * sig_p / BATCH, -sig_u / (2 * BATCH)
-        grad = np.append(_gradient(some, g_p, size) + _gradient(more, g_u, size), g_p.sum() + g_u.sum())
+        some = toxic.take(rng.integers(0, len(toxic), BATCH))
+        drawn = np.searchsorted(upto, rng.random(2 * BATCH) * upto[-1], side="right")
+        more = other.take(np.minimum(drawn, len(other) - 1))
+        f_p, f_u = some.outputs(weights, weights[-1]), more.outputs(weights, weights[-1])
+        g_p, g_u = risk_slopes(f_p, f_u, prior)
+        grad = np.append(some.gradient(g_p, size) + more.gradient(g_u, size), g_p.sum() + g_u.sum())
         grad[:-1] += DECAY * weights[:-1]
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad ** 2
@@ -116,11 +190,6 @@ def fit_nnpu(toxic: list[np.ndarray], other: list[np.ndarray], prior: float, siz
     return weights[:-1], float(weights[-1])
 
 
-def _gradient(rows: list[np.ndarray], g: np.ndarray, size: int) -> np.ndarray:
-    lengths = np.array([len(r) for r in rows])
-    return np.bincount(np.concatenate(rows).astype(np.int64), np.repeat(g, lengths), size)
-
-
 def calibrate(outputs: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     """Slope and shift that make the sigmoid of an output a probability, by Newton's method."""
     a, c = 1.0, 0.0
@@ -149,53 +218,113 @@ def steps(outputs: np.ndarray, toxic: np.ndarray) -> tuple[list[float], list[flo
     return [x / n for _, n, x in blocks], shares.tolist()
 
 
-def _fit_member(rows: pd.DataFrame) -> pd.DataFrame:
-    member, prior = int(rows["member"].iloc[0]), float(rows["prior"].iloc[0])
-    rows = rows.sort_values(["kind", "hash", "text"])
-    kinds, away = rows["kind"].to_numpy(), rows["away"].to_numpy()
-    texts = rows["text"].to_numpy()
-    toxic = _features(list(texts[(kinds == "toxic") & ~away]))
-    other = _features(list(texts[(kinds == "unlabelled") & ~away]))
-    if not toxic or not other:
-        return pd.DataFrame({"member": [member], "model": [""]})
-    chosen = choose_features(toxic, other)
-    weights, bias = fit_nnpu(_rows(toxic, chosen), _rows(other, chosen), prior, len(chosen), member)
-    rest = (kinds == "labelled") & away
-    a, c, at, share = 1.0, 0.0, [0.0], [prior]
-    if rest.any():
-        marks = rows["toxic"].to_numpy()[rest]
-        outputs = _outputs(_rows(_features(list(texts[rest])), chosen), weights, bias)
-        a, c = calibrate(outputs, marks)
-        at, share = steps(a * outputs + c, marks)
-    used = np.abs(weights) > 1e-6
-    model = json.dumps([chosen[used].tolist(), (a * weights[used]).tolist(), a * bias + c, at, share])
-    return pd.DataFrame({"member": [member], "model": [model]})
+def _one_each(rows: DataFrame) -> DataFrame:
+    """One row of each id, the one with the smallest text; rows without an id are documents of their own.
+
+    Only rows whose id comes more than once are shuffled.
+    """
+    many = staged(rows.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(
+        "doc_id", F.xxhash64("doc_id").alias("hash")), "toxic-repeated")
+    if many.isEmpty():
+        return rows
+    again = slot_filter(rows, F.xxhash64("doc_id"), many, "hash").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return drop_ids(rows, many.select("doc_id")).unionByName(again.join(many, "doc_id", "left_semi").select("doc_id", "text"))
+
+
+def _fold(doc_id: Column, text: Column | None = None) -> Column:
+    key = F.xxhash64(F.lit("fold"), doc_id)
+    if text is not None:
+        key = F.when(doc_id.isNull(), F.xxhash64(text)).otherwise(key)
+    return F.pmod(key, F.lit(MEMBERS))
+
+
+def _block_weights(unlabelled: DataFrame, toxic: list[list[list[int]]], prior: float, size: int) -> DataFrame:
+    """(member, place, weight) from (fold, places, n); each member leaves out its fold.
+
+    Documents with the same features are one row, dealt to as many blocks as it stands for, so each block
+    is a fair sample of all, however often a document was copied.
+    """
+    blocks = max(1, -(-(unlabelled.agg(F.sum("n")).first()[0] or 0) // BLOCK))
+    spread = F.least(F.col("n"), F.lit(blocks))
+    dealt = unlabelled.select(
+        "fold", "places", (F.col("n") / spread).alias("n"),
+        F.explode(F.sequence(F.lit(0).cast("long"), spread - 1)).alias("i"))
+    dealt = dealt.select(
+        "places", "n", F.pmod(F.xxhash64("places", "fold") + F.col("i"), F.lit(blocks)).alias("block"),
+        F.explode(F.array(*[F.when(F.col("fold") != m, F.lit(m)) for m in range(MEMBERS)])).alias("member"))
+
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        member, block = int(rows["member"].iloc[0]), int(rows["block"].iloc[0])
+        order = sorted(range(len(rows)), key=lambda i: rows["places"].iloc[i].tolist())
+        other, counts = Rows([rows["places"].iloc[i] for i in order]), rows["n"].to_numpy()[order]
+        weights, bias = fit_nnpu(Rows(toxic[member]), other, counts, prior, size, MEMBERS * block + member)
+        return pd.DataFrame({"member": member, "total": counts.sum(), "weights": [np.append(weights, bias)]})
+
+    members = [m for m in range(MEMBERS) if toxic[m]]
+    fitted = dealt.where(F.col("member").isin(members)).groupBy("member", "block").applyInPandas(
+        fit, "member int, total double, weights array<double>")
+    each = fitted.select("member", "total", F.posexplode("weights").alias("place", "weight"))
+    return each.groupBy("member", "place").agg(
+        F.round(F.sum(F.col("weight") * F.col("total")) / F.sum("total"), 9).alias("weight"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, training: Column) -> list[str]:
     """Models as JSON, from the labels (doc_id, toxic) of those documents for which ``training`` holds.
 
-    Repeated labels of a document count as the largest, null ones not at all.
+    Rows that share an id are one document, with the smallest of their texts; rows without an id
+    are documents without a label. Repeated labels of a document count as the largest, null ones not
+    at all. The share of toxic documents among labelled ones is taken for that among all; where it
+    is far from it, scores are off. Empty texts have no features. Without a toxic example, or without documents, there
+    are no models. A very long text is one document like others.
     """
-    rows = id_and_text(docs).where(training).withColumn("hash", F.xxhash64(F.col("doc_id").cast("string")))
+    rows = _one_each(id_and_text(docs).where(training))
+    hashed = F.xxhash64(F.col("doc_id").cast("string"))
     marks = labels.select(named("doc_id").alias("doc_id"), named("toxic").cast("int").alias("toxic")).where(
         "toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    ids = rows.select("doc_id", "hash")
-    labelled = staged(ids.join(marks, "doc_id").distinct(), "toxic-labels")
-    prior = labelled.agg(F.avg("toxic")).first()[0]
-    if not prior:
+    ids = id_and_text(docs).where(training).select("doc_id").distinct()
+    labelled = staged(ids.join(marks, "doc_id").select("doc_id", hashed.alias("hash"), "toxic"), "toxic-labels")
+    share = labelled.agg(F.avg("toxic"), F.sum("toxic")).first()
+    if not share[0]:
         return []
-    nothing = F.lit(None).cast("int")
-    picks = _smallest(labelled.where("toxic = 1").select("doc_id", "hash", F.lit("toxic").alias("kind"), "toxic"), POSITIVE)
-    picks = picks.unionByName(_smallest(labelled.select("doc_id", "hash", F.lit("labelled").alias("kind"), "toxic"), CALIBRATION))
-    picks = picks.unionByName(_smallest(ids.select("doc_id", "hash", F.lit("unlabelled").alias("kind"), nothing.alias("toxic")), UNLABELLED))
-    picks = staged(picks, "toxic-sample")  # at most POSITIVE + CALIBRATION + UNLABELLED ids
-    sample = rows.select("doc_id", "text").join(F.broadcast(picks), "doc_id")
-    away = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(MEMBERS)) == F.col("member")
-    sample = sample.withColumn("member", F.explode(F.array(*map(F.lit, range(MEMBERS))))).withColumn("away", away)
-    sample = sample.withColumn("prior", F.lit(float(prior))).where("away = (kind = 'labelled')")
-    fitted = sample.groupBy("member").applyInPandas(_fit_member, "member long, model string").collect()
-    return [r.model for r in sorted(fitted, key=lambda r: r.member) if r.model]
+    prior, positive = float(share[0]), labelled.where("toxic = 1")
+    confirmed = slot_filter(rows, hashed, positive, "hash").join(positive, "doc_id", "left_semi")
+    chosen = choose_features(
+        staged_texts(document_frequencies(confirmed), "toxic-counts"),
+        staged_texts(document_frequencies(rows), "toxic-all-counts"), share[1], rows.count())
+
+    def places(texts: list[str]) -> list[list]:
+        finder = _chosen(chosen)
+        return [[finder.of(t) for t in texts]]
+
+    unlabelled = map_texts(
+        rows.select(_fold(F.col("doc_id"), F.col("text")).alias("doc_id"), "text"), "places array<int>", places)
+    unlabelled = staged_texts(
+        unlabelled.groupBy(F.col("doc_id").alias("fold"), "places").agg(F.count("*").alias("n")), "toxic-unlabelled")
+    # The sample: at most POSITIVE + CALIBRATION documents, of which only features reach the driver.
+    picks = staged(
+        _smallest(positive, POSITIVE).withColumn("fits", F.lit(True))
+        .unionByName(_smallest(labelled, CALIBRATION).withColumn("fits", F.lit(False))), "toxic-sample")
+    texts = rows.join(F.broadcast(picks.select("doc_id").distinct()), "doc_id")
+    sample = map_texts(texts, "places array<int>", places).join(picks, "doc_id").withColumn("fold", _fold(F.col("doc_id")))
+    sample = sorted(sample.collect(), key=lambda r: (r.hash, r.doc_id))
+    toxic = [[r.places for r in sample if r.fits and r.fold != m] for m in range(MEMBERS)]
+    weights: dict[int, np.ndarray] = {}
+    for r in _block_weights(unlabelled, toxic, prior, len(chosen)).collect():
+        weights.setdefault(r.member, np.zeros(len(chosen) + 1))[r.place] = r.weight
+    return [_model(chosen, weights[m], [r for r in sample if not r.fits and r.fold == m], prior) for m in sorted(weights)]
+
+
+def _model(chosen: tuple[int, ...], weights: np.ndarray, rest: list, prior: float) -> str:
+    """A member's model, calibrated on the labelled documents it was not fitted on."""
+    bias, weights = float(weights[-1]), weights[:-1]
+    a, c, at, share = 1.0, 0.0, [0.0], [prior]
+    if rest:
+        marks = np.array([r.toxic for r in rest])
+        outputs = Rows([r.places for r in rest]).outputs(weights, bias)
+        a, c = calibrate(outputs, marks)
+        at, share = steps(a * outputs + c, marks)
+    used = np.flatnonzero(np.abs(weights) > 1e-6)
+    return json.dumps([[chosen[i] for i in used], (a * weights[used]).tolist(), a * bias + c, at, share])
 
 
 def _smallest(ids: DataFrame, most: int) -> DataFrame:

@@ -60,6 +60,6 @@ def test_toxicity_of_held_out_documents(spark):
     held = QUERIES["op1_toxicity"](spark, large).where("held_out").join(labels, "doc_id").collect()
     toxic, clean = ([r.score for r in held if r.toxic == k] for k in (1, 0))
     better = sum((t > c) + 0.5 * (t == c) for t in toxic for c in clean) / (len(toxic) * len(clean))
-    assert better > 0.93
+    assert better > 0.94
     assert sum(s >= 0.7 for s in clean) < 0.01 * len(clean)
-    assert sum(s >= 0.7 for s in toxic) > 0.4 * len(toxic)
+    assert sum(s >= 0.7 for s in toxic) >= 0.7 * len(toxic)

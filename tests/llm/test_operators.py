@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import random
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -16,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakesieve.llm import bpe, chat, components, decontam, dedup, langid, licenses, near_dup, secrets, toxicity, wordpiece
-from lakesieve.llm.common import drop_ids
+from lakesieve.llm.common import drop_ids, id_and_text
 
 from helpers import LOWER, KneserNey, bits, contamination, near_components, no_documents, odd_documents, texts_of
 
@@ -471,7 +472,71 @@ def test_toxicity_of_odd_documents(spark):
     assert {r.score for r in toxicity.score_toxicity(docs, []).collect()} == {0.0}
 
 
-def test_risk_of_unlabelled_stays_above_zero():
-    toxic, other = toxicity._features(["bad x"] * 4), toxicity._features(["good x"] * 9 + ["bad x"])
-    chosen = toxicity.choose_features(toxic, other)
-    assert len(chosen) == 0 or set(chosen) <= set(toxicity.word_features("bad"))
+def test_slopes_of_the_risk_are_its_differences():
+    rng = np.random.default_rng(5)
+    signs = set()
+    for shift in (-4.0, 0.0, 4.0):
+        f_p, f_u = rng.normal(2, 1, 7), rng.normal(shift, 1, 11)
+
+        def lowered(p, u):
+            positive, negative = toxicity.risk(p, u, 0.3)
+            return positive + negative if toxicity.risk(f_p, f_u, 0.3)[1] >= 0 else -negative
+
+        signs.add(toxicity.risk(f_p, f_u, 0.3)[1] >= 0)
+        g_p, g_u = toxicity.risk_slopes(f_p, f_u, 0.3)
+        for f, g, put in ((f_p, g_p, lambda f: lowered(f, f_u)), (f_u, g_u, lambda f: lowered(f_p, f))):
+            for i in range(len(f)):
+                step = np.eye(len(f))[i] * 1e-5
+                assert abs((put(f + step) - put(f - step)) / 2e-5 - g[i]) < 1e-7
+    assert signs == {True, False}
+
+
+def test_sparse_rows_equal_a_matrix():
+    rng = np.random.default_rng(6)
+    lists = [sorted(rng.choice(9, rng.integers(0, 6), replace=False).tolist()) for _ in range(20)] + [[]]
+    dense = np.array([[float(j in r) for j in range(9)] for r in lists])
+    which, weights, g = rng.integers(0, 21, 40), rng.normal(size=9), rng.normal(size=40)
+    some = toxicity.Rows(lists).take(which)
+    assert np.allclose(some.outputs(weights, 0.5), dense[which] @ weights + 0.5)
+    assert np.allclose(some.gradient(g, 9), dense[which].T @ g)
+    assert toxicity.Rows([[], []]).outputs(np.zeros(0), 1.0).tolist() == [1.0, 1.0]
+
+
+def test_features_are_chosen_by_counts_of_all_documents(spark, small, monkeypatch):
+    docs = id_and_text(spark.read.parquet(f"{small}/documents.parquet"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    finder = toxicity.Features()
+    plain = Counter(k for t in texts.values() for k in finder.of(t).tolist())
+    counted = toxicity.document_frequencies(docs)
+    assert {r.feature: r.n for r in counted.collect()} == plain
+    some = set(sorted(texts)[::3])
+    of_some = Counter(k for i in some for k in finder.of(texts[i]).tolist())
+    evidence = {}
+    for k, n in of_some.items():
+        usual = len(some) * (plain[k] + 1) / (len(texts) + 1)
+        if n >= 3 and n > usual:
+            evidence[k] = n * math.log(n / usual) - (n - usual)
+    middle = sorted(evidence.values())[-40] - 1e-9
+    monkeypatch.setattr(toxicity, "LEAST_EVIDENCE", middle)
+    few = toxicity.document_frequencies(docs.where(F.col("doc_id").isin(list(some))))
+    chosen = toxicity.choose_features(few, counted, len(some), len(texts))
+    assert chosen == tuple(sorted(k for k, e in evidence.items() if e >= middle)) and len(chosen) >= 40
+    at = toxicity.Chosen(chosen)
+    assert all([chosen[i] for i in at.of(t)] == [k for k in finder.of(t).tolist() if k in chosen] for t in texts.values())
+
+
+def test_repeated_documents_teach_once(spark, monkeypatch):
+    """One id ten thousand times; and copies without an id, a third of all documents, over many blocks."""
+    monkeypatch.setattr(toxicity, "BLOCK", 50)
+    rng = random.Random(4)
+    plain = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    rows = [(i, " ".join(rng.choices(plain, k=30) + ["vile"] * (i % 4 == 0))) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id bigint, toxic int")
+    once = spark.createDataFrame(rows, "doc_id bigint, text string")
+    many = once.unionByName(spark.range(10_000).select(F.lit(4).cast("long").alias("doc_id"), F.lit(rows[4][1]).alias("text")))
+    assert toxicity._one_each(id_and_text(many)).count() == len(rows)
+    copies = spark.range(200).select(F.lit(None).cast("long").alias("doc_id"), F.lit("just so").alias("text"))
+    models = toxicity.learn(once.unionByName(copies), labels, F.lit(True))
+    assert models == toxicity.learn(many.unionByName(copies), labels, F.lit(True)) and len(models) == toxicity.MEMBERS
+    scores = {r.doc_id: r.predicted for r in toxicity.score_toxicity(once, models).collect()}
+    assert all(scores[i] == int(i % 4 == 0) for i, _ in rows)
