@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -43,11 +44,31 @@ TOXIC = 0.7
 _WORDS = re.compile(r"[^\W\d_]+").findall
 
 
+#: Checksums of the marks before whole words and before beginnings, which those of the letters go on from.
+_WHOLE, _BEGIN = zlib.crc32(b"="), zlib.crc32(b"^")
+
+
 def word_features(word: str) -> list[int]:
     """Hashes of a word, its beginnings of 3 to 6 letters and its runs of 5."""
-    parts = {"=" + word, *("^" + word[:n] for n in range(3, 7) if len(word) >= n),
-             *(word[i:i + 5] for i in range(len(word) - 4))}
-    return [zlib.crc32(p.encode("utf-8", "surrogatepass")) for p in parts]
+    if word.isascii():  # a letter is a byte, so pieces can be cut from the bytes of the word
+        letters = word.encode()
+        starts, runs = _pieces(letters)
+    else:
+        letters = word.encode("utf-8", "surrogatepass")
+        starts, runs = ([p.encode("utf-8", "surrogatepass") for p in pieces] for pieces in _pieces(word))
+    found = [zlib.crc32(p, _BEGIN) for p in starts]
+    found.append(zlib.crc32(letters, _WHOLE))
+    found.extend(map(zlib.crc32, runs))
+    return found
+
+
+def _pieces(word: str | bytes) -> tuple[list, list]:
+    size = len(word)
+    return [word[:n] for n in range(3, min(size, 6) + 1)], [word[i:i + 5] for i in range(size - 4)]
+
+
+def words(text: str) -> set[str]:
+    return set(_WORDS(text.lower()))
 
 
 class _Memo(dict):
@@ -63,14 +84,15 @@ class _Memo(dict):
 
 
 class Features:
-    """The features of texts, each once and sorted. Words are remembered, as most come again."""
+    """The features of texts, each once. Words are remembered, as most come again."""
 
     def __init__(self) -> None:
-        self._of_word = _Memo(lambda w: np.array(word_features(w), np.uint32))
+        self._of_word = _Memo(lambda w: array("I", word_features(w)).tobytes())
 
     def of(self, text: str) -> np.ndarray:
-        words = set(_WORDS(text.lower()))
-        return np.unique(np.concatenate([self._of_word[w] for w in words] or [np.empty(0, np.uint32)]))
+        found = np.frombuffer(b"".join(map(self._of_word.__getitem__, words(text))), np.uint32)
+        found = np.sort(found)
+        return found[np.append(True, found[1:] != found[:-1])] if len(found) else found
 
 
 class Chosen:
@@ -81,7 +103,7 @@ class Chosen:
         self._of_word = _Memo(lambda w: tuple(place[k] for k in word_features(w) if k in place))
 
     def of(self, text: str) -> list[int]:
-        return sorted(set(chain.from_iterable(map(self._of_word.__getitem__, set(_WORDS(text.lower()))))))
+        return sorted(set(chain.from_iterable(map(self._of_word.__getitem__, words(text)))))
 
 
 @lru_cache(maxsize=2)
@@ -107,9 +129,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counted()
 
 
-def document_frequencies(texts: DataFrame) -> DataFrame:
-    """(feature, n): the rows of ``texts`` with a feature, of all rows; counted in each task first."""
-    return texts.select("text").mapInArrow(_count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+def document_frequencies(texts: DataFrame, among: DataFrame | None = None) -> DataFrame:
+    """(feature, n): the rows of ``texts`` with a feature, of all rows; counted in each task first.
+
+    With ``among`` only its features are asked for, and most others are left out before the shuffle.
+    """
+    counted = texts.select("text").mapInArrow(_count, "feature long, n long")
+    if among is not None:
+        hashed = F.xxhash64("feature")
+        counted = slot_filter(counted, hashed, among.select(hashed.alias("hash")), "hash")
+    return counted.groupBy("feature").agg(F.sum("n").alias("n"))
 
 
 def choose_features(toxic: DataFrame, every: DataFrame, n_toxic: int, n_every: int) -> tuple[int, ...]:
@@ -288,9 +317,9 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column) -> list[str]:
         return []
     prior, positive = float(share[0]), labelled.where("toxic = 1")
     confirmed = slot_filter(rows, hashed, positive, "hash").join(positive, "doc_id", "left_semi")
-    chosen = choose_features(
-        staged_texts(document_frequencies(confirmed), "toxic-counts"),
-        staged_texts(document_frequencies(rows), "toxic-all-counts"), share[1], rows.count())
+    frequent = staged_texts(document_frequencies(confirmed).where(F.col("n") >= LEAST_DOCS), "toxic-counts")
+    every = staged_texts(document_frequencies(rows, frequent), "toxic-all-counts")
+    chosen = choose_features(frequent, every, share[1], rows.count())
 
     def places(texts: list[str]) -> list[list]:
         finder = _chosen(chosen)
@@ -336,25 +365,23 @@ class Scorer:
         parsed = [json.loads(m) for m in models]
         self.bias = np.array([m[2] for m in parsed])
         self._steps = [(np.array(m[3]), np.array(m[4])) for m in parsed]
-        self._known: dict[int, int] = {}
-        for keys, *_ in parsed:
-            for key in keys:
-                self._known.setdefault(key, len(self._known))
-        self._weights = np.zeros((len(self._known), len(parsed)))
+        known = tuple(sorted(set(chain.from_iterable(m[0] for m in parsed))))
+        place = {key: i for i, key in enumerate(known)}
+        self._chosen = Chosen(known)
+        self._weights = np.zeros((len(parsed), len(known)))
         for m, (keys, weights, *_) in enumerate(parsed):
-            self._weights[[self._known[k] for k in keys], m] = weights
-        self._of_word = _Memo(lambda w: tuple(self._known[k] for k in word_features(w) if k in self._known))
+            self._weights[m, [place[k] for k in keys]] = weights
 
-    def score(self, text: str) -> float:
-        """Median of the classifiers' probabilities; each known feature of the text counts once.
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """Medians of the classifiers' probabilities; each known feature of a text counts once.
 
         A probability is the share of toxic documents with such an output, and to a small part its
         sigmoid, which orders what has one share.
         """
-        found = set(chain.from_iterable(map(self._of_word.__getitem__, set(_WORDS(text.lower())))))
-        output = self.bias + self._weights[list(found)].sum(axis=0)
-        shares = [np.interp(o, at, share) for o, (at, share) in zip(output, self._steps, strict=True)]
-        return float(0.98 * np.median(shares) + 0.02 * (1 / (1 + np.exp(-np.clip(output, -50, 50)))).mean())
+        rows = Rows([self._chosen.of(t) for t in texts])
+        outputs = np.array([rows.outputs(w, b) for w, b in zip(self._weights, self.bias, strict=True)])
+        shares = [np.interp(o, at, share) for o, (at, share) in zip(outputs, self._steps, strict=True)]
+        return 0.98 * np.median(shares, axis=0) + 0.02 * (1 / (1 + np.exp(-np.clip(outputs, -50, 50)))).mean(axis=0)
 
 
 @lru_cache(maxsize=2)
@@ -372,7 +399,7 @@ def score_toxicity(docs: DataFrame, models: list[str]) -> DataFrame:
     known = tuple(models)
 
     def scored(texts: list[str]) -> list[list]:
-        scores = [_scorer(known).score(t) if known else 0.0 for t in texts]
+        scores = _scorer(known).scores(texts).tolist() if known else [0.0] * len(texts)
         return [scores, [int(s >= TOXIC) for s in scores]]
 
     return map_texts(id_and_text(docs), "score double, predicted int", scored)
