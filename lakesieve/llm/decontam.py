@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, id_and_text, named, slot_filter, staged
+from .common import ascii_lower, id_and_text, named, only_keys, slot_filter, staged
 
 #: Words of a window.
 WINDOW = 13
@@ -140,8 +140,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id")
 
 def _known(prints: DataFrame, windows: DataFrame) -> DataFrame:
     """Fingerprints that the items have, too."""
-    return slot_filter(prints, F.col("print"), windows, "print").join(
-        windows.select("print").distinct(), "print", "left_semi")
+    return only_keys(prints, F.col("print"), windows.select("print").distinct(), "print", "print")
 
 
 def _judged(rows: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_ids, id_and_text, map_texts, named, slices, slot_filter, staged, staged_texts
+from .common import drop_ids, id_and_text, map_texts, named, only_keys, slices, slot_filter, staged, staged_texts
 
 #: Labelled documents used at most: toxic ones to fit with, and any to calibrate with. Those whose
 #: hashed id is smallest are taken, ties by id. Unlabelled ones have no bound.
@@ -316,7 +316,7 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column) -> list[str]:
     if not share[0]:
         return []
     prior, positive = float(share[0]), labelled.where("toxic = 1")
-    confirmed = slot_filter(rows, hashed, positive, "hash").join(positive, "doc_id", "left_semi")
+    confirmed = only_keys(rows, hashed, positive, "doc_id", "hash")
     frequent = staged_texts(document_frequencies(confirmed).where(F.col("n") >= LEAST_DOCS), "toxic-counts")
     every = staged_texts(document_frequencies(rows, frequent), "toxic-all-counts")
     chosen = choose_features(frequent, every, share[1], rows.count())

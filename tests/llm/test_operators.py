@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from lakesieve.llm import bpe, chat, components, decontam, dedup, langid, licenses, near_dup, secrets, toxicity, wordpiece
 from lakesieve.llm.common import drop_ids, id_and_text
+from lakesieve.llm.common import settings as shared_settings
 
 from helpers import LOWER, KneserNey, bits, contamination, near_components, no_documents, odd_documents, texts_of
 
@@ -540,6 +541,31 @@ def test_features_are_chosen_by_counts_of_all_documents(spark, small, monkeypatc
     assert all([chosen[i] for i in at.of(t)] == sorted(set(finder.of(t).tolist()) & set(chosen)) for t in texts.values())
 
 
+def test_only_toxic_texts_and_known_prints_are_shuffled(spark, small, monkeypatch):
+    """The filter that lets few rows pass stays below the join, also where that can't broadcast."""
+    plans = []
+
+    def seen(real):
+        def call(*args):
+            plans.append((found := real(*args))._jdf.queryExecution().optimizedPlan().toString())
+            return found
+        return call
+
+    real = toxicity.document_frequencies
+    monkeypatch.setattr(toxicity, "document_frequencies", lambda texts, *among: seen(lambda *_: texts)() and real(texts, *among))
+    monkeypatch.setattr(decontam, "_known", seen(decontam._known))
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 3 = 0 AS INT) AS toxic")
+    with shared_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        toxicity.learn(docs, labels, F.lit(True))
+        decontam.decontaminate(docs, spark.read.parquet(f"{small}/benchmark.parquet"))
+    known = [p for p in (plans[0], *plans[2:])]
+    assert len(known) > 1
+    for plan in known:
+        joins = [line for line in plan.splitlines() if re.search(r"Join (Inner|LeftSemi)", line)]
+        assert "__slot" not in joins[0] and "__slot" in joins[1], joins
+
+
 def test_repeated_documents_teach_once(spark, monkeypatch):
     """One id ten thousand times; and copies without an id, a third of all documents, over many blocks."""
     monkeypatch.setattr(toxicity, "BLOCK", 50)
