@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesieve.llm import bpe, decontam, dedup, langid, near_dup
-from lakesieve.llm.common import drop_ids, named, numbered
+from lakesieve.llm.common import drop_ids, named, numbered, staged_texts
 from lakesieve.storage import scratch_space, staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -69,10 +69,15 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, number of tokens and the digests of the ids and of the bytes they decode to."""
+    """doc_id, number of tokens and the digests of the ids and of the bytes they decode to.
+
+    They are stored, as only here and not where they are written the size of Arrow batches can be set:
+    the workers come after those of other stages, and have little room.
+    """
     import public_tokenizers
 
-    return bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    found = bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return staged_texts(found, "tokens")
 
 
 STAGES = [

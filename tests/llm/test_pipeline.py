@@ -3,6 +3,7 @@
 import hashlib
 
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 
 import corpus_pipeline as pipeline
@@ -85,3 +86,14 @@ def test_one_row_of_each_group_of_near_copies_stays(spark, small):
                              (6, three), (6, three + " x"), (None, "alone"), (None, ""), (6, "too")])
     out = pairs(pipeline.drop_near_copies(spark, docs, small))
     assert [(i, t[:3]) for i, t in out] == [(6, "a0 "), (6, "c0 "), (6, "too"), (None, ""), (None, "alo"), (None, "b0 ")]
+
+
+def test_tokens_are_made_of_small_batches(spark, monkeypatch):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    monkeypatch.setattr(pipeline.bpe, "encode_texts", lambda docs, *_: docs.mapInArrow(sizes, "n long"))
+    docs = spark.range(3_000).coalesce(1)
+    found = [r.n for r in pipeline.encode(spark, docs, "").collect()]
+    assert sum(found) == 3_000 and max(found) <= 500
