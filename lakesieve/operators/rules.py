@@ -106,23 +106,38 @@ def _analyzed(df: DataFrame, rules: Sequence[Rule]) -> dict[Rule, str | None]:
         return {r: _analysis_error(df, r.condition) for r in distinct}
 
 
+def _numbers(df: DataFrame, conditions: Mapping[int, str]) -> DataFrame:
+    """(i, n) that add up to the rows failing condition i.
+
+    Spark compiles each count of an aggregate to a method of its own. Conditions side by side in an array
+    become one method, which is too long for the JVM to compile when there are many.
+    """
+    try:
+        counts = df.agg(*[F.count_if(F.expr(c)).alias(str(i)) for i, c in conditions.items()])
+        each = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{i}`").alias("n")) for i in conditions])
+        return counts.select(F.inline(each)).repartition("i")  # a row per rule
+    except PySparkException:
+        failing = F.array(*[F.when(F.expr(c), F.lit(i)) for i, c in conditions.items()])
+        return df.select(failing.alias("failing")).select(F.explode("failing").alias("i"), F.lit(1).alias("n"))
+
+
 def evaluate_rules(
     df: DataFrame, rules: Sequence[Rule], table_name: str, ingestion_time: str = "", as_of: str = "",
     errors: Mapping[Rule, str | None] | None = None,
 ) -> DataFrame:
     """One 12-column line per rule, from one scan of the table for any number of rules.
 
-    Each row becomes the numbers of the rules it fails, which are counted: generated code stays short
-    however many rules there are, and a condition may be non-deterministic. Conditions that do not analyze become ERROR lines; ``errors``, if given, already says which
+    Rules are counted in one aggregate. Conditions that can't stand in one, as they are
+    non-deterministic, make each row the numbers of the rules it fails, which are counted.
+    Conditions that do not analyze become ERROR lines; ``errors``, if given, already says which
     ones do. An empty table passes every rule, whatever its condition.
     """
     if not rules:
         return df.sparkSession.createDataFrame([], RULE_RESULT)
     found = _analyzed(df, rules) if errors is None else errors
     # Rule -1 stands for every row. One line per rule is left, so the counts fit into one row.
-    failing = [F.when(F.expr(r.condition), F.lit(i)) for i, r in enumerate(rules) if found[r] is None]
-    numbers = df.select(F.array(F.lit(-1), *failing).alias("failing")).select(F.explode("failing").alias("i"))
-    counts = numbers.where("i IS NOT NULL").groupBy("i").count().agg(
+    numbers = _numbers(df, {-1: "true"} | {i: r.condition for i, r in enumerate(rules) if found[r] is None})
+    counts = numbers.where("i IS NOT NULL").groupBy("i").agg(F.sum("n").alias("count")).agg(
         F.map_from_entries(F.collect_list(F.struct("i", "count"))).alias("counts"))
 
     def counted(i: int) -> Column:

@@ -66,6 +66,17 @@ def test_more_rules_than_one_pass(spark, people):
     assert evaluate_rules(people, [], "people").schema == RULE_RESULT
 
 
+def test_rules_are_counted_without_a_line_for_each_row(spark, people):
+    """Also conditions that no aggregate can hold are counted, which takes such lines."""
+    def lines(rules):
+        result = evaluate_rules(people, rules, "people")
+        plan = result._jdf.queryExecution().optimizedPlan().toString()
+        return "explode(" in plan, [(r["failed_count"], r["total_count"]) for r in result.collect()]
+
+    assert lines([Rule("a", "n <= 0"), Rule("b", "n > 3")]) == (False, [(2, 4), (1, 4)])
+    assert lines([Rule("a", "n <= 0"), Rule("r", "rand() >= 0")]) == (True, [(2, 4), (4, 4)])
+
+
 def test_evaluate_all(spark, people):
     rules = {"people": [Rule("a", "n > 0"), Rule("b", "n < 0")]}
     assert evaluate_all({" People ": people, "other": people}, rules).count() == 2
