@@ -1,7 +1,7 @@
 """Byte-level BPE: exact merges in linear time by backtracking over longest matches.
 
 An Aho-Corasick automaton over the vocabulary, its bytes mapped to Latin-1, gives the longest token
-from each position of a piece. A token may follow another only if no merge would have run across
+from each position of a piece; in short pieces its trie is asked only where a token ends. A token may follow another only if no merge would have run across
 their border; that is remembered per pair. Where it may not, the next shorter token is tried, and
 where none is left, the token before is taken back and that position never tried again.
 """
@@ -20,8 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import id_and_text, map_texts
 
-#: Pieces and token pairs that a worker remembers; it starts over when there are more.
-MEMORY = 1 << 18
+#: Words and token pairs that a worker remembers of each (some 200 bytes a word), and an eighth as many pieces;
+#: with more it forgets those not used lately.
+MEMORY = 1 << 19
+#: Bytes of a piece from which on the automaton runs over all of it.
+LONG = 32
 #: Patterns of which the above is known: a space only begins a match or is inside white space.
 SPACED_PATTERNS = (
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""",
@@ -31,18 +34,23 @@ WIDE_SPACE = regex.compile(r" \s").search
 
 
 class Memo(dict):
-    """What ``fn`` gave for short keys; it forgets all when there are too many."""
+    """What ``fn`` gave for short keys. Half the room full, it starts over with the other half: keys that
+    are used again come along, all else is forgotten the next time."""
 
     def __init__(self, fn: Callable, room: int = MEMORY) -> None:
         super().__init__()
-        self._fn, self._room = fn, room
+        self._fn, self._half, self._before = fn, room // 2, {}
 
     def __missing__(self, key):
-        value = self._fn(key)
-        if len(key) < 32:
-            if len(self) >= self._room:
-                self.clear()
-            self[key] = value
+        value = self._before.get(key)
+        if value is None:
+            value = self._fn(key)
+            if len(key) >= 32:
+                return value
+        if len(self) >= self._half:
+            self._before = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
@@ -56,6 +64,7 @@ class Encoder:
         self._automaton = ahocorasick.Automaton()
         for token, i in ranks.items():
             self._automaton.add_word(token.decode("latin-1"), (i, len(token) - 1))
+        self._by_path = self._paths()
         self._automaton.make_automaton()
         self._shorter = {i: self._prefix(token) for token, i in ranks.items()}
         self._parts: dict[int, tuple[int, int]] = {}
@@ -64,6 +73,16 @@ class Encoder:
             self._split(token, i)
         self._fits = Memo(lambda pair: self._compatible(*pair))
 
+    def _paths(self) -> dict[str, int | None]:
+        """The longest token that each beginning of a token begins with, tokens themselves included."""
+        found = {token.decode("latin-1"): i for token, i in self.ranks.items()}
+        for text in [*found]:
+            n = len(text) - 1
+            while n and text[:n] not in found:
+                n -= 1
+            found.update(dict.fromkeys((text[:m] for m in range(n + 1, len(text))), found.get(text[:n])))
+        return found
+
     def _prefix(self, token: bytes) -> int | None:
         """The longest shorter token that ``token`` begins with."""
         return next((self.ranks[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in self.ranks), None)
@@ -101,14 +120,12 @@ class Encoder:
         """The ids of one piece, as merging by rank would give them."""
         if piece in self.ranks:
             return [self.ranks[piece]]
-        longest: list[int | None] = [None] * len(piece)
-        for end, (i, before) in self._automaton.iter(piece.decode("latin-1")):
-            longest[end - before] = i  # matches come by their end, so the longest comes last
+        longest = self._longest(piece.decode("latin-1"))
         size = self.size
         fits, shorter, stop = self._fits, self._shorter, len(piece)
         dead = bytearray(stop + 1)
         ids: list[int] = []
-        at, token = 0, longest[0] if piece else None
+        at, token = 0, longest(0) if piece else None
         while at < stop:
             if token is None:
                 if not ids:
@@ -121,11 +138,26 @@ class Encoder:
             end = at + size[token]
             if not dead[end] and (not ids or fits[ids[-1], token]):
                 ids.append(token)
-                at, token = end, longest[end] if end < stop else None
+                at, token = end, longest(end) if end < stop else None
             else:
                 token = shorter[token]
         return ids
 
+    def _longest(self, text: str) -> Callable[[int], int | None]:
+        """The longest token from a position of ``text`` on."""
+        if len(text) >= LONG:
+            found: list[int | None] = [None] * len(text)
+            for end, (i, before) in self._automaton.iter(text):
+                found[end - before] = i  # matches come by their end, so the longest comes last
+            return found.__getitem__
+        reach, by_path = self._automaton.longest_prefix, self._by_path.get
+
+        def longest(at: int) -> int | None:
+            rest = text[at:]
+            return by_path(rest[:reach(rest)])
+
+        return longest
+
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
 
@@ -138,24 +170,25 @@ class TextEncoder:
     (a word and its punctuation) is encoded once and remembered.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memory: int = MEMORY) -> None:
         self.encoder = Encoder(ranks)
         self._pieces = regex.compile(pattern).findall
-        self._decimal = {i: str(i) for i in ranks.values()}
-        self._first, self._spaced = Memo(self._whole), Memo(self._after_space)
+        self._first, self._spaced = Memo(self._whole, memory // 8), Memo(self._after_space, memory)
+        self._other = Memo(lambda piece: tuple(self.encoder.encode(piece.encode("utf-8", "surrogatepass"))), memory // 8)
         self._by_spaces = pattern in SPACED_PATTERNS
 
     def _whole(self, text: str) -> tuple[int, ...]:
         ids: list[int] = []
         for piece in self._pieces(text):
-            ids += self.encoder.encode(piece.encode("utf-8", "surrogatepass"))
+            word = piece[1:]
+            ids += self._spaced[word] if piece[0] == " " and word.isalpha() else self._other[piece]
         return tuple(ids)
 
     def _after_space(self, words: str) -> tuple[int, ...]:
         if words.isalpha():  # letters only: one piece, which needs no pattern to be found
             return tuple(self.encoder.encode((" " + words).encode()))
         if words[:-1].isalpha() and words[-1] in ".,":
-            return *self.encoder.encode((" " + words[:-1]).encode()), self.encoder.ranks[words[-1].encode()]
+            return *self._spaced[words[:-1]], self.encoder.ranks[words[-1].encode()]
         return self._whole(" " + words)
 
     def encode(self, text: str) -> list[int]:
@@ -165,7 +198,7 @@ class TextEncoder:
         return [*self._first[first], *chain.from_iterable(map(self._spaced.__getitem__, spaced))]
 
     def joined(self, ids: list[int]) -> str:
-        return " ".join(map(self._decimal.__getitem__, ids))
+        return str(ids)[1:-1].replace(",", "")
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -174,22 +207,22 @@ def read_ranks(raw: bytes) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=4)
-def _text_encoder(raw: bytes, pattern: str) -> TextEncoder:
-    return TextEncoder(read_ranks(raw), pattern)
+def _text_encoder(raw: bytes, pattern: str, memory: int) -> TextEncoder:
+    return TextEncoder(read_ranks(raw), pattern, memory)
 
 
-def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, ids: bool = False) -> DataFrame:
+def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, ids: bool = False, memory: int = MEMORY) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256 (and the ids).
 
     The ids are hashed as decimals joined by one space, the decoded bytes as they are. Null texts
     count as empty: no tokens and the digests of nothing. The rank file is read by the driver and
     broadcast (its size is the vocabulary's, below 1 MB for 50,000 tokens); each worker builds the
-    automaton once. A text is held by one task, and nothing is shuffled.
+    automaton once and remembers ``memory`` words. A text is held by one task, and nothing is shuffled.
     """
     raw = docs.sparkSession.sparkContext.broadcast(_file(ranks_path))
 
     def encode(texts: list[str]) -> list[list]:
-        coder = _text_encoder(raw.value, pattern)
+        coder = _text_encoder(raw.value, pattern, memory)
         counts, joined, decoded, all_ids = [], [], [], []
         for text in texts:
             found = coder.encode(text)

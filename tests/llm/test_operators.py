@@ -69,6 +69,19 @@ def test_bpe_of_long_pieces(coder, reference_coder):
         assert coder.encode(text) == reference_coder.encode_ordinary(text)
 
 
+def test_bpe_remembers_words_in_use(reference_coder):
+    seen = []
+    memo = bpe.Memo(lambda key: seen.append(key) or len(key), 20)
+    for n in range(200):
+        assert memo["often"] == 5 and memo[f"once {n}"] == len(f"once {n}")
+    assert seen.count("often") == 1 and len(memo) + len(memo._before) <= 20
+    with open(RANKS, "rb") as f:
+        coder = bpe.TextEncoder(bpe.read_ranks(f.read()), public_tokenizers.PATTERN, 16)
+    for text in ["a word, a word. A word\nand", "", "thonorin, " * 30 + "end.\nÉoné", "x" * 31, "y" * 32] * 3:
+        ids = coder.encode(text)
+        assert ids == reference_coder.encode_ordinary(text) and coder.joined(ids) == " ".join(map(str, ids))
+
+
 def test_bpe_of_odd_documents(spark, reference_coder):
     docs = odd_documents(spark)
     expected = []
