@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesieve.llm import bpe, decontam, dedup, langid, near_dup
-from lakesieve.llm.common import drop_ids, named, numbered, staged_texts
+from lakesieve.llm.common import drop_ids, named, numbered, shrink_heaps, staged_texts
 from lakesieve.storage import scratch_space, staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def _rows(docs: DataFrame) -> DataFrame:
+    shrink_heaps(docs.sparkSession)  # of what the stage before has left
     return numbered(docs.select(*map(named, COLUMNS)))
 
 
@@ -76,6 +77,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     import public_tokenizers
 
+    shrink_heaps(spark)
     found = bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
                              False, bpe.MEMORY // 2)
     return staged_texts(found, "tokens")

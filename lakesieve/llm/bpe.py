@@ -11,7 +11,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterable
-from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
@@ -206,9 +205,20 @@ def read_ranks(raw: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, raw.splitlines()) if token}
 
 
-@lru_cache(maxsize=4)
-def _text_encoder(raw: bytes, pattern: str, memory: int) -> TextEncoder:
-    return TextEncoder(read_ranks(raw), pattern, memory)
+class Vocabulary:
+    """The rank file and, once a worker has built it, the encoder, which is never sent."""
+
+    def __init__(self, raw: bytes, pattern: str, memory: int) -> None:
+        self._made_of, self._encoder = (raw, pattern, memory), None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_encoder": None}
+
+    def encoder(self) -> TextEncoder:
+        if self._encoder is None:
+            raw, pattern, memory = self._made_of
+            self._encoder = TextEncoder(read_ranks(raw), pattern, memory)
+        return self._encoder
 
 
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, ids: bool = False, memory: int = MEMORY) -> DataFrame:
@@ -217,12 +227,12 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, ids: bool = Fal
     The ids are hashed as decimals joined by one space, the decoded bytes as they are. Null texts
     count as empty: no tokens and the digests of nothing. The rank file is read by the driver and
     broadcast (its size is the vocabulary's, below 1 MB for 50,000 tokens); each worker builds the
-    automaton once and remembers ``memory`` words. A text is held by one task, and nothing is shuffled.
+    automaton once, remembers ``memory`` words and keeps both while it gets tasks of this query, no longer. A text is held by one task, and nothing is shuffled.
     """
-    raw = docs.sparkSession.sparkContext.broadcast(_file(ranks_path))
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(_file(ranks_path), pattern, memory))
 
     def encode(texts: list[str]) -> list[list]:
-        coder = _text_encoder(raw.value, pattern, memory)
+        coder = shared.value.encoder()
         counts, joined, decoded, all_ids = [], [], [], []
         for text in texts:
             found = coder.encode(text)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_and_text, map_texts, named, numbered, staged, staged_texts
+from .common import give_back, id_and_text, map_texts, named, numbered, staged, staged_texts
 
 #: Characters of an n-gram, and bits of each: its UTF-16 code, so no two letters share a number, and a
 #: letter beyond 16 bits is two characters. 0 is any gap. An n-gram fills a long, sign bit included.
@@ -111,6 +111,7 @@ def count_grams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
                     yield from _as_batches(held)
                     held = {}
         yield from _as_batches(held)
+        give_back()
 
     return (
         rows.where("lang IS NOT NULL AND text <> ''").mapInArrow(counted, "lang string, gram long, n long")

@@ -1,5 +1,6 @@
 """The corpus pipeline against its parts by brute force."""
 
+import gc
 import hashlib
 
 import public_tokenizers
@@ -8,6 +9,7 @@ import tiktoken
 
 import corpus_pipeline as pipeline
 from lakesieve.llm import bpe
+from lakesieve.llm.common import give_back, numbered
 
 from helpers import LOWER, contamination, near_components, no_documents, odd_documents, texts_of
 
@@ -97,3 +99,31 @@ def test_tokens_are_made_of_small_batches(spark, monkeypatch):
     docs = spark.range(3_000).coalesce(1)
     found = [r.n for r in pipeline.encode(spark, docs, "").collect()]
     assert sum(found) == 3_000 and max(found) <= 500
+
+
+def test_rows_are_numbered_without_python_workers(spark, small):
+    plan = numbered(spark.read.parquet(f"{small}/documents.parquet"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" in plan and "LogicalRDD" not in plan and "ExternalRDD" not in plan
+
+
+def test_workers_keep_no_encoder_after_tokens(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").repartition(8)
+    assert pipeline.encode(spark, docs, small).count() == docs.count()
+
+    def encoders(batches):
+        rows = sum(batch.num_rows for batch in batches)
+        give_back()
+        held = sum(type(o).__name__ == "TextEncoder" for o in gc.get_objects())
+        yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([held])], names=["n", "held"])
+
+    found = docs.select("doc_id").mapInArrow(encoders, "n long, held long").collect()
+    assert sum(r.n for r in found) == docs.count() and sum(r.held for r in found) == 0
+
+
+def test_stages_begin_with_shrunk_heaps(spark, small):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans
+    collected = lambda: sum(b.getCollectionCount() for b in beans() if "Old" in b.getName() or "MarkSweep" in b.getName())
+    for _, stage in pipeline.STAGES:
+        before = collected()
+        stage(spark, no_documents(spark), small)
+        assert collected() > before
